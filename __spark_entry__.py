@@ -284,10 +284,11 @@ def op_warehouse_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(hot_ids: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed = fixtures.content_feed(spark, sf_dir, stream=True).unionByName(
-            fixtures.engagement_feed(spark, sf_dir, mixed=False, stream=True)
+        output = job.build_stream(
+            fixtures.engagement_feed(spark, sf_dir, mixed=False, stream=True),
+            fixtures.content_feed(spark, sf_dir, stream=True),
+            STREAM_WAIT_SECS, hot_ids, hot_slices=4,
         )
-        output = job.build_stream(feed, STREAM_WAIT_SECS, hot_ids, hot_slices=4)
         result = job.replay(
             spark, output, fixtures.engagement(spark, sf_dir).count(),
             scratch_path(spark, "stream"),

@@ -17,6 +17,17 @@ DEFAULT_PUBLISH_TS = "2024-01-01T00:00:00Z"
 _OBJECT = "map<string,string>"
 
 
+def evaluated_once(df: DataFrame, kept: list[str], **columns: Column) -> DataFrame:
+    """Select ``kept`` and computed ``columns`` such that each row computes them once.
+
+    A later filter on a plain projection is pushed below it, which repeats the
+    whole expression: here, parsing the message again for each mention.  Columns
+    that come out of a generator stay where they are.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def with_after_image(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``after`` (JSON text or null) and ``reason`` (null for a usable row).
 
@@ -66,14 +77,12 @@ def typed_row(after: Column, schema: T.StructType) -> Column:
     return F.from_json(after, _text_schema(schema), {"mode": "PERMISSIVE"})
 
 
-def typed_fields(row: str, schema: T.StructType) -> list[Column]:
-    """The struct's fields as columns, ISO text turned into instants."""
-    fields = []
+def typed_fields(row: str, schema: T.StructType) -> dict[str, Column]:
+    """The struct's fields by name, ISO text turned into instants."""
+    fields = {}
     for f in schema.fields:
         c = F.col(f"{row}.{f.name}")
-        if isinstance(f.dataType, T.TimestampType):
-            c = parse_instant(c)
-        fields.append(c.alias(f.name))
+        fields[f.name] = parse_instant(c) if isinstance(f.dataType, T.TimestampType) else c
     return fields
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
@@ -96,41 +98,41 @@ def for_table(feed: DataFrame, table: str) -> DataFrame:
     return feed.where(last_name_part(F.col("topic")) == table)
 
 
-def _unwrapped(feed: DataFrame, schema: T.StructType, keep_extras: bool) -> DataFrame:
+def _parsed(
+    feed: DataFrame, schema: T.StructType, keep_extras: bool, usable_row: Callable[[str], Column]
+) -> DataFrame:
+    """Typed fields of every message and a ``reason`` where it is unusable.
+
+    ``usable_row`` says, for the parsed struct, whether it has what the feed needs.
+    """
     df = E.with_after_image(feed).withColumn("row", E.typed_row(F.col("after"), schema))
-    carried = [c for c in ("seq", "arrival_ts") if c in feed.columns]
-    kept = [F.col("reason"), F.col("value"), *[F.col(c) for c in carried]]
+    reason = F.when(F.col("reason").isNull() & ~usable_row("row"), E.BAD_ROW).otherwise(F.col("reason"))
+    columns = {"reason": reason}
     if keep_extras:
-        kept.append(E.extra_fields(F.col("after"), schema).alias("extras"))
-    return df.select(*kept, F.col("after"), *E.typed_fields("row", schema))
-
-
-def _checked(df: DataFrame, usable: Column) -> DataFrame:
-    """Mark rows that have an after-image but not the fields a feed needs."""
-    return df.withColumn(
-        "reason", F.when(F.col("reason").isNull() & ~usable, E.BAD_ROW).otherwise(F.col("reason"))
-    )
-
-
-def _with_publish_default(df: DataFrame) -> DataFrame:
-    default = parse_instant(F.lit(E.DEFAULT_PUBLISH_TS))
-    return df.withColumn("publish_ts", F.coalesce(F.col("publish_ts"), default))
+        columns["extras"] = E.extra_fields(F.col("after"), schema)
+    columns |= E.typed_fields("row", schema)
+    kept = [c for c in ("value", "seq", "arrival_ts") if c in feed.columns]
+    return E.evaluated_once(df, kept, **columns)
 
 
 def parse_engagement(feed: DataFrame, keep_extras: bool = False) -> DataFrame:
-    """Every message of the feed with its typed fields and a ``reason`` if unusable."""
-    df = _unwrapped(feed, ENGAGEMENT, keep_extras)
-    return _checked(df, F.col("id").isNotNull() & F.col("event_ts").isNotNull())
+    """The engagement feed; a row needs an id and a readable event time."""
+    def complete(row: str) -> Column:
+        return F.col(f"{row}.id").isNotNull() & parse_instant(F.col(f"{row}.event_ts")).isNotNull()
+
+    return _parsed(feed, ENGAGEMENT, keep_extras, complete)
 
 
 def parse_content(feed: DataFrame, keep_extras: bool = False) -> DataFrame:
-    df = _with_publish_default(_unwrapped(feed, CONTENT, keep_extras))
-    return _checked(df, F.col("id").isNotNull())
+    """The catalogue feed; a row needs an id and gets a default publish time."""
+    df = _parsed(feed, CONTENT, keep_extras, lambda row: F.col(f"{row}.id").isNotNull())
+    default = parse_instant(F.lit(E.DEFAULT_PUBLISH_TS))
+    return df.withColumn("publish_ts", F.coalesce(F.col("publish_ts"), default))
 
 
 def usable(parsed: DataFrame) -> DataFrame:
     """Typed rows that go on into the pipeline."""
-    return parsed.where(F.col("reason").isNull()).drop("reason", "value", "after")
+    return parsed.where(F.col("reason").isNull()).drop("reason", "value")
 
 
 def quarantined(parsed: DataFrame) -> DataFrame:

@@ -27,24 +27,19 @@ _EVENT_FIELDS = [f for f in ENGAGEMENT.fields if f.name != "content_id"]
 _PENDING = T.StructType(
     [T.StructField(f.name, f.dataType) for f in _EVENT_FIELDS] + [T.StructField("seq", T.LongType())]
 )
-_ATTRIBUTES = T.StructType([
+# One value per id.  ``due_ms`` is set while events wait for a first version,
+# and then tells when the wait ends; without it the value is the known content.
+_KNOWN = T.StructType([
     T.StructField("content_type", T.StringType()),
     T.StructField("length_seconds", T.LongType()),
     T.StructField("seq", T.LongType()),
+    T.StructField("due_ms", T.LongType()),
 ])
 
-TAGGED = T.StructType(
-    [
-        T.StructField("content_id", T.StringType()),
-        T.StructField("slice", T.LongType()),
-        T.StructField("tag", T.StringType()),
-        T.StructField("content_type", T.StringType()),
-        T.StructField("length_seconds", T.LongType()),
-    ]
-    + _PENDING.fields
-)
+_TAG, _TYPE, _LENGTH, _BODY = 2, 3, 4, 5  # places in a tagged row
+_BODY_SEQ = len(_PENDING) - 1
 
-# Fixed order of the operator's output; ``kind`` tells events from first-seen tokens.
+# The operator's output; ``kind`` tells events from first-seen tokens.
 OUTPUT = T.StructType(
     [T.StructField("kind", T.StringType()), T.StructField("content_id", T.StringType())]
     + _PENDING.fields
@@ -58,89 +53,90 @@ KIND_EVENT, KIND_FIRST_SEEN = "event", "first_seen"
 
 
 class ContentLookup(StatefulProcessor):
-    """The state machine of one content id (or one slice of a hot one)."""
+    """The state machine of one content id (or one slice of a hot one).
+
+    Each state call is a round trip to the JVM, so an event of known content
+    costs one read per id and batch, and rows are handled by position.
+    """
 
     def __init__(self, pending_ttl_secs: float):
         self._wait_ms = int(pending_ttl_secs * 1000)
+        self._make = Row(*OUTPUT.fieldNames())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._content = handle.getValueState("content", _ATTRIBUTES)
+        self._value = handle.getValueState("content", _KNOWN)
         self._pending = handle.getListState("pending", _PENDING)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         content_id, part = key
-        known = self._content.get() if self._content.exists() else None
-        before = known
+        state = self._value.get()
+        due = state[3] if state is not None else None
+        known = before = tuple(state[:3]) if state is not None and due is None else None
         arrived: list[tuple] = []
-        restart = False
+        restart, spilled = False, False
         for row in rows:
-            if row.tag == CONTENT:
-                if known is None or row.seq is None or known[2] is None or row.seq >= known[2]:
-                    known = (row.content_type, row.length_seconds, row.seq)
-            elif row.tag == ALIVE:
+            row = tuple(row)
+            tag = row[_TAG]
+            if tag == CONTENT:
+                seq = row[_BODY + _BODY_SEQ]
+                if known is None or seq is None or known[2] is None or seq >= known[2]:
+                    known = (row[_TYPE], row[_LENGTH], seq)
+            elif tag == ALIVE:
                 restart = True
             elif known is not None:
-                yield self._event(content_id, self._body(row), known)
+                yield self._event(content_id, row[_BODY:], known)
             else:
-                arrived.append(self._body(row))
+                restart = True
+                arrived.append(row[_BODY:])
                 if len(arrived) >= _STATE_CHUNK:
                     self._pending.appendList(arrived)
-                    arrived = []
-                restart = True
+                    arrived, spilled = [], True
 
         if known is None:
             if arrived:
                 self._pending.appendList(arrived)
-            if restart and (arrived or self._pending.exists()):
-                self._restart(timerValues.getCurrentProcessingTimeInMs())
+            if restart and (arrived or spilled or due is not None):
+                self._wait(timerValues.getCurrentProcessingTimeInMs() + self._wait_ms, due)
             return
         if known != before:
-            self._content.update(known)
+            self._value.update((*known, None))
         if before is None:
             if part == 0:
                 yield self._token(content_id)
-            if self._pending.exists():
+            if due is not None or spilled:
                 for body in self._pending.get():
                     yield self._event(content_id, tuple(body), known)
                 self._pending.clear()
-            self._stop()
+            if due is not None:
+                self._handle.deleteTimer(due)
         for body in arrived:
             yield self._event(content_id, body, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        content_id, _ = key
-        known = self._content.get() if self._content.exists() else None
-        if self._pending.exists():
-            for body in self._pending.get():
-                yield self._event(content_id, tuple(body), known)
-            self._pending.clear()
+        for body in self._pending.get():
+            yield self._event(key[0], tuple(body), None)
+        self._pending.clear()
+        self._value.clear()
 
     def close(self) -> None:
         pass
 
-    def _restart(self, now_ms: int) -> None:
-        self._stop()
-        self._handle.registerTimer(now_ms + self._wait_ms)
-
-    def _stop(self) -> None:
-        for due in list(self._handle.listTimers()):
+    def _wait(self, until_ms: int, due: int | None) -> None:
+        """Start the wait, or move its end."""
+        if due is not None:
             self._handle.deleteTimer(due)
+        self._handle.registerTimer(until_ms)
+        self._value.update((None, None, None, until_ms))
 
-    @staticmethod
-    def _body(row: Row) -> tuple:
-        return tuple(row[name] for name in _PENDING.fieldNames())
-
-    @staticmethod
-    def _event(content_id: str, body: tuple, known: tuple | None) -> Row:
-        kind, length = (known[0], known[1]) if known is not None else (None, None)
-        values = (KIND_EVENT, content_id, *body, kind, length, known is not None)
-        return Row(**dict(zip(OUTPUT.fieldNames(), values)))
+    def _event(self, content_id: str, body: tuple, known: tuple | None) -> Row:
+        if known is None:
+            return self._make(KIND_EVENT, content_id, *body, None, None, False)
+        return self._make(KIND_EVENT, content_id, *body, known[0], known[1], True)
 
-    @staticmethod
-    def _token(content_id: str) -> Row:
-        blank = dict.fromkeys(OUTPUT.fieldNames())
-        return Row(**{**blank, "kind": KIND_FIRST_SEEN, "content_id": content_id})
+    def _token(self, content_id: str) -> Row:
+        body = (None,) * len(_PENDING)
+        return self._make(KIND_FIRST_SEEN, content_id, *body, None, None, None)
 
 
 def _slices(content_id: Column, hot_ids: Collection[str], hot_slices: int) -> Column:
@@ -164,31 +160,33 @@ def tagged_streams(
     """
     if len(hot_ids) > MAX_HOT_IDS:
         raise ValueError(f"at most {MAX_HOT_IDS} hot ids, got {len(hot_ids)}")
+    first = F.lit(0).cast("bigint")
     n = _slices(F.col("content_id"), hot_ids, hot_slices)
-    blank = [F.lit(None).cast("string").alias("content_type"), F.lit(None).cast("bigint").alias("length_seconds")]
-    seq = F.col("seq") if "seq" in events.columns else F.lit(None).cast("bigint")
-    rows = events.select(
-        "content_id", F.pmod(F.xxhash64("id", "event_ts", "user_id", "duration_ms"), n).alias("slice"),
-        F.lit(EVENT).alias("tag"), *blank, *[F.col(f.name) for f in _EVENT_FIELDS], seq.alias("seq"),
-    )
-    streams = rows
+    own = F.pmod(F.xxhash64("id", "event_ts", "user_id", "duration_ms"), n)
+    fields = _with_seq(events).select("content_id", own.alias("own"), *_PENDING.fieldNames())
     if hot_ids and hot_slices > 1:
-        signs = rows.where(F.col("content_id").isin(*hot_ids)).withColumn(
-            "slice", F.explode(F.array_remove(F.sequence(F.lit(0).cast("bigint"), n - 1), F.col("slice")))
-        ).select(
-            "content_id", "slice", F.lit(ALIVE).alias("tag"), *blank,
-            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _PENDING.fields],
-        )
-        streams = streams.unionByName(signs)
+        n = _slices(F.col("content_id"), hot_ids, hot_slices)
+        fields = fields.withColumn("slice", F.explode(F.sequence(first, n - 1)))
+    else:
+        fields = fields.withColumn("slice", F.col("own"))
+    here = F.col("slice") == F.col("own")
+    rows = fields.select(
+        "content_id", "slice", F.when(here, EVENT).otherwise(ALIVE).alias("tag"),
+        F.lit(None).cast("string").alias("content_type"),
+        F.lit(None).cast("bigint").alias("length_seconds"),
+        *[F.when(here, F.col(name)).alias(name) for name in _PENDING.fieldNames()],
+    )
     n = _slices(F.col("id"), hot_ids, hot_slices)
-    seq = F.col("seq") if "seq" in content.columns else F.lit(None).cast("bigint")
-    versions = content.select(
-        F.col("id").alias("content_id"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)).alias("slice"),
+    versions = _with_seq(content).select(
+        F.col("id").alias("content_id"), F.explode(F.sequence(first, n - 1)).alias("slice"),
         F.lit(CONTENT).alias("tag"), "content_type", "length_seconds",
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in _EVENT_FIELDS], seq.alias("seq"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in _EVENT_FIELDS], "seq",
     )
-    return streams.unionByName(versions)
+    return rows.unionByName(versions)
+
+
+def _with_seq(feed: DataFrame) -> DataFrame:
+    return feed if "seq" in feed.columns else feed.withColumn("seq", F.lit(None).cast("bigint"))
 
 
 def enrich_stream(

@@ -27,16 +27,20 @@ DEFAULT_EMIT_SECS = 3
 
 
 def build_stream(
-    feed: DataFrame,
+    engagement_feed: DataFrame,
+    content_feed: DataFrame,
     pending_ttl_secs: float = DEFAULT_PENDING_TTL_SECS,
     hot_ids: Collection[str] = (),
     hot_slices: int = 16,
 ) -> DataFrame:
-    """Mixed change feed to enriched output, with outcome counters observed."""
-    feed = include(feed)
+    """Two change feeds to enriched output, with outcome counters observed.
+
+    The feeds are separate subscriptions: branches of one source would read it
+    once each.
+    """
     output = enrich_stream(
-        engagement_changes(for_table(feed, ENGAGEMENT_TABLE)),
-        content_changes(for_table(feed, CONTENT_TABLE)),
+        engagement_changes(for_table(include(engagement_feed), ENGAGEMENT_TABLE)),
+        content_changes(for_table(include(content_feed), CONTENT_TABLE)),
         pending_ttl_secs, hot_ids, hot_slices,
     )
     return with_counters(output)

@@ -16,6 +16,8 @@ def spark():
         tuned(SparkSession.builder.master("local[8]").appName("tests"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

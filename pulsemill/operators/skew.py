@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024  # files are compressed; in memory it is a few times that
 MAX_HOT_KEYS = 10_000
-HOT_ROWS = 1_000_000
+HOT_ROWS = 1_000_000  # what one task handles with ease
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

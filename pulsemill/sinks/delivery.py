@@ -189,6 +189,16 @@ def send(
     return documents.mapInPandas(run, RECEIPT)
 
 
+def delivered(
+    enriched: DataFrame,
+    make_transport: Callable[[], Transport],
+    batch_size: int = DEFAULT_BATCH_SIZE,
+    **options,
+) -> DataFrame:
+    """Events to receipts in one step: ``df.transform(delivered, make_transport)``."""
+    return send(local_batches(enriched, batch_size), make_transport, **options)
+
+
 def deliver(
     enriched: DataFrame,
     make_transport: Callable[[], Transport],
@@ -199,7 +209,9 @@ def deliver(
     pause_secs: float = 0.2,
 ) -> None:
     """Send every event and keep the receipts of the batch."""
-    receipts = send(local_batches(enriched, batch_size), make_transport, max_attempts, pause_secs)
+    receipts = enriched.transform(
+        delivered, make_transport, batch_size, max_attempts=max_attempts, pause_secs=pause_secs
+    )
     receipts.write.mode("overwrite").parquet(f"{receipts_path}/batch_id={int(batch_id)}")
 
 

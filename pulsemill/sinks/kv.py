@@ -7,6 +7,10 @@ with time to live does.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
@@ -57,6 +61,46 @@ def write_batch(
     )
 
 
+class Client(Protocol):
+    """What a task needs to reach an external store."""
+
+    def set(self, key: str, value: str, ttl_secs: int | None) -> None: ...
+
+    def close(self) -> None: ...
+
+
+def push(
+    pairs: DataFrame,
+    make_client: Callable[[], Client],
+    ttl_secs: int | None = DEFAULT_TTL_SECS,
+    sink: str = "kv",
+) -> DataFrame:
+    """Write pairs to an external store and return receipts: counts by outcome.
+
+    A task opens one client and writes its own rows.  A failing write is counted
+    and the next one is tried.  Writing happens when the receipts are computed.
+    """
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make_client()
+        try:
+            for frame in frames:
+                counts = {"ok": 0, "error": 0}
+                for key, value in zip(frame["key"], frame["value"]):
+                    try:
+                        client.set(key, value, ttl_secs or None)
+                        counts["ok"] += 1
+                    except Exception:  # one bad write must not stop the rest
+                        counts["error"] += 1
+                yield pd.DataFrame({
+                    "sink": sink, "status": list(counts), "n_events": list(counts.values()),
+                })
+        finally:
+            client.close()
+
+    written = pairs.select("key", "value").mapInPandas(run, "sink string, status string, n_events long")
+    return written.where(F.col("n_events") > 0)
+
+
 def live_entries(
     log: DataFrame, as_of: Instant = None, longest_ttl_secs: int | None = None
 ) -> DataFrame:

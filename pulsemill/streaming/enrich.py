@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from pulsemill.functions.envelopes import evaluated_once
 from pulsemill.operators.enrich import finish
 from pulsemill.schemas import ENGAGEMENT
 
@@ -24,9 +25,18 @@ MAX_HOT_IDS = 1_000
 _STATE_CHUNK = 5_000
 
 _EVENT_FIELDS = [f for f in ENGAGEMENT.fields if f.name != "content_id"]
-_PENDING = T.StructType(
-    [T.StructField(f.name, f.dataType) for f in _EVENT_FIELDS] + [T.StructField("seq", T.LongType())]
+
+# An event passes the state machine packed as one JSON text: Python then
+# converts few columns per row.  Instants travel as whole microseconds.
+_PACKED = T.StructType(
+    [
+        T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
+        for f in _EVENT_FIELDS
+    ]
+    + [T.StructField("seq", T.LongType())]
 )
+_PENDING = T.StructType([T.StructField("event", T.StringType())])
+
 # One value per id.  ``due_ms`` is set while events wait for a first version,
 # and then tells when the wait ends; without it the value is the known content.
 _KNOWN = T.StructType([
@@ -36,19 +46,17 @@ _KNOWN = T.StructType([
     T.StructField("due_ms", T.LongType()),
 ])
 
-_TAG, _TYPE, _LENGTH, _BODY = 2, 3, 4, 5  # places in a tagged row
-_BODY_SEQ = len(_PENDING) - 1
+_TAGGED = ("content_id", "slice", "tag", "content_type", "length_seconds", "seq", "event")
 
 # The operator's output; ``kind`` tells events from first-seen tokens.
-OUTPUT = T.StructType(
-    [T.StructField("kind", T.StringType()), T.StructField("content_id", T.StringType())]
-    + _PENDING.fields
-    + [
-        T.StructField("content_type", T.StringType()),
-        T.StructField("length_seconds", T.LongType()),
-        T.StructField("found", T.BooleanType()),
-    ]
-)
+OUTPUT = T.StructType([
+    T.StructField("kind", T.StringType()),
+    T.StructField("content_id", T.StringType()),
+    T.StructField("event", T.StringType()),
+    T.StructField("content_type", T.StringType()),
+    T.StructField("length_seconds", T.LongType()),
+    T.StructField("found", T.BooleanType()),
+])
 KIND_EVENT, KIND_FIRST_SEEN = "event", "first_seen"
 
 
@@ -75,20 +83,17 @@ class ContentLookup(StatefulProcessor):
         known = before = tuple(state[:3]) if state is not None and due is None else None
         arrived: list[tuple] = []
         restart, spilled = False, False
-        for row in rows:
-            row = tuple(row)
-            tag = row[_TAG]
+        for _, _, tag, content_type, length, seq, event in rows:
             if tag == CONTENT:
-                seq = row[_BODY + _BODY_SEQ]
                 if known is None or seq is None or known[2] is None or seq >= known[2]:
-                    known = (row[_TYPE], row[_LENGTH], seq)
+                    known = (content_type, length, seq)
             elif tag == ALIVE:
                 restart = True
             elif known is not None:
-                yield self._event(content_id, row[_BODY:], known)
+                yield self._event(content_id, event, known)
             else:
                 restart = True
-                arrived.append(row[_BODY:])
+                arrived.append((event,))
                 if len(arrived) >= _STATE_CHUNK:
                     self._pending.appendList(arrived)
                     arrived, spilled = [], True
@@ -105,17 +110,17 @@ class ContentLookup(StatefulProcessor):
             if part == 0:
                 yield self._token(content_id)
             if due is not None or spilled:
-                for body in self._pending.get():
-                    yield self._event(content_id, tuple(body), known)
+                for waiting in self._pending.get():
+                    yield self._event(content_id, waiting[0], known)
                 self._pending.clear()
             if due is not None:
                 self._handle.deleteTimer(due)
-        for body in arrived:
-            yield self._event(content_id, body, known)
+        for (event,) in arrived:
+            yield self._event(content_id, event, known)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for body in self._pending.get():
-            yield self._event(key[0], tuple(body), None)
+        for waiting in self._pending.get():
+            yield self._event(key[0], waiting[0], None)
         self._pending.clear()
         self._value.clear()
 
@@ -129,14 +134,36 @@ class ContentLookup(StatefulProcessor):
         self._handle.registerTimer(until_ms)
         self._value.update((None, None, None, until_ms))
 
-    def _event(self, content_id: str, body: tuple, known: tuple | None) -> Row:
+    def _event(self, content_id: str, event: str, known: tuple | None) -> Row:
         if known is None:
-            return self._make(KIND_EVENT, content_id, *body, None, None, False)
-        return self._make(KIND_EVENT, content_id, *body, known[0], known[1], True)
+            return self._make(KIND_EVENT, content_id, event, None, None, False)
+        return self._make(KIND_EVENT, content_id, event, known[0], known[1], True)
 
     def _token(self, content_id: str) -> Row:
-        body = (None,) * len(_PENDING)
-        return self._make(KIND_FIRST_SEEN, content_id, *body, None, None, None)
+        return self._make(KIND_FIRST_SEEN, content_id, None, None, None, None)
+
+
+def _packed(events: DataFrame) -> Column:
+    fields = [
+        F.unix_micros(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+        for f in _EVENT_FIELDS
+    ]
+    fields += [F.col("seq"), *[F.col(c) for c in ("extras",) if c in events.columns]]
+    return F.to_json(F.struct(*fields))
+
+
+def _unpacked(output: DataFrame, extras: bool) -> DataFrame:
+    """Typed event columns again, parsed once per row."""
+    schema = T.StructType(list(_PACKED.fields))
+    if extras:
+        schema = schema.add("extras", T.MapType(T.StringType(), T.VariantType()))
+    output = output.withColumn("row", F.from_json("event", schema))
+    columns = {f.name: F.col(f"row.{f.name}") for f in schema.fields}
+    for f in _EVENT_FIELDS:
+        if isinstance(f.dataType, T.TimestampType):
+            columns[f.name] = F.timestamp_micros(columns[f.name])
+    kept = ["kind", "content_id", "content_type", "length_seconds", "found"]
+    return evaluated_once(output, kept, **columns)
 
 
 def _slices(content_id: Column, hot_ids: Collection[str], hot_slices: int) -> Column:
@@ -163,7 +190,8 @@ def tagged_streams(
     first = F.lit(0).cast("bigint")
     n = _slices(F.col("content_id"), hot_ids, hot_slices)
     own = F.pmod(F.xxhash64("id", "event_ts", "user_id", "duration_ms"), n)
-    fields = _with_seq(events).select("content_id", own.alias("own"), *_PENDING.fieldNames())
+    events = _with_seq(events)
+    fields = events.select("content_id", own.alias("own"), "seq", _packed(events).alias("event"))
     if hot_ids and hot_slices > 1:
         n = _slices(F.col("content_id"), hot_ids, hot_slices)
         fields = fields.withColumn("slice", F.explode(F.sequence(first, n - 1)))
@@ -174,15 +202,15 @@ def tagged_streams(
         "content_id", "slice", F.when(here, EVENT).otherwise(ALIVE).alias("tag"),
         F.lit(None).cast("string").alias("content_type"),
         F.lit(None).cast("bigint").alias("length_seconds"),
-        *[F.when(here, F.col(name)).alias(name) for name in _PENDING.fieldNames()],
+        "seq", F.when(here, F.col("event")).alias("event"),
     )
     n = _slices(F.col("id"), hot_ids, hot_slices)
     versions = _with_seq(content).select(
         F.col("id").alias("content_id"), F.explode(F.sequence(first, n - 1)).alias("slice"),
-        F.lit(CONTENT).alias("tag"), "content_type", "length_seconds",
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in _EVENT_FIELDS], "seq",
+        F.lit(CONTENT).alias("tag"), "content_type", "length_seconds", "seq",
+        F.lit(None).cast("string").alias("event"),
     )
-    return rows.unionByName(versions)
+    return rows.unionByName(versions).select(*_TAGGED)
 
 
 def _with_seq(feed: DataFrame) -> DataFrame:
@@ -204,7 +232,7 @@ def enrich_stream(
     looked_up = tagged.groupBy("content_id", "slice").transformWithState(
         ContentLookup(pending_ttl_secs), OUTPUT, "Append", "ProcessingTime"
     )
-    return finish(looked_up)
+    return finish(_unpacked(looked_up, "extras" in events.columns))
 
 
 def enriched_events(output: DataFrame) -> DataFrame:

@@ -32,14 +32,17 @@ def build_stream(
     pending_ttl_secs: float = DEFAULT_PENDING_TTL_SECS,
     hot_ids: Collection[str] = (),
     hot_slices: int = 16,
+    keep_extras: bool = True,
 ) -> DataFrame:
     """Two change feeds to enriched output, with outcome counters observed.
 
     The feeds are separate subscriptions: branches of one source would read it
-    once each.
+    once each.  Fields of an event that the schema does not name go along to the
+    key-value store and the receiver; a feed without such fields saves a parse
+    with ``keep_extras=False``.
     """
     output = enrich_stream(
-        engagement_changes(for_table(include(engagement_feed), ENGAGEMENT_TABLE)),
+        engagement_changes(for_table(include(engagement_feed), ENGAGEMENT_TABLE), keep_extras),
         content_changes(for_table(include(content_feed), CONTENT_TABLE)),
         pending_ttl_secs, hot_ids, hot_slices,
     )
@@ -79,6 +82,8 @@ class FanOut:
     warehouse_path: str
     kv_path: str | None = None
     kv_ttl_secs: int | None = kv.DEFAULT_TTL_SECS
+    make_kv_client: Callable[[], kv.Client] | None = None
+    kv_receipts_path: str | None = None
     rejects_path: str | None = None
     make_transport: Callable[[], delivery.Transport] | None = None
     receipts_path: str | None = None
@@ -102,6 +107,10 @@ class FanOut:
                     kv.kv_pairs(events, ["seq", "event_ts"]), self.kv_path, batch_id,
                     ttl_secs=self.kv_ttl_secs,
                 ))
+            if self.make_kv_client:
+                self._optional("key-value client", batch_id, lambda: kv.push(
+                    kv.kv_pairs(events, ["seq", "event_ts"]), self.make_kv_client, self.kv_ttl_secs,
+                ).write.mode("overwrite").parquet(f"{self.kv_receipts_path}/batch_id={batch_id}"))
             if self.make_transport:
                 self._optional("delivery", batch_id, lambda: delivery.deliver(
                     events, self.make_transport, self.receipts_path, batch_id,

@@ -155,6 +155,21 @@ def test_longest_life_prunes_old_folders(spark, tmp_path):
     assert live.count() == 1
 
 
+class Store:
+    def set(self, key, value, ttl_secs):
+        assert ttl_secs == 60 and json.loads(value)
+        if key.endswith("7"):
+            raise ConnectionError("down")
+
+    def close(self):
+        pass
+
+
+def test_failing_writes_are_counted(enriched):
+    receipts = kv.push(kv.kv_pairs(enriched), Store, 60)
+    assert {r.status: r.events for r in receipt_counts(receipts).collect()} == {"ok": 180, "error": 20}
+
+
 class Receiver:
     """Answers by rule: accepts, refuses, is down, is slow, recovers."""
 
@@ -211,6 +226,7 @@ def batch(enriched):
 def test_fan_out_feeds_every_sink_once(spark, enriched, tmp_path):
     sink = FanOut(
         str(tmp_path / "w"), str(tmp_path / "kv"), rejects_path=str(tmp_path / "r"),
+        make_kv_client=Store, kv_ttl_secs=60, kv_receipts_path=str(tmp_path / "kv_receipts"),
         make_transport=lambda: Receiver("ok"), receipts_path=str(tmp_path / "receipts"),
         delivery_batch_size=50,
     )
@@ -218,6 +234,7 @@ def test_fan_out_feeds_every_sink_once(spark, enriched, tmp_path):
         sink(batch(enriched), 0)
     assert read_warehouse(spark, str(tmp_path / "w")).count() == 160
     assert kv.read_log(spark, str(tmp_path / "kv")).count() == 200
+    assert spark.read.parquet(str(tmp_path / "kv_receipts")).agg(F.sum("n_events")).first()[0] == 200
     counts = receipt_counts(spark.read.parquet(str(tmp_path / "receipts"))).first()
     assert (counts.sink, counts.status, counts.events) == ("http", "ok", 200)
 

@@ -4,6 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from pulsemill.functions.keys import event_json
 from pulsemill.operators.asof import enrich_asof
 from pulsemill.operators.counters import content_cache_size
 from pulsemill.sources import changes
@@ -79,8 +80,9 @@ def content(key, kind="podcast", length=60):
     return "content", {"id": key, "slug": key, "title": key, "content_type": kind, "length_seconds": length}
 
 
-def event(number, key):
+def event(number, key, **unknown):
     return "engagement_events", {
+        **unknown,
         "id": number, "content_id": key, "user_id": "u", "event_type": "play",
         "event_ts": "2024-01-15T10:30:00Z", "duration_ms": 30_000, "device": "ios", "raw_payload": "{}",
     }
@@ -94,7 +96,7 @@ def test_scripts(spark, tmp_path, hot_ids):
     try:
         feeds.write(content("A"), content("E", "video"), content("F"))
         feeds.write(("content", None), event(1, "A"), event(2, "B"), event(3, "C"), event(4, "D"),
-                    event(5, "D"), event(6, "D"), event(7, "E"), event(8, "F"))
+                    event(5, "D"), event(6, "D"), event(7, "E"), event(8, "F", zz={"a": [1, "é"]}))
         restarted = time.time()
         feeds.write(content("B"), content("E", "newsletter", None), event(9, "D"))
         feeds.write(event(10, "E"))
@@ -113,6 +115,8 @@ def test_scripts(spark, tmp_path, hot_ids):
     }
     assert (events[1].engagement_seconds, events[1].engagement_pct) == (30.0, 50.0)
     assert events[10].engagement_seconds == 30.0 and events[10].engagement_pct is None
+    unknown = feeds.rows().where("id = 8").select(F.to_json("extras"), event_json(feeds.rows())).first()
+    assert unknown[0] == '{"zz":{"a":[1,"é"]}}' and unknown[1].endswith('"engagement_pct":50.0,"zz":{"a":[1,"é"]}}')
     missing = {i for i, r in events.items() if r.content_missing}
     assert missing == {3, 4, 5, 6, 9}
     assert all(events[i].engagement_seconds is None for i in missing)

@@ -245,7 +245,7 @@ def op_kv_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op_delivery_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery.numbered_batches(enriched(spark, sf_dir), O.BATCH_SIZE)
+    return delivery.numbered_batches(enriched(spark, sf_dir), "id", O.BATCH_SIZE)
 
 
 class AcceptingReceiver:
@@ -262,7 +262,7 @@ class AcceptingReceiver:
 
 def op_delivery_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Send every event to an accepting receiver, count what the receipts say."""
-    documents = delivery.numbered_batches(enriched(spark, sf_dir), O.BATCH_SIZE)
+    documents = delivery.numbered_batches(enriched(spark, sf_dir), "id", O.BATCH_SIZE)
     return counters.receipt_counts(delivery.send(documents, _accepting))
 
 

@@ -27,13 +27,12 @@ def with_nearest_decimal(df: DataFrame, name: str, source: Column, digits: int)
     beyond = (p - whole) - 0.5
     odd = F.pmod(whole, F.lit(2)) == 1
     up = (beyond > 0) | ((beyond == 0) & ((error > 0) | ((error == 0) & odd)))
-    return (
-        df.withColumn(f"__{name}_x", source)
-        .withColumn(f"__{name}_p", x * scale)
-        .withColumn(f"__{name}_h", x * _SPLIT - (x * _SPLIT - x))
-        .withColumn(name, (whole + F.when(up, 1).otherwise(0)) / F.lit(scale))
-        .drop(f"__{name}_x", f"__{name}_p", f"__{name}_h")
-    )
+    steps = df.withColumn(f"__{name}_x", source).withColumns({
+        f"__{name}_p": x * scale,
+        f"__{name}_h": x * _SPLIT - (x * _SPLIT - x),
+    })
+    rounded = (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
+    return steps.select(*df.columns, rounded.alias(name))
 
 
 def engagement_seconds(duration_ms: Column) -> Column:

@@ -75,12 +75,14 @@ def document(events: list[str]) -> str:
 
 
 def numbered_batches(
-    enriched: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, seq: str = "id"
+    enriched: DataFrame, seq: str, batch_size: int = DEFAULT_BATCH_SIZE
 ) -> DataFrame:
     """Documents with fixed numbers: event ``seq`` goes into ``seq // batch_size``.
 
-    ``seq`` is a unique number of the row, so no document exceeds the batch size
-    and no group grows with the data.  One shuffle.
+    ``seq`` is a unique whole number of the row: the arrival number, or the id
+    where an event occurs once.  So no document exceeds the batch size and no
+    group grows with the data.  One shuffle.  Rows without such a number go
+    through ``local_batches``.
     """
     events = enriched.select(
         F.floor(F.col(seq) / batch_size).alias("batch_no"),

@@ -14,15 +14,23 @@ from pyspark.sql import functions as F
 HOT_KEY = 3
 DEVICES = ("ios", "android", "web-chrome", "web-safari", "web-firefox", "desktop")
 KINDS = ("podcast", "newsletter", "video")
-# Share of messages per envelope shape, see ``engagement_feed``.
-SHAPES = 11
+SHAPES = 11  # envelope shapes, see ``engagement_feed``
+
+# The columns in use.  A given schema saves looking at the files while planning.
+_COLUMNS = {
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "supplier": "s_suppkey bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, stream: bool = False) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    table = spark.read.parquet(path)
-    # A stream reads folders or patterns, and a table may be one file.
-    return spark.readStream.schema(table.schema).parquet(path + "*") if stream else table
+    path, columns = f"{sf_dir}/{name}.parquet", _COLUMNS[name]
+    if stream:
+        # A stream reads folders or patterns, and a table may be one file.
+        return spark.readStream.schema(columns).parquet(path + "*")
+    return spark.read.schema(columns).parquet(path)
 
 
 def _pick(index: Column, values: tuple[str, ...]) -> Column:

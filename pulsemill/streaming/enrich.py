@@ -189,8 +189,8 @@ def tagged_streams(
         raise ValueError(f"at most {MAX_HOT_IDS} hot ids, got {len(hot_ids)}")
     first = F.lit(0).cast("bigint")
     n = _slices(F.col("content_id"), hot_ids, hot_slices)
-    own = F.pmod(F.xxhash64("id", "event_ts", "user_id", "duration_ms"), n)
     events = _with_seq(events)
+    own = F.pmod(F.xxhash64("id", "seq", "event_ts", "user_id", "duration_ms"), n)
     fields = events.select("content_id", own.alias("own"), "seq", _packed(events).alias("event"))
     if hot_ids and hot_slices > 1:
         n = _slices(F.col("content_id"), hot_ids, hot_slices)

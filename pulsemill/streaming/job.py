@@ -219,12 +219,15 @@ def final_table(
     return spark.read.schema(running.schema).parquet(f"{path}/out")
 
 
-def start_console(output: DataFrame, checkpoint: str, emit_every_secs: float = DEFAULT_EMIT_SECS) -> StreamingQuery:
+def start_console(
+    spark: SparkSession, output: DataFrame, checkpoint: str, emit_every_secs: float = DEFAULT_EMIT_SECS
+) -> StreamingQuery:
     """Debug sink: print enriched events as they are emitted."""
-    return (
-        enriched_events(output).writeStream.format("console").option("truncate", "false")
-        .outputMode("append")
-        .trigger(processingTime=f"{int(emit_every_secs * 1000)} milliseconds")
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+    with temporary_conf(spark, STATE_SETTINGS):
+        return (
+            enriched_events(output).writeStream.format("console").option("truncate", "false")
+            .outputMode("append")
+            .trigger(processingTime=f"{int(emit_every_secs * 1000)} milliseconds")
+            .option("checkpointLocation", checkpoint)
+            .start()
+        )

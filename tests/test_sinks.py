@@ -206,7 +206,7 @@ def test_receipts(enriched, rule, status, error_class, attempts):
 
 
 @pytest.mark.parametrize("make", [
-    lambda df: delivery.local_batches(df, 7), lambda df: delivery.numbered_batches(df, 7)])
+    lambda df: delivery.local_batches(df, 7), lambda df: delivery.numbered_batches(df, "id", 7)])
 def test_every_event_is_in_one_document(enriched, make):
     documents = make(enriched.repartition(5))
     assert documents.agg(F.max("n_events")).first()[0] <= 7
@@ -215,7 +215,7 @@ def test_every_event_is_in_one_document(enriched, make):
 
 
 def test_numbered_documents_are_ordered(enriched):
-    body = delivery.numbered_batches(enriched.repartition(3), 50).where("batch_no = 1").first().body
+    body = delivery.numbered_batches(enriched.repartition(3), "id", 50).where("batch_no = 1").first().body
     assert [e["id"] for e in json.loads(body)["events"]] == list(range(50, 100))
 
 
@@ -257,3 +257,31 @@ def test_outcomes_are_observed_in_batch(enriched):
     df, watch = observed(enriched)
     df.write.format("noop").mode("overwrite").save()
     assert watch.get == {"enriched": 160, "missing_content": 40}
+
+
+def test_http_transport_posts_to_the_events_route(monkeypatch):
+    import urllib.error
+    import urllib.request
+
+    seen = []
+
+    class Reply:
+        status = 200
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+    def urlopen(request, timeout):
+        seen.append((request.full_url, request.data, request.get_header("Content-type"), timeout))
+        if len(seen) > 1:
+            raise urllib.error.HTTPError(request.full_url, 503, "busy", {}, None)
+        return Reply()
+
+    monkeypatch.setattr(urllib.request, "urlopen", urlopen)
+    transport = delivery.HttpTransport("http://receiver:1/", 30)
+    assert transport.post('{"events":[]}') == 200
+    assert transport.post('{"events":[]}') == 503
+    assert seen[0] == ("http://receiver:1/events", b'{"events":[]}', "application/json", 30)

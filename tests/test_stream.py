@@ -195,3 +195,19 @@ def test_running_number_of_items(spark, tmp_path):
     items = changes.content_changes(changes.read_file_stream(spark, str(folder), TOPIC + "content"))
     result = job.final_table(spark, content_cache_size(items), str(tmp_path / "work"), 2)
     assert result.first().cached_items == 7
+
+
+def test_console_sink(spark, tmp_path):
+    feeds = Feeds(spark, tmp_path, 10)
+    (feeds.folders["content"] / "1.json").write_text(json.dumps({"after": {"id": "a"}}) + "\n")
+    output = enrich_stream(
+        changes.engagement_changes(changes.read_file_stream(
+            spark, str(feeds.folders["engagement_events"]), TOPIC + "engagement_events")),
+        changes.content_changes(changes.read_file_stream(
+            spark, str(feeds.folders["content"]), TOPIC + "content")),
+    )
+    query = feeds.query = job.start_console(spark, output, str(tmp_path / "c"), 0.2)
+    try:
+        feeds.until(lambda: any(p.numInputRows == 1 for p in query.recentProgress))
+    finally:
+        query.stop()

@@ -7,6 +7,7 @@ at-least-once: a task that is run again sends again.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -69,6 +70,16 @@ class HttpTransport:
         pass
 
 
+class DryRun:
+    """Sends nothing: accepts documents a receiver would accept."""
+
+    def post(self, body: str) -> int:
+        return 200 if isinstance(json.loads(body).get("events"), list) else 422
+
+    def close(self) -> None:
+        pass
+
+
 def document(events: list[str]) -> str:
     """``{"events":[...]}`` from events that are JSON already."""
     return '{"events":[' + ",".join(events) + "]}"

@@ -22,6 +22,7 @@ from pulsemill.schemas import ENGAGEMENT
 EVENT, CONTENT, ALIVE = "main", "content", "alive"
 DEFAULT_PENDING_TTL_SECS = 10
 MAX_HOT_IDS = 1_000
+KEYLESS_SLICES = 64
 _STATE_CHUNK = 5_000
 
 _EVENT_FIELDS = [f for f in ENGAGEMENT.fields if f.name != "content_id"]
@@ -56,6 +57,8 @@ OUTPUT = T.StructType([
     T.StructField("content_type", T.StringType()),
     T.StructField("length_seconds", T.LongType()),
     T.StructField("found", T.BooleanType()),
+    # Event: it had to wait for its content.  Token: its content released events.
+    T.StructField("drained", T.BooleanType()),
 ])
 KIND_EVENT, KIND_FIRST_SEEN = "event", "first_seen"
 
@@ -82,15 +85,16 @@ class ContentLookup(StatefulProcessor):
         due = state[3] if state is not None else None
         known = before = tuple(state[:3]) if state is not None and due is None else None
         arrived: list[tuple] = []
-        restart, spilled = False, False
+        restart, spilled, released = False, False, False
         for _, _, tag, content_type, length, seq, event in rows:
             if tag == CONTENT:
+                released = released or (known is None and (restart or due is not None))
                 if known is None or seq is None or known[2] is None or seq >= known[2]:
                     known = (content_type, length, seq)
             elif tag == ALIVE:
                 restart = True
             elif known is not None:
-                yield self._event(content_id, event, known)
+                yield self._event(content_id, event, known, False)
             else:
                 restart = True
                 arrived.append((event,))
@@ -101,26 +105,27 @@ class ContentLookup(StatefulProcessor):
         if known is None:
             if arrived:
                 self._pending.appendList(arrived)
-            if restart and (arrived or spilled or due is not None):
+            # The first slice of a hot id also keeps time for events of the others.
+            if restart and (arrived or spilled or due is not None or part == 0):
                 self._wait(timerValues.getCurrentProcessingTimeInMs() + self._wait_ms, due)
             return
         if known != before:
             self._value.update((*known, None))
         if before is None:
             if part == 0:
-                yield self._token(content_id)
+                yield self._make(KIND_FIRST_SEEN, content_id, None, None, None, None, released)
             if due is not None or spilled:
                 for waiting in self._pending.get():
-                    yield self._event(content_id, waiting[0], known)
+                    yield self._event(content_id, waiting[0], known, True)
                 self._pending.clear()
             if due is not None:
                 self._handle.deleteTimer(due)
         for (event,) in arrived:
-            yield self._event(content_id, event, known)
+            yield self._event(content_id, event, known, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         for waiting in self._pending.get():
-            yield self._event(key[0], waiting[0], None)
+            yield self._event(key[0], waiting[0], None, False)
         self._pending.clear()
         self._value.clear()
 
@@ -134,13 +139,10 @@ class ContentLookup(StatefulProcessor):
         self._handle.registerTimer(until_ms)
         self._value.update((None, None, None, until_ms))
 
-    def _event(self, content_id: str, event: str, known: tuple | None) -> Row:
+    def _event(self, content_id: str, event: str, known: tuple | None, drained: bool) -> Row:
         if known is None:
-            return self._make(KIND_EVENT, content_id, event, None, None, False)
-        return self._make(KIND_EVENT, content_id, event, known[0], known[1], True)
-
-    def _token(self, content_id: str) -> Row:
-        return self._make(KIND_FIRST_SEEN, content_id, None, None, None, None)
+            return self._make(KIND_EVENT, content_id, event, None, None, False, drained)
+        return self._make(KIND_EVENT, content_id, event, known[0], known[1], True, drained)
 
 
 def _packed(events: DataFrame) -> Column:
@@ -162,15 +164,19 @@ def _unpacked(output: DataFrame, extras: bool) -> DataFrame:
     for f in _EVENT_FIELDS:
         if isinstance(f.dataType, T.TimestampType):
             columns[f.name] = F.timestamp_micros(columns[f.name])
-    kept = ["kind", "content_id", "content_type", "length_seconds", "found"]
+    kept = ["kind", "content_id", "content_type", "length_seconds", "found", "drained"]
     return evaluated_once(output, kept, **columns)
 
 
 def _slices(content_id: Column, hot_ids: Collection[str], hot_slices: int) -> Column:
-    """Number of slices of an id: one, or ``hot_slices`` for the named hot ids."""
-    if not hot_ids or hot_slices <= 1:
-        return F.lit(1).cast("bigint")
-    return F.when(content_id.isin(*hot_ids), F.lit(hot_slices)).otherwise(F.lit(1)).cast("bigint")
+    """Number of slices of an id: one, ``hot_slices`` for the named hot ids.
+
+    Events without id can only end as missing, so theirs need no common wait.
+    """
+    n = F.when(content_id.isNull(), F.lit(KEYLESS_SLICES))
+    if hot_ids:
+        n = n.when(content_id.isin(*hot_ids), F.lit(hot_slices))
+    return n.otherwise(F.lit(1)).cast("bigint")
 
 
 def tagged_streams(
@@ -192,9 +198,10 @@ def tagged_streams(
     events = _with_seq(events)
     own = F.pmod(F.xxhash64("id", "seq", "event_ts", "user_id", "duration_ms"), n)
     fields = events.select("content_id", own.alias("own"), "seq", _packed(events).alias("event"))
-    if hot_ids and hot_slices > 1:
-        n = _slices(F.col("content_id"), hot_ids, hot_slices)
-        fields = fields.withColumn("slice", F.explode(F.sequence(first, n - 1)))
+    if hot_ids:
+        every = F.sequence(first, F.lit(hot_slices - 1).cast("bigint"))
+        hot = F.col("content_id").isin(*hot_ids)
+        fields = fields.withColumn("slice", F.explode(F.when(hot, every).otherwise(F.array("own"))))
     else:
         fields = fields.withColumn("slice", F.col("own"))
     here = F.col("slice") == F.col("own")

@@ -50,19 +50,24 @@ def build_stream(
 
 
 def with_counters(output: DataFrame) -> DataFrame:
-    """Report per batch, in the query progress: enriched, missing, newly known items."""
+    """Report per batch, in the query progress, what became of events and items.
+
+    ``flushed_pending`` counts items whose first version released waiting events.
+    """
     is_event = F.col("kind") == KIND_EVENT
+    is_token = F.col("kind") == KIND_FIRST_SEEN
     return output.observe(
         ENRICHMENT,
         F.count_if(is_event & ~F.col("content_missing")).alias("enriched"),
         F.count_if(is_event & F.col("content_missing")).alias("missing_content"),
-        F.count_if(F.col("kind") == KIND_FIRST_SEEN).alias("new_items"),
+        F.count_if(is_token).alias("new_items"),
+        F.count_if(is_token & F.col("drained")).alias("flushed_pending"),
     )
 
 
 def counter_totals(query: StreamingQuery) -> dict[str, int]:
     """Sum of the counters over the progress reports the query still holds."""
-    totals = {"enriched": 0, "missing_content": 0, "new_items": 0}
+    totals = {"enriched": 0, "missing_content": 0, "new_items": 0, "flushed_pending": 0}
     for progress in query.recentProgress:
         seen = progress.observedMetrics.get(ENRICHMENT)
         if seen is not None:

@@ -96,29 +96,31 @@ def test_scripts(spark, tmp_path, hot_ids):
     try:
         feeds.write(content("A"), content("E", "video"), content("F"))
         feeds.write(("content", None), event(1, "A"), event(2, "B"), event(3, "C"), event(4, "D"),
-                    event(5, "D"), event(6, "D"), event(7, "E"), event(8, "F", zz={"a": [1, "é"]}))
+                    event(5, "D"), event(6, "D"), event(7, "E"), event(8, "F", zz={"a": [1, "é"]}),
+                    event(11, None))
         restarted = time.time()
         feeds.write(content("B"), content("E", "newsletter", None), event(9, "D"))
         feeds.write(event(10, "E"))
-        feeds.until(lambda: feeds.collector.events >= 10)
+        feeds.until(lambda: feeds.collector.events >= 11)
         # The progress report follows the batch.
-        expected = {"enriched": 5, "missing_content": 5, "new_items": 4}
+        expected = {"enriched": 5, "missing_content": 6, "new_items": 4, "flushed_pending": 1}
         feeds.until(lambda: job.counter_totals(feeds.query) == expected)
     finally:
         feeds.stop()
     rows = feeds.rows().collect()
     events = {r.id: r for r in rows if r.kind == "event"}
-    assert len(events) == sum(r.kind == "event" for r in rows) == 10
+    assert len(events) == sum(r.kind == "event" for r in rows) == 11
     assert {i: r.content_type for i, r in events.items()} == {
         1: "podcast", 2: "podcast", 3: None, 4: None, 5: None, 6: None, 7: "video", 8: "podcast",
-        9: None, 10: "newsletter",
+        9: None, 10: "newsletter", 11: None,
     }
     assert (events[1].engagement_seconds, events[1].engagement_pct) == (30.0, 50.0)
     assert events[10].engagement_seconds == 30.0 and events[10].engagement_pct is None
     unknown = feeds.rows().where("id = 8").select(F.to_json("extras"), event_json(feeds.rows())).first()
     assert unknown[0] == '{"zz":{"a":[1,"é"]}}' and unknown[1].endswith('"engagement_pct":50.0,"zz":{"a":[1,"é"]}}')
+    assert {i for i, r in events.items() if r.drained} == {2}
     missing = {i for i, r in events.items() if r.content_missing}
-    assert missing == {3, 4, 5, 6, 9}
+    assert missing == {3, 4, 5, 6, 9, 11}
     assert all(events[i].engagement_seconds is None for i in missing)
     # Each event of D restarted the wait of them all, in every slice.
     last = {events[i].batch for i in (4, 5, 6, 9)}
@@ -155,12 +157,14 @@ def test_stream_equals_batch_across_a_restart(spark, tmp_path, hot_ids):
                 feeds.start()
         ev, ver = frames(spark, arrivals)
         batch = enrich_asof(ev, ver)
-        found = {r.id: r.content_type for r in batch.where(~F.col("content_missing")).collect()}
+        known = batch.where(~F.col("content_missing")).collect()
+        found = {r.id: (r.content_type, r.drained) for r in known}
         feeds.until(lambda: feeds.collector.events >= len(found))
     finally:
         feeds.stop()
     rows = [r for r in feeds.rows().collect() if r.kind == "event"]
-    assert {r.id: r.content_type for r in rows} == found
+    assert {r.id: (r.content_type, r.drained) for r in rows} == found
+    assert any(r.drained for r in rows) and not all(r.drained for r in rows)
     assert len(rows) == len(found) < sum(a[2] == "main" for a in arrivals)
 
 

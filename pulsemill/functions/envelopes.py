@@ -87,10 +87,13 @@ def typed_fields(row: str, schema: T.StructType) -> dict[str, Column]:
 
 
 def extra_fields(after: Column, schema: T.StructType) -> Column:
-    """Fields of the after-image that the schema does not name, as name -> variant."""
+    """Fields of the after-image that the schema does not name, as name -> variant.
+
+    Null where there are none: only images with an unknown field are parsed again.
+    """
     known = F.array(*[F.lit(n) for n in schema.fieldNames()])
+    unknown = F.array_except(F.json_object_keys(after), known)
     rest = F.map_filter(
-        F.from_json(after, "map<string,variant>"),
-        lambda k, _: ~F.array_contains(known, k),
+        F.from_json(after, "map<string,variant>"), lambda k, _: ~F.array_contains(known, k)
     )
-    return F.when(F.size(rest) > 0, rest)
+    return F.when(F.size(unknown) > 0, rest)

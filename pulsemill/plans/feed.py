@@ -10,9 +10,10 @@ from pulsemill.sources.changes import (
 )
 
 
-def enriched_from_feed(feed: DataFrame) -> DataFrame:
+def enriched_from_feed(feed: DataFrame, keep_extras: bool = False) -> DataFrame:
     """Route a mixed feed, unwrap both tables, keep the newest catalogue, enrich."""
     feed = include(feed)
-    events = engagement_changes(for_table(feed, ENGAGEMENT_TABLE)).drop("seq", "arrival_ts")
+    events = engagement_changes(for_table(feed, ENGAGEMENT_TABLE), keep_extras)
+    events = events.drop("seq", "arrival_ts")
     catalogue = latest_per_key(content_changes(for_table(feed, CONTENT_TABLE)))
     return enrich_snapshot(events, catalogue)

@@ -94,3 +94,16 @@ def test_a_bounded_wait_needs_arrival_times(spark):
     with pytest.raises(ValueError):
         enrich_asof(ev.drop("arrival_ts"), ver, WAIT)
     assert enrich_asof(ev.drop("arrival_ts"), ver.drop("arrival_ts")).first().drained
+
+
+def test_one_shuffle_of_the_events_and_no_pairs(spark, tmp_path):
+    ev, ver = frames(spark, recorded(0, 100))
+    for name, df in (("ev", ev), ("ver", ver)):
+        df.write.parquet(str(tmp_path / name))
+    ev, ver = (spark.read.parquet(str(tmp_path / n)) for n in ("ev", "ver"))
+    plan = enrich_asof(ev, ver, WAIT, hot_rows=10, slice_width=7)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    executed = enrich_asof(ev, ver, WAIT)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in executed.splitlines() if "Exchange hashpartitioning(content_id" in line and "slice" in line]
+    # The sweep, and the slim pass over hot rows that prepares the summary (twice by slice).
+    assert 1 <= len(wide) <= 3

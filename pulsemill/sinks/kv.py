@@ -104,11 +104,17 @@ def push(
 def live_entries(
     log: DataFrame, as_of: Instant = None, longest_ttl_secs: int | None = None
 ) -> DataFrame:
-    """Entries a store would hold at ``as_of``.
+    """Entries (key, value, expires_at) a store would hold at ``as_of``.
 
     If every write has a time to live of at most ``longest_ttl_secs``, older
     writes cannot be alive and their folders are not read.
     """
+    return _live(log, ["value"], as_of, longest_ttl_secs)
+
+
+def _live(
+    log: DataFrame, columns: list[str], as_of: Instant, longest_ttl_secs: int | None
+) -> DataFrame:
     now = instant(as_of, log.schema["written_at"].dataType)
     seen = log.where(F.col("written_at") <= now)
     if longest_ttl_secs:
@@ -117,11 +123,12 @@ def live_entries(
         if "written_date" in log.columns:
             seen = seen.where(F.col("written_date") >= F.to_date(oldest))
     order = ["written_at", *[c for c in ("batch_id",) if c in log.columns]]
+    columns = [*columns, "expires_at"]
     newest = seen.groupBy("key").agg(
-        F.max_by(F.struct("value", "expires_at"), F.struct(*order)).alias("entry")
+        F.max_by(F.struct(*columns), F.struct(*order)).alias("entry")
     )
     alive = F.col("entry.expires_at").isNull() | (F.col("entry.expires_at") > now)
-    return newest.where(alive).select("key", "entry.value", "entry.expires_at")
+    return newest.where(alive).select("key", *[F.col(f"entry.{c}") for c in columns])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -137,9 +144,9 @@ def keys_with_prefix(
     log: DataFrame, prefix: str = KEY_PREFIX, as_of: Instant = None, longest_ttl_secs: int | None = None
 ) -> DataFrame:
     matching = log.where(F.col("key").startswith(prefix))
-    return live_entries(matching, as_of, longest_ttl_secs).select("key")
+    return _live(matching, [], as_of, longest_ttl_secs).select("key")
 
 
 def size(log: DataFrame, as_of: Instant = None, longest_ttl_secs: int | None = None) -> DataFrame:
-    entries = live_entries(log, as_of, longest_ttl_secs)
-    return entries.agg(F.count("*").alias("n_keys"))
+    """Number of live keys; values are not read."""
+    return _live(log, [], as_of, longest_ttl_secs).agg(F.count("*").alias("n_keys"))

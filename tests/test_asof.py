@@ -104,6 +104,7 @@ def test_one_shuffle_of_the_events_and_no_pairs(spark, tmp_path):
     plan = enrich_asof(ev, ver, WAIT, hot_rows=10, slice_width=7)._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     executed = enrich_asof(ev, ver, WAIT)._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in executed.splitlines() if "Exchange hashpartitioning(content_id" in line and "slice" in line]
+    lines = executed.splitlines()
+    wide = [line for line in lines if "Exchange hashpartitioning(content_id" in line and "slice" in line]
     # The sweep, and the slim pass over hot rows that prepares the summary (twice by slice).
     assert 1 <= len(wide) <= 3

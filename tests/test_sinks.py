@@ -155,6 +155,13 @@ def test_longest_life_prunes_old_folders(spark, tmp_path):
     assert live.count() == 1
 
 
+def test_counting_keys_reads_no_values(spark, tmp_path):
+    path = str(tmp_path / "kv")
+    kv.write_batch(spark.createDataFrame([("a", "1")], "key string, value string"), path, 0)
+    plan = kv.size(kv.read_log(spark, path))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<key:string,written_at:timestamp,expires_at:timestamp>" in plan
+
+
 class Store:
     def set(self, key, value, ttl_secs):
         assert ttl_secs == 60 and json.loads(value)

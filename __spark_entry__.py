@@ -25,6 +25,14 @@ from pulsemill.sources.tables import content_ids, read_warehouse  # noqa: E402
 from pulsemill.streaming import job  # noqa: E402
 from pulsemill.streaming.enrich import enriched_events  # noqa: E402
 
+try:  # the text operators may be left out of an installation
+    import corpus_pipeline
+    from pulsemill.llm import queries as llm
+except ModuleNotFoundError as absent:
+    if absent.name not in ("corpus_pipeline", "pulsemill.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -327,8 +335,16 @@ def queries() -> dict[str, Query]:
         "op_stream_enrich": _stream(()),
         "op_stream_enrich_sliced": _stream(("c-3",)),
         "op_stream_cache_size": op_stream_cache_size,
+        **_text_queries(),
     }
 
 
+def _text_queries() -> dict[str, Query]:
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {}
+
+
 def oracle_sql() -> dict[str, str]:
-    return O.oracle_sql()
+    text = dict(llm.ORACLES) if llm else {}
+    if llm and corpus_pipeline.ORACLE_SQL:
+        text["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**O.oracle_sql(), **text}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, near_dedup, resample
+from pulsemill.llm import decontaminate, histogram_sort, mixing, near_dedup, resample
 from pulsemill.llm.common import table
 
 
@@ -13,6 +13,17 @@ def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))[0]
 
 
+def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return histogram_sort.shard_rows(table(spark, sf_dir, "documents"))
+
+
+def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    mix = mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document, and whether the sample holds it."""
     return resample.quality_sample(
@@ -27,6 +38,8 @@ def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_probminhash": op3_probminhash,
+    "op4_histogram_sort": op4_histogram_sort,
+    "op5_weighted_mix": op5_weighted_mix,
     "op7_importance_resampling": op7_importance_resampling,
     "op10_prefix_set_join": op10_prefix_set_join,
 }
@@ -63,4 +76,43 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN n USING (rid) LEFT JOIN items USING (rid)
 """
 
-ORACLES = {"op10_prefix_set_join": OP10_SQL}
+OP5_SQL = r"""
+WITH l AS (
+  SELECT doc_id, CASE WHEN bool_and(coalesce(quality, 1) > 0 AND coalesce(toxic, 0) = 0)
+                      THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END AS weight
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '') || 'mix-1') AS row_key
+  FROM documents
+), k AS (
+  SELECT d.*, -ln((CAST('0x' || substr(row_key, 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+              / coalesce(weight, 1.0::DOUBLE) AS key
+  FROM d LEFT JOIN l USING (doc_id)
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM k GROUP BY source
+), r AS (SELECT *, CAST(3 * source_size AS DOUBLE) / w AS reach FROM s),
+levels AS (
+  SELECT *, CAST((sum(source_size) OVER ()) - 3 * coalesce(sum(source_size) OVER before, 0) AS DOUBLE)
+            / ((sum(w) OVER ()) - coalesce(sum(w) OVER before, 0)) AS level
+  FROM r WINDOW before AS (ORDER BY reach, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), chosen AS (SELECT arg_min(level, reach) AS level FROM levels WHERE level <= reach),
+t AS (
+  SELECT source, source_size, least(c.level * w, CAST(3 * source_size AS DOUBLE)) AS target
+  FROM levels, chosen c
+), placed AS (
+  SELECT k.*, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS epochs,
+    coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (epochs + CASE WHEN 2 * before + size <= 2 * (target - epochs * source_size)
+                             THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
+"""
+
+ORACLES = {"op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}

@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulsemill.llm import decontaminate, histogram_sort, mixing, near_dedup, resample
+from pulsemill.llm import (
+    byte_cnn,
+    decontaminate,
+    histogram_sort,
+    line_crf,
+    mixing,
+    near_dedup,
+    resample,
+)
 from pulsemill.llm.common import table
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and line labels of every document, and whether it stays."""
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.line_quality(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))[0]
@@ -30,6 +44,12 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return byte_cnn.languages(docs, byte_cnn.fit(docs))
+
+
 def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return decontaminate.contamination(
@@ -37,10 +57,12 @@ def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_crf": op1_line_crf,
     "op3_probminhash": op3_probminhash,
     "op4_histogram_sort": op4_histogram_sort,
     "op5_weighted_mix": op5_weighted_mix,
     "op7_importance_resampling": op7_importance_resampling,
+    "op8_byte_cnn": op8_byte_cnn,
     "op10_prefix_set_join": op10_prefix_set_join,
 }
 

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pulsemill.llm import (
+    arc_convert,
     byte_cnn,
     decontaminate,
     histogram_sort,
     line_crf,
+    list_join,
     mixing,
     near_dedup,
+    page_diff,
     resample,
 )
 from pulsemill.llm.common import table
@@ -22,6 +28,12 @@ def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.line_quality(docs, line_crf.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through legacy archives into WARC and back."""
+    return arc_convert.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))[0]
@@ -38,6 +50,11 @@ def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_diff.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight of every document, and whether the sample holds it."""
     return resample.quality_sample(
@@ -50,6 +67,51 @@ def op8_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.languages(docs, byte_cnn.fit(docs))
 
 
+def _number(*parts: str | Column) -> Column:
+    """28 bits of a hash that SQL engines share."""
+    text = F.concat_ws("/", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 7), 16, 10).cast("long")
+
+
+YEAR_START, YEAR_SECONDS, MONTH_SECONDS = 1_704_067_200, 31_536_000, 2_628_000
+
+
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a fetch time in 2024 that follows from the page_id."""
+    return table(spark, sf_dir, "pages").select(
+        "page_id", "url", (YEAR_START + _number("page_id") % YEAR_SECONDS).alias("fetched_at"))
+
+
+def list_entries(seen: DataFrame) -> DataFrame:
+    """A list log that grows with the captures.
+
+    Every month lists each host seen in it, anew or not; the first path segments of hosts
+    are listed once; every fifth path is listed by itself. Actions and times are hashed.
+    """
+    named = seen.withColumn("host", list_join.host_of(F.col("url"))).withColumn(
+        "path", list_join.path_of(F.col("url"))).where("host <> ''")
+    month = F.floor((F.col("fetched_at") - YEAR_START) / MONTH_SECONDS).alias("month")
+    hosts = named.select("host", month).distinct().select(
+        F.concat(F.lit("d:"), "host").alias("pattern"), _number("host", "month", F.lit("a")).alias("pick"),
+        (YEAR_START + F.col("month") * MONTH_SECONDS + _number("host", "month") % MONTH_SECONDS).alias("at"))
+    top = F.regexp_extract("path", "^(/[^/]*/)", 1).alias("top")
+    tops = named.select("host", top).where("top <> ''").distinct().select(
+        F.concat(F.lit("p:"), "host", "top").alias("pattern"), _number("host", "top", F.lit("a")).alias("pick"),
+        (YEAR_START + _number("host", "top") % YEAR_SECONDS).alias("at"))
+    single = named.where(_number("page_id", F.lit("list")) % 5 == 0).select(
+        F.concat(F.lit("p:"), "host", "path").alias("pattern"),
+        _number("page_id", F.lit("a")).alias("pick"),
+        (YEAR_START + _number("page_id", F.lit("at")) % YEAR_SECONDS).alias("at"))
+    action = F.when(F.col("pick") % 3 == 0, "block").when(F.col("pick") % 3 == 1, "allow").otherwise("drop")
+    return hosts.union(tops).union(single).select("pattern", action.alias("action"), "at")
+
+
+def op9_temporal_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page against the list entries active when it was fetched."""
+    seen = captures(spark, sf_dir)
+    return list_join.as_of(seen, list_entries(seen))
+
+
 def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
     return decontaminate.contamination(
@@ -58,11 +120,14 @@ def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_crf": op1_line_crf,
+    "op2_arc_to_warc": op2_arc_to_warc,
     "op3_probminhash": op3_probminhash,
     "op4_histogram_sort": op4_histogram_sort,
     "op5_weighted_mix": op5_weighted_mix,
+    "op6_page_diff": op6_page_diff,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_byte_cnn": op8_byte_cnn,
+    "op9_temporal_list": op9_temporal_list,
     "op10_prefix_set_join": op10_prefix_set_join,
 }
 
@@ -137,4 +202,51 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}
+_NUM = "CAST('0x' || substr(md5({}), 1, 7) AS BIGINT)"
+OP9_SQL = r"""
+WITH c AS (
+  SELECT row_number() OVER () AS rid, page_id, url,
+         1704067200 + @{CAST(page_id AS VARCHAR)} % 31536000 AS fetched_at,
+         lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1),
+               '^[^@]*@|:[0-9]*$|\.$', '', 'g')) AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS raw
+  FROM pages
+), n AS (
+  SELECT *, CASE WHEN raw = '' THEN '/' ELSE raw END AS path,
+         CAST(floor((fetched_at - 1704067200) / 2628000) AS BIGINT) AS month
+  FROM c
+), log AS (
+  SELECT 'd:' || host AS pattern, @{host || '/' || month || '/a'} AS pick,
+         1704067200 + month * 2628000 + @{host || '/' || month} % 2628000 AS since
+  FROM (SELECT DISTINCT host, month FROM n WHERE host <> '')
+  UNION ALL
+  SELECT 'p:' || host || top, @{host || '/' || top || '/a'}, 1704067200 + @{host || '/' || top} % 31536000
+  FROM (SELECT DISTINCT host, regexp_extract(path, '^(/[^/]*/)', 1) AS top FROM n WHERE host <> '')
+  WHERE top <> ''
+  UNION ALL
+  SELECT 'p:' || host || path, @{page_id || '/a'}, 1704067200 + @{page_id || '/at'} % 31536000
+  FROM n WHERE host <> '' AND @{page_id || '/list'} % 5 = 0
+), entries AS (
+  SELECT pattern, since, min(CASE pick % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END) AS act FROM log GROUP BY pattern, since
+), v AS (
+  SELECT pattern, act, since AS valid_from, lead(since) OVER (PARTITION BY pattern ORDER BY since) AS valid_to FROM entries
+), probes AS (
+  SELECT rid, fetched_at, unnest(list_distinct(list_concat(
+    list_transform(range(1, len(labels) + 1), lambda k: 'd:' || array_to_string(labels[len(labels) - k + 1:], '.')),
+    list_transform(range(1, len(parts) + 1), lambda k: 'p:' || host || array_to_string(parts[:k], '/')
+      || CASE WHEN k < len(parts) THEN '/' ELSE '' END)))) AS pattern
+  FROM (SELECT *, string_split(host, '.') AS labels, string_split(path, '/') AS parts FROM n WHERE host <> '')
+), hit AS (
+  SELECT rid, p.pattern, act, valid_from, row_number() OVER (PARTITION BY rid
+    ORDER BY starts_with(p.pattern, 'p:') DESC, length(p.pattern) DESC, p.pattern DESC) AS k
+  FROM probes p JOIN v ON p.pattern = v.pattern AND fetched_at >= valid_from
+    AND (valid_to IS NULL OR fetched_at < valid_to)
+  WHERE act < 2
+)
+SELECT page_id, url, fetched_at, hit.pattern, CASE act WHEN 0 THEN 'block' WHEN 1 THEN 'allow' END AS action,
+       valid_from, coalesce(act = 0, false) AS blocked
+FROM n LEFT JOIN hit ON n.rid = hit.rid AND hit.k = 1
+"""
+OP9_SQL = re.sub(r"@\{(.*?)\}", lambda m: _NUM.format(m[1]), OP9_SQL)
+
+ORACLES = {"op9_temporal_list": OP9_SQL, "op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}

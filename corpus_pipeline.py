@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemill.llm import decontaminate, near_dedup, resample
+from pulsemill.llm import decontaminate, histogram_sort, mixing, near_dedup, resample
 from pulsemill.llm.common import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,14 +29,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class: the one with the least doc_id.
 
-    Of rows that repeat a doc_id one stays.
+    Of rows that repeat a doc_id one stays. Rows without doc_id are left out.
     """
     classes, _ = near_dedup.near_duplicates(docs)
     keepers = saved(classes.where("doc_id = class_id").groupBy("doc_id").count(), "keepers")
     kept = docs.join(keepers.where("count = 1"), "doc_id", "left_semi")
     again = keepers.where("count > 1")
     if not again.isEmpty():
-        kept = kept.union(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        kept = kept.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     return kept.select(*docs.columns)
 
 
@@ -45,10 +45,36 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: once per complete epoch, once more if drawn.
+
+    Rows with equal id and text share what the mix takes of all of them.
+    """
+    taken = mixing.mixed(docs, table(spark, sf_dir, "labels"))
+    copies = saved(
+        taken.groupBy("row_key").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+        .where("copies > 0"), "copies")
+    keyed = docs.withColumn("row_key", mixing.row_key())
+    once = keyed.join(copies.where("n = 1").drop("n"), "row_key")
+    again = copies.where("n > 1").drop("n")
+    if not again.isEmpty():
+        once = once.unionByName(
+            keyed.dropDuplicates(["row_key"]).join(again, "row_key"))
+    return once.withColumn(
+        "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row with its shard and its slot in it, and size and checksum of its text."""
+    return histogram_sort.sharded_documents(docs, N_SHARDS)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("mix", mix),
+    ("shard", shard),
 ]
 
 

@@ -116,7 +116,7 @@ def weights(docs: DataFrame, ratios: np.ndarray, seed: int = NOISE_SEED) -> Data
             for part in W.slices(batch, "text"):
                 w = W.words(part.column("text"), W.SPACED)
                 bucket, text = ngrams(w)
-                total = np.bincount(text, shared.value[bucket], part.num_rows)
+                total = np.bincount(text, shared.value[bucket], part.num_rows).astype(float)
                 total[w.counts() == 0] = -np.inf
                 noise = part.column("noise").to_numpy()
                 key = total - np.log(-np.log(noise))

@@ -27,7 +27,8 @@ SIMILARITY = 0.8
 REGISTERS = 128
 ROWS = 5
 BANDS = REGISTERS // ROWS
-CENTRES = 8  # per bucket in the second round, times itself in each further one
+MAP_WORDS = 16  # longs of a set's bitmap
+RARITY_BITS = 17  # size of the table that orders shingles by how frequent they are
 
 _ID = np.uint64(0xFFFFFFFF)
 _UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -103,11 +104,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = W.words(part.column("text"), W.ALNUM)
             keys, text, weight = weighted(*W.shingles(w, WORDS))
             bands = band_keys(sketches(keys, text, weight, part.num_rows))
-            offsets = np.arange(part.num_rows + 1, dtype=np.int32) * BANDS
+            rows = np.arange(part.num_rows + 1, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), _digests(w),
                 pa.array(np.bincount(text, minlength=part.num_rows)),
-                pa.ListArray.from_arrays(pa.array(offsets), W.as_long(bands.ravel())),
+                pa.ListArray.from_arrays(pa.array(rows * BANDS), W.as_long(bands.ravel())),
             ], ["doc_id", "node", "n_shingles", "bands"])
 
 
@@ -134,43 +135,138 @@ def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _sets(with_node())
 
 
-def _proposals(members: DataFrame, centres: int | None) -> DataFrame:
-    """Pairs of bucket members in different components, one of each pair a centre.
+def _slot(shingles: np.ndarray) -> np.ndarray:
+    return (W.mix(shingles) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
-    ``centres`` slots per bucket each name their least member; None names every member.
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a batch of sets, and how many each set has."""
+    sets = batch.column("shingles")
+    return sets.flatten().to_numpy().view(np.uint64), np.diff(sets.offsets.to_numpy())
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How often shingles of each table slot occur; slots are shared, the table is bounded."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            total += np.bincount(_slot(_flat(batch)[0]), minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    rows = sets.select("shingles").mapInArrow(count, "slot long, n long").groupBy("slot").agg(
+        F.sum("n").alias("n")).toPandas()
+    total = np.zeros(1 << RARITY_BITS, np.int64)
+    total[rows.slot] = rows.n
+    return total
+
+
+def _bitmaps(flat: np.ndarray, of: np.ndarray, n_sets: int) -> pa.Array:
+    """Each bit of a set's map is the parity of the shingles that fall on it."""
+    bit = W.mix(flat ^ W.random_values(1, 17)[0]) & np.uint64(64 * MAP_WORDS - 1)
+    maps = np.zeros(n_sets * MAP_WORDS, np.uint64)
+    np.bitwise_xor.at(
+        maps, of * MAP_WORDS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return W.as_long(maps)
+
+
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """Rows (node, n_shingles, prefix, bits): rarest shingles and parity bitmap of each set.
+
+    Two sets of similarity s share one of the first n - ceil(s * n) + 1 shingles of either
+    in any one order of all shingles. With the rarest first, a passage that many documents
+    quote brings only those together that have little else.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, n = _flat(batch)
+            of = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((flat, shared.value[_slot(flat)], of))
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+            least = np.ceil(SIMILARITY * n - 1e-9).astype(np.int64)
+            size = n - least + 1
+            first = flat[order[place < np.repeat(size, n)]]
+            ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("node"), pa.array(n.astype(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends), W.as_long(first)),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(n) + 1, dtype=np.int32) * MAP_WORDS), _bitmaps(flat, of, len(n))),
+            ], ["node", "n_shingles", "prefix", "bits"])
+
+    return sets.select("node", "shingles").mapInArrow(
+        prefixes, "node binary, n_shingles long, prefix array<long>, bits array<long>")
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of bucket members with the least member, if sizes allow the similarity."""
+    chosen = members.groupBy("bucket").agg(
+        F.min(F.struct("node", "component", "n_shingles")).alias("c")
+    ).select(
+        "bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("its"),
+        F.col("c.n_shingles").alias("its_n"))
+    alike = F.least("n_shingles", "its_n") >= SIMILARITY * F.greatest("n_shingles", "its_n")
+    return members.join(chosen, "bucket").where((F.col("component") != F.col("its")) & alike).select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+
+
+def _unlike_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of bucket members in different components that may be similar enough.
+
+    Sets of similarity s differ in at most (1 - s) / (1 + s) of both sizes' sum, and at
+    least in as many shingles as their parity maps differ in bits. So the condition loses
+    no pair, and what it lets through is nearly similar: a family of texts that differ too
+    much never becomes rows.
     """
-    if centres is None:
-        chosen = members
-    else:
-        chosen = members.groupBy(
-            "bucket", F.pmod(F.xxhash64("node", F.lit(centres)), F.lit(centres)).alias("slot")
-        ).agg(F.min(F.struct("node", "component")).alias("c")).select("bucket", "c.*")
-    chosen = chosen.select(
-        "bucket", F.col("node").alias("centre"), F.col("component").alias("its"))
-    return members.join(chosen, "bucket").where("component <> its").select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    ).distinct()
-
-
-def near_duplicates(
-    docs: DataFrame, similarity: float = SIMILARITY
-) -> tuple[DataFrame, DataFrame]:
+    other = members.select("bucket", *[F.col(c).alias(f"its_{c}") for c in members.columns if c != "bucket"])
+    n, m = F.col("n_shingles"), F.col("its_n_shingles")
+    differing = sum(
+        (F.bit_count(F.get("bits", F.lit(i)).bitwiseXOR(F.get("its_bits", F.lit(i)))) for i in range(MAP_WORDS)),
+        F.lit(0))
+    return members.join(other, "bucket").where(
+        (F.col("node") < F.col("its_node")) & (F.col("component") != F.col("its_component"))
+        & (F.least(n, m) >= SIMILARITY * F.greatest(n, m))
+        & (differing * (1 + SIMILARITY) <= (1 - SIMILARITY) * (n + m) + 1e-6)
+    ).select(F.col("node").alias("a"), F.col("its_node").alias("b")).distinct()
+
+
+def _several(members: DataFrame, least: int) -> DataFrame:
+    """Buckets of at least so many members in more than one component."""
+    return members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where((F.col("low") != F.col("high")) & (F.col("n") >= least)).select("bucket")
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    return saved(members.join(_several(members, 2), "bucket"), "unsettled")
+
+
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    return members.drop("component").join(components(links), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+
+
+def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Classes of documents and the verified links between different texts.
 
     Classes: one row per document (doc_id, class_id, representative, n_shingles). Words
     are runs of ASCII letters, digits and characters beyond ASCII, lower-cased in A-Z.
     Documents with equal word sequences share a representative, the least doc_id among
     them; classes are the connected components over Jaccard similarities of at least
-    ``similarity`` between sets of five-word shingles, named by their least doc_id. A text
+    SIMILARITY between sets of five-word shingles, named by their least doc_id. A text
     of fewer words is one shingle. A null text, or one without words, is alike to nothing:
     its class is its own doc_id. Repeated rows stay and share their class. A null doc_id
     gets the class of its text, null if no member has an id. Links: (a, b, similarity) by
     word-sequence digest.
 
-    Only equal sketch bands propose pairs. In each bucket all members are held against the
-    bucket's least member; then, in buckets that still hold several components, against
-    more and more centres, until every pair of different components has been compared. A
-    group of copies is one component after the first round, so its pairs are never listed.
+    Only equal sketch bands propose pairs. First all members of a bucket are held against
+    its least member: a group of copies becomes one component, so its pairs are never
+    listed. What a star can miss are links between members in different components. The
+    members of buckets that still hold several components are therefore joined once more,
+    exactly, by shared prefixes of their shingle sets: again stars first, then all pairs of
+    different components.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -178,39 +274,27 @@ def near_duplicates(
     sketched = saved(texts.mapInArrow(
         _sketch, "doc_id long, node binary, n_shingles long, bands array<long>"), "sketches")
     nodes = sketched.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("representative"), F.first("bands").alias("bands"))
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"))
+        F.min("doc_id").alias("representative"), F.first("n_shingles").alias("n_shingles"),
+        F.first("bands").alias("bands"))
+    buckets = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = saved(
-        buckets.join(shared.where("n > 1").select("bucket"), "bucket")
-        .withColumn("component", F.col("node")), "members")
-
+        buckets.join(shared.select("bucket"), "bucket").withColumn("component", F.col("node")), "members")
     sets = _shingle_sets(texts, sketched, members)
-    links, seen, centres = None, None, 1
-    labelled = members
-    while True:
-        pairs = _proposals(labelled, centres)
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        seen = pairs if seen is None else seen.union(pairs)
-        found = saved(_verified(pairs, sets, similarity), "links")
-        links = found if links is None else links.union(found)
-        if centres is None:
-            break
-        groups = components(links)
-        named = members.select("bucket", "node").join(groups, "node", "left").select(
-            "bucket", "node", F.coalesce("component", "node").alias("component"))
-        several = named.groupBy("bucket").agg(
-            F.count("*").alias("n"), F.min("component").alias("low"),
-            F.max("component").alias("high")).where("low <> high and n > 2")
-        largest = several.agg(F.max("n")).first()[0]
-        if largest is None:
-            break
-        labelled = saved(named.join(several.select("bucket"), "bucket"), "open")
-        centres = CENTRES if centres == 1 else centres * CENTRES
-        if largest <= centres:
-            centres = None
+
+    pairs = saved(_stars(members), "pairs")
+    links = saved(_verified(pairs, sets), "links")
+    members = _labelled(members, links)
+    open_nodes = saved(members.join(_several(members, 3), "bucket").select("node").distinct(), "open")
+    if not open_nodes.isEmpty():
+        prefixed = saved(_prefixes(sets.join(open_nodes, "node", "left_semi")), "prefixes")
+        members = prefixed.select("node", "n_shingles", "bits", F.explode("prefix").alias("bucket"))
+        members = _unsettled(_labelled(members, links))
+        again = saved(_stars(members).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(saved(_verified(again, sets), "links"))
+        members = _unsettled(_labelled(members, links))
+        rest = saved(_unlike_pairs(members), "pairs")
+        links = links.union(saved(_verified(rest, sets), "links"))
 
     groups = components(links)
     joined = sketched.select("doc_id", "node", "n_shingles").join(groups, "node", "left").select(
@@ -248,14 +332,14 @@ def _shingle_sets(texts: DataFrame, sketched: DataFrame, members: DataFrame) ->
     return saved(sets.dropDuplicates(["node"]).drop("own"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     small, large = F.least(F.size("x"), F.size("y")), F.greatest(F.size("x"), F.size("y"))
     common = F.size(F.array_intersect("x", "y"))
     return (
-        pairs.join(left, "a").join(right, "b").where(small >= similarity * large)
+        pairs.join(left, "a").join(right, "b").where(small >= SIMILARITY * large)
         .withColumn("common", common)
         .withColumn("similarity", F.col("common") / (F.size("x") + F.size("y") - F.col("common")))
-        .where(F.col("similarity") >= similarity).select("a", "b", "similarity")
+        .where(F.col("similarity") >= SIMILARITY).select("a", "b", "similarity")
     )

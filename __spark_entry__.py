@@ -14,7 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles as O  # noqa: E402
 from pulsemill.functions.measures import approx_quantiles, on_grid  # noqa: E402
 from pulsemill.functions.timefuncs import epoch_seconds  # noqa: E402
-from pulsemill.operators import asof, counters, enrich, quality  # noqa: E402
+from pulsemill.operators import asof, counters, enrich, quality, windows  # noqa: E402
 from pulsemill.plans import insights  # noqa: E402
 from pulsemill.plans.feed import enriched_from_feed  # noqa: E402
 from pulsemill.schemas import EVENT_TYPES  # noqa: E402
@@ -193,7 +193,7 @@ def op_enrich_beyond_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The join for a catalogue that is too big to broadcast."""
     return enrich.enrich_snapshot(
         fixtures.engagement(spark, sf_dir), fixtures.content(spark, sf_dir),
-        broadcast_bytes=0, hot_rows=200,
+        broadcast_bytes=0,
     )
 
 
@@ -274,6 +274,64 @@ def op_warehouse_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("event_date", F.col("event_date").cast("string"))
 
 
+def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers with the same batch number on one table: nothing is replaced."""
+    path = scratch_path(spark, "two_runs")
+    rows, _ = warehouse.warehouse_rows(enriched(spark, sf_dir))
+    half = F.col("id") % 2
+    warehouse.write_batch(rows.where(half == 0), path, 0, writer="first")
+    warehouse.write_batch(rows.where(half == 1), path, 0, writer="second")
+    warehouse.write_batch(rows.where(half == 1), path, 0, writer="second")  # a repeated batch
+    return read_warehouse(spark, path).select("id", "content_id", "event_type", F.unix_micros("event_ts").alias("event_us"))
+
+
+def _on_written(plan: Callable[[DataFrame], DataFrame], *doubles: str) -> Query:
+    """An insight on the written, date-partitioned table."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "written")
+        warehouse.write_batch(warehouse.warehouse_rows(enriched(spark, sf_dir))[0], path, 0)
+        return gridded(plan(read_warehouse(spark, path)), *doubles)
+
+    return query
+
+
+def q_kv_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live keys of a log in which a third has expired, a third is live, a third lasts."""
+    path = scratch_path(spark, "kv")
+    pairs = kv.kv_pairs(enriched(spark, sf_dir)).withColumn(
+        "part", F.substring_index("key", ":", -1).cast("long") % 3)
+    for part, (written, ttl) in enumerate(
+            (("2024-01-31 12:00:00", 3_600), (WRITTEN_AT, 3_600), ("2024-01-02 00:00:00", None))):
+        kv.write_batch(pairs.where(F.col("part") == part).drop("part"), path, part, written, ttl)
+    return kv.live_entries(kv.read_log(spark, path), READ_AT, kv.DEFAULT_TTL_SECS).select("key")
+
+
+def op_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(
+        fixtures.flawed_engagement(spark, sf_dir), fixtures.content(spark, sf_dir), {"event_type": EVENT_TYPES})
+
+
+def op_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad messages of both feeds, kept by their own stream."""
+    path = scratch_path(spark, "quarantine")
+    bad = job.quarantine_stream(
+        fixtures.engagement_feed(spark, sf_dir, stream=True), fixtures.content_feed(spark, sf_dir, stream=True))
+    job.start_quarantine(bad, f"{path}/bad", f"{path}/checkpoint", None).awaitTermination()
+    return spark.read.schema(bad.schema).parquet(f"{path}/bad")
+
+
+def op_tumbling_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = windows.tumbling_counts(fixtures.engagement(spark, sf_dir), "6 hours", None, "event_type")
+    return counts.select(epoch_seconds(F.col("window_start").cast("timestamp")).alias("window_epoch"), "event_type", "n_events")
+
+
+def op_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third event comes twice, the copy later and changed."""
+    rows = fixtures.engagement_arrivals(spark, sf_dir)
+    again = rows.where(F.col("id") % 3 == 0).withColumn("seq", F.col("seq") + 1).withColumn("device", F.lit("copy"))
+    return windows.dedup_events(rows.unionByName(again)).select("id", "device", "seq")
+
+
 def _stream(hot_ids: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         output = job.build_stream(
@@ -335,6 +393,21 @@ def queries() -> dict[str, Query]:
         "op_stream_enrich": _stream(()),
         "op_stream_enrich_sliced": _stream(("c-3",)),
         "op_stream_cache_size": op_stream_cache_size,
+        "op_warehouse_two_runs": _two_runs,
+        "q_engagement_by_content_type_warehouse": _on_written(
+            lambda t: insights.engagement_by_content_type(t, O.DAY),
+            "avg_engagement_pct", "avg_engagement_seconds"),
+        "q_content_performance_warehouse": _on_written(
+            lambda t: insights.content_performance(t, O.AS_OF), "avg_completion_pct"),
+        "q_type_device_avg_warehouse": _on_written(
+            lambda t: insights.type_device_engagement(t, O.AS_OF), "avg_engagement_pct"),
+        "q_device_stats_warehouse": _on_written(
+            lambda t: insights.device_statistics(t, O.START, O.END), "avg_engagement", "stddev_engagement"),
+        "q_kv_expired": q_kv_expired,
+        "op_quality_report": op_quality_report,
+        "op_stream_quarantine": op_stream_quarantine,
+        "op_tumbling_counts": op_tumbling_counts,
+        "op_dedup_events": op_dedup_events,
         **_text_queries(),
     }
 

@@ -336,4 +336,26 @@ FROM (SELECT id // {BATCH_SIZE}, count(*) AS n FROM enriched GROUP BY 1)""")
     sql["op_warehouse_layout"] = _on(ENRICHED, """
 SELECT strftime(event_ts, '%Y-%m-%d') AS event_date, content_type, event_type, count(*) AS n_rows
 FROM enriched WHERE NOT content_missing GROUP BY 1, 2, 3""")
+    sql["op_warehouse_two_runs"] = _on(ENRICHED, """
+SELECT id, content_id, event_type, epoch_us(event_ts) AS event_us FROM enriched WHERE NOT content_missing""")
+    for name in ("engagement_by_content_type", "content_performance", "type_device_avg", "device_stats"):
+        sql[f"q_{name}_warehouse"] = sql[f"q_{name}"].replace(
+            "FROM enriched", "FROM (SELECT * FROM enriched WHERE NOT content_missing)")
+    sql["q_kv_expired"] = _on(f"{ENRICHED},\n{_PAIRS}", """
+SELECT key FROM pairs WHERE CAST(split_part(key, ':', 3) AS BIGINT) % 3 <> 0""")
+    sql["op_quality_report"] = _on(f"{CONTENT},\n{_FLAWED}", """
+SELECT 'required' AS rule, c AS subject, count(*) FILTER (WHERE CASE c
+  WHEN 'id' THEN id IS NULL WHEN 'content_id' THEN content_id IS NULL WHEN 'user_id' THEN user_id IS NULL WHEN 'event_type' THEN event_type IS NULL WHEN 'event_ts' THEN event_ts IS NULL WHEN 'device' THEN device IS NULL WHEN 'raw_payload' THEN raw_payload IS NULL END) AS n_rows
+FROM flawed, (SELECT unnest(['id', 'content_id', 'user_id', 'event_type', 'event_ts', 'device', 'raw_payload']) AS c) GROUP BY c
+UNION ALL SELECT 'domain', 'event_type', count(*) FROM flawed
+WHERE event_type NOT IN ('play', 'pause', 'finish', 'click')
+UNION ALL SELECT 'reference', 'content_id', count(*) FROM flawed f
+WHERE f.content_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM content c WHERE c.id = f.content_id)
+UNION ALL SELECT 'unique', 'id', CAST(coalesce(sum(n), 0) AS BIGINT)
+FROM (SELECT count(*) AS n FROM flawed GROUP BY id HAVING count(*) > 1)""")
+    sql["op_stream_quarantine"] = sql["op_quarantine"]
+    sql["op_tumbling_counts"] = _on(ENGAGEMENT, """
+SELECT CAST(epoch_us(event_ts) // 21600000000 * 21600 AS DOUBLE) AS window_epoch, event_type, count(*) AS n_events
+FROM engagement GROUP BY 1, 2""")
+    sql["op_dedup_events"] = _on(ENGAGEMENT, "SELECT id, device, id * 3 AS seq FROM engagement")
     return sql

@@ -12,6 +12,9 @@ NO_AFTER = "no_after"
 DELETE = "delete"
 BAD_ROW = "bad_row"
 
+LOG_POSITION, TIME_POSITION = "lsn", "ts_ms"
+
+# Fixed value: publish time of content that names none.
 DEFAULT_PUBLISH_TS = "2024-01-01T00:00:00Z"
 
 _OBJECT = "map<string,string>"
@@ -57,10 +60,19 @@ def with_after_image(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def feed_position(value: Column) -> Column:
-    """Position of a change in its log: ``source.lsn``, else the ``ts_ms`` stamp."""
+def feed_position(value: Column, kind: str = LOG_POSITION) -> Column:
+    """Position of a change: ``source.lsn``, or the ``ts_ms`` stamp, as ``kind`` says.
+
+    A feed has one kind. The two have different scales, so a change without its
+    feed's kind has no position, and is taken as it comes.
+    """
     text = value.cast("string")
-    paths = ("$.source.lsn", "$.payload.source.lsn", "$.ts_ms", "$.payload.ts_ms")
+    if kind == LOG_POSITION:
+        paths = ("$.source.lsn", "$.payload.source.lsn")
+    elif kind == TIME_POSITION:
+        paths = ("$.ts_ms", "$.payload.ts_ms")
+    else:
+        raise ValueError(f"unknown kind of position: {kind}")
     return F.coalesce(*[F.get_json_object(text, p).try_cast("bigint") for p in paths])
 
 

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+DAY_MICROS = 86_400_000_000
+
 Instant = str | dt.datetime | dt.date | None
 
 
@@ -50,11 +52,32 @@ def instant(value: Instant, dtype: T.DataType) -> Column:
     return F.lit(text).cast("timestamp_ntz") if ntz else F.lit(text + "Z").cast("timestamp")
 
 
-def days_before(moment: Column, days: int) -> Column:
-    return moment - F.expr(f"INTERVAL {int(days)} DAY")
+def hours_before(moment: Column, hours: int) -> Column:
+    """Whole hours earlier: unlike days, the same in zones that change their clocks."""
+    return moment - F.expr(f"INTERVAL {int(hours)} HOUR")
+
+
+def utc_day(moment: Column, dtype: T.DataType) -> Column:
+    """UTC date of an instant of a column's type."""
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.to_date(moment)
+    return F.to_date(F.to_utc_timestamp(moment, F.current_timezone()))
+
+
+def _utc_midnight(moment: Column, dtype: T.DataType) -> Column:
+    """First instant of the UTC date of ``moment``.
+
+    UTC days are whole multiples of 24 hours since the epoch, in any session zone.
+    """
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.date_trunc("day", moment).cast("timestamp_ntz")
+    micros = F.unix_micros(moment)
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(DAY_MICROS)))
 
 
-def _with_date_range(df: DataFrame, kept: Column, low: Column, high: Column) -> DataFrame:
+def _with_date_range(
+    df: DataFrame, kept: Column, low: Column, high: Column | None, dtype: T.DataType
+) -> DataFrame:
     """Repeat a time range on ``event_date`` where the table is partitioned by it.
 
     A filter on the timestamp alone reaches the row groups but does not prune
@@ -62,7 +85,9 @@ def _with_date_range(df: DataFrame, kept: Column, low: Column, high: Column) ->
     """
     df = df.where(kept)
     if "event_date" in df.columns:
-        df = df.where(F.col("event_date").between(F.to_date(low), F.to_date(high)))
+        df = df.where(F.col("event_date") >= utc_day(low, dtype))
+        if high is not None:
+            df = df.where(F.col("event_date") <= utc_day(high, dtype))
     return df
 
 
@@ -70,14 +95,15 @@ def between(df: DataFrame, start: Instant, end: Instant, column: str = "event_ts
     """Rows with ``start <= column <= end``."""
     dtype = df.schema[column].dataType
     low, high = instant(start, dtype), instant(end, dtype)
-    return _with_date_range(df, F.col(column).between(low, high), low, high)
+    return _with_date_range(df, F.col(column).between(low, high), low, high, dtype)
 
 
 def last_days(df: DataFrame, days: int, as_of: Instant = None, column: str = "event_ts") -> DataFrame:
     """Rows of the ``days`` x 24 hours up to and including ``as_of``."""
-    high = instant(as_of, df.schema[column].dataType)
-    low = days_before(high, days)
-    return _with_date_range(df, F.col(column).between(low, high), low, high)
+    dtype = df.schema[column].dataType
+    high = instant(as_of, dtype)
+    low = hours_before(high, 24 * days)
+    return _with_date_range(df, F.col(column).between(low, high), low, high, dtype)
 
 
 def since_date(df: DataFrame, days: int, today: Instant = None, column: str = "event_ts") -> DataFrame:
@@ -86,19 +112,13 @@ def since_date(df: DataFrame, days: int, today: Instant = None, column: str = "e
     Written on the timestamp itself so that it is pushed to the scan.
     """
     dtype = df.schema[column].dataType
-    low = days_before(F.date_trunc("day", instant(today, dtype)), days).cast(dtype)
-    df = df.where(F.col(column) >= low)
-    if "event_date" in df.columns:
-        df = df.where(F.col("event_date") >= F.to_date(low))
-    return df
+    low = hours_before(_utc_midnight(instant(today, dtype), dtype), 24 * days)
+    return _with_date_range(df, F.col(column) >= low, low, None, dtype)
 
 
 def on_date(df: DataFrame, day: Instant = None, column: str = "event_ts") -> DataFrame:
     """Rows whose UTC date is ``day``."""
     dtype = df.schema[column].dataType
-    low = F.date_trunc("day", instant(day, dtype)).cast(dtype)
-    high = low + F.expr("INTERVAL 1 DAY")
-    df = df.where((F.col(column) >= low) & (F.col(column) < high))
-    if "event_date" in df.columns:
-        df = df.where(F.col("event_date") == F.to_date(low))
-    return df
+    low = _utc_midnight(instant(day, dtype), dtype)
+    kept = (F.col(column) >= low) & (F.col(column) < hours_before(low, -24))
+    return _with_date_range(df, kept, low, low, dtype)

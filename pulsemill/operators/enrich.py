@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemill.functions.measures import with_measures
-from pulsemill.operators.skew import DEFAULT_BROADCAST_BYTES, HOT_ROWS, lookup_join
+from pulsemill.operators.skew import DEFAULT_BROADCAST_BYTES, lookup_join
 
 ATTRIBUTES = ["content_type", "length_seconds"]
 
@@ -21,12 +21,11 @@ def enrich_snapshot(
     events: DataFrame,
     content: DataFrame,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Enrich events from a catalogue with one version per item."""
     joined = lookup_join(
         events, content, "content_id", "id", ATTRIBUTES,
-        broadcast_bytes=broadcast_bytes, hot_rows=hot_rows,
+        broadcast_bytes=broadcast_bytes,
     )
     return finish(joined)
 

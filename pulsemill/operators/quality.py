@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsemill.operators.skew import DEFAULT_BROADCAST_BYTES, HOT_ROWS, lookup_join
+from pulsemill.operators.skew import DEFAULT_BROADCAST_BYTES, lookup_join
 from pulsemill.schemas import REQUIRED_COLUMNS
 
 
@@ -50,11 +50,35 @@ def referential_rejects(
     events: DataFrame,
     content: DataFrame,
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Events whose content id is not in the catalogue; a null id passes."""
     checked = lookup_join(
         events, content, "content_id", "id", [],
-        broadcast_bytes=broadcast_bytes, hot_rows=hot_rows,
+        broadcast_bytes=broadcast_bytes,
     )
     return checked.where(~F.col("found") & F.col("content_id").isNotNull()).drop("found")
+
+
+def quality_report(
+    events: DataFrame,
+    content: DataFrame,
+    allowed: Mapping[str, Iterable[str]],
+    required: Iterable[str] = REQUIRED_COLUMNS,
+    broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+) -> DataFrame:
+    """One row (rule, subject, n_rows) per check, also for those that nothing violates.
+
+    The row checks and the reference share one pass over the events; only the
+    duplicates of the key need their own aggregate.
+    """
+    joined = lookup_join(events, content, "content_id", "id", [], broadcast_bytes=broadcast_bytes)
+    rules = {("required", c): F.col(c).isNull() for c in required}
+    rules |= {("domain", c): ~F.col(c).isin(*codes) for c, codes in allowed.items()}
+    rules["reference", "content_id"] = ~F.col("found") & F.col("content_id").isNotNull()
+    counted = joined.agg(*[F.count_if(v).alias(f"{rule}|{c}") for (rule, c), v in rules.items()])
+    rows = counted.select(F.inline(F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).alias("subject"), F.col(f"{rule}|{c}").alias("n_rows"))
+        for rule, c in rules
+    ])))
+    copies = duplicate_keys(events, "id").agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("n_rows"))
+    return rows.unionByName(copies.select(F.lit("unique").alias("rule"), F.lit("id").alias("subject"), "n_rows"))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024  # files are compressed; in memory it is a few times that
-MAX_HOT_KEYS = 10_000
 HOT_ROWS = 1_000_000  # what one task handles with ease
 
 
@@ -23,21 +22,12 @@ def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_BYTES) -> bool:
     return size is not None and size <= limit
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The most frequent keys with more than ``min_rows`` rows, at most ``max_keys``.
-
-    The result is bounded whatever the input is, so it may be broadcast.  Keys
-    beyond the bound are no longer frequent: each holds less than one
-    ``max_keys``-th of the rows, and callers treat them like any other key.
-    """
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """All keys with more than ``min_rows`` rows: at most one for each so many rows."""
     return (
         df.where(F.col(key).isNotNull())
         .groupBy(key).agg(F.count("*").alias("key_rows"))
         .where(F.col("key_rows") > min_rows)
-        .orderBy(F.desc("key_rows"), key)
-        .limit(max_keys)
     )
 
 
@@ -49,15 +39,13 @@ def lookup_join(
     columns: list[str],
     found: str = "found",
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a table with one row per key; adds ``columns`` and ``found``.
 
     A lookup table of checked size is broadcast: the facts are not shuffled at
-    all.  Beyond that the keys with very many facts are found first (one narrow
-    aggregate).  Facts of these keys, and those without a key, are joined to the
-    few lookup rows concerned where they lie; only the rest is shuffled, and in
-    it no key is large.
+    all.  Beyond that one sort-merge join reads the facts once; adaptive execution
+    splits the partitions of frequent keys and repeats their one lookup row.
+    Facts without a key match nothing and are spread instead of shuffled together.
     """
     side = lookup.select(
         F.col(lookup_key).alias("__key"), *columns, F.lit(True).alias("__hit")
@@ -70,18 +58,13 @@ def lookup_join(
     if fits_broadcast(side, broadcast_bytes):
         return facts.join(F.broadcast(side), same_key, "left").select(*result)
 
-    # Both broadcasts hold at most MAX_HOT_KEYS rows.
-    keys = hot_keys(facts, fact_key, hot_rows).select(F.col(fact_key).alias("__key"))
-    hot_side = side.join(F.broadcast(keys), "__key", "right").withColumn("__hot", F.lit(True))
-    in_place = (
-        facts.join(F.broadcast(hot_side), same_key, "left")
-        .where(F.col("__hot") | F.col(fact_key).isNull())
-        .select(*result)
-    )
-    shuffled = (
-        facts.where(F.col(fact_key).isNotNull())
-        .join(F.broadcast(keys), same_key, "left_anti")
-        .join(side, same_key, "left")
-        .select(*result)
-    )
-    return in_place.unionByName(shuffled)
+    keyless = F.when(F.col(fact_key).isNull(), F.xxhash64(*[F.col(c) for c in facts.columns if _hashable(facts, c)]))
+    spread = facts.withColumn("__spread", keyless)
+    # null for every key, but no literal that would be folded out of the join keys
+    side = side.withColumn("__none", F.when(F.col("__key").isNull(), F.lit(0).cast("bigint")))
+    matches = same_key & F.col("__spread").eqNullSafe(F.col("__none"))
+    return spread.join(side.hint("merge"), matches, "left").select(*result)
+
+
+def _hashable(df: DataFrame, column: str) -> bool:
+    return not any(kind in df.schema[column].dataType.simpleString() for kind in ("map<", "variant"))

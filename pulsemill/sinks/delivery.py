@@ -7,18 +7,22 @@ at-least-once: a task that is run again sends again.
 
 from __future__ import annotations
 
+import http.client
 import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
 from pulsemill.functions.keys import event_json
+from pulsemill.sinks.folders import own_folder
 
 DEFAULT_BATCH_SIZE = 500
+# Fixed value: how long a request may take.
 DEFAULT_TIMEOUT_SECS = 30
 
 RECEIPT = T.StructType([
@@ -47,27 +51,48 @@ class Transport(Protocol):
 
 
 class HttpTransport:
-    """POST to ``<url>/events`` of a receiver."""
+    """POST to ``<url>/events`` of a receiver, over one kept connection.
+
+    A connection that the receiver has closed meanwhile is opened once more.
+    """
 
     def __init__(self, url: str, timeout: float = DEFAULT_TIMEOUT_SECS):
         self._url = url.rstrip("/") + "/events"
         self._timeout = timeout
+        self._connection = None
 
-    def post(self, body: str) -> int:
-        import urllib.error
-        import urllib.request
+    def _open(self):
+        parts = urlsplit(self._url)
+        kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+        return kind(parts.hostname, parts.port, timeout=self._timeout)
 
-        request = urllib.request.Request(
-            self._url, body.encode("utf-8"), {"Content-Type": "application/json"}
-        )
+    def post(self, body: str) -> int:
+        kept = self._connection is not None
+        try:
+            return self._request(body)
+        except (http.client.RemoteDisconnected, BrokenPipeError, ConnectionResetError):
+            if not kept:
+                raise
+            return self._request(body)
+
+    def _request(self, body: str) -> int:
+        if self._connection is None:
+            self._connection = self._open()
         try:
-            with urllib.request.urlopen(request, timeout=self._timeout) as reply:
-                return reply.status
-        except urllib.error.HTTPError as error:
-            return error.code
+            self._connection.request(
+                "POST", urlsplit(self._url).path, body.encode("utf-8"), {"Content-Type": "application/json"}
+            )
+            reply = self._connection.getresponse()
+            reply.read()
+            return reply.status
+        except Exception:
+            self.close()
+            raise
 
     def close(self) -> None:
-        pass
+        if self._connection is not None:
+            self._connection.close()
+            self._connection = None
 
 
 class DryRun:
@@ -225,7 +250,7 @@ def deliver(
     receipts = enriched.transform(
         delivered, make_transport, batch_size, max_attempts=max_attempts, pause_secs=pause_secs
     )
-    receipts.write.mode("overwrite").parquet(f"{receipts_path}/batch_id={int(batch_id)}")
+    receipts.write.mode("overwrite").parquet(own_folder(enriched.sparkSession, receipts_path, batch_id))
 
 
 def events_of(documents: DataFrame, schema: T.StructType) -> DataFrame:

@@ -7,17 +7,33 @@ with time to live does.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from pulsemill.functions.keys import KEY_PREFIX, event_json, event_key
-from pulsemill.functions.timefuncs import Instant, instant
+from pulsemill.functions.timefuncs import Instant, instant, utc_date, utc_day
+from pulsemill.sinks.folders import remove, replace_batch
 
+# Fixed value: lifetime of an entry.
 DEFAULT_TTL_SECS = 3_600
+BUCKETS = 32
+
+LOG = T.StructType([
+    T.StructField("key", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("written_at", T.TimestampType()),
+    T.StructField("expires_at", T.TimestampType()),
+    T.StructField("lasting", T.BooleanType()),
+    T.StructField("written_date", T.DateType()),
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("writer", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
 
 
 def kv_pairs(enriched: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -49,16 +65,37 @@ def write_batch(
     batch_id: int,
     written_at: Instant = None,
     ttl_secs: int | None = DEFAULT_TTL_SECS,
+    writer: str | None = None,
 ) -> None:
-    """Log the writes of one batch, sorted by key; a repeated batch replaces itself."""
-    rows = with_expiry(pairs, written_at, ttl_secs).withColumn(
-        "written_date", F.to_date("written_at")
-    )
-    (
-        rows.sortWithinPartitions("key")
-        .write.mode("overwrite").partitionBy("written_date")
-        .parquet(f"{path}/batch_id={int(batch_id)}")
+    """Log the writes of one batch; a repeated batch replaces itself.
+
+    Folders: whether the entries last, the UTC date of the write, a bucket of the key.
+    """
+    rows = with_expiry(pairs, written_at, ttl_secs)
+    rows = (
+        rows.withColumn("lasting", F.col("expires_at").isNull())
+        .withColumn("written_date", utc_date(rows, "written_at"))
+        .withColumn("bucket", key_bucket(F.col("key")))
     )
+    by = ["lasting", "written_date", "bucket"]
+    replace_batch(rows.sortWithinPartitions(*by, "key"), path, by, batch_id, writer)
+
+
+def key_bucket(key: Column) -> Column:
+    """The folder of a key, so that a get reads one in ``BUCKETS`` of the window."""
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def purge(spark: SparkSession, path: str, before: str, longest_ttl_secs: int = DEFAULT_TTL_SECS) -> int:
+    """Delete whole days of writes that had all expired by the UTC date ``before``.
+
+    Entries without expiry stay. Returns the number of days.
+    """
+    last = dt.date.fromisoformat(before) - dt.timedelta(days=1 + -(-longest_ttl_secs // 86_400))
+    days = spark.read.schema(LOG).parquet(path).where(
+        ~F.col("lasting") & (F.col("written_date") <= F.lit(last))
+    ).select("written_date").distinct().collect()
+    return sum(remove(spark, f"{path}/lasting=false/written_date={r.written_date}") for r in days)
 
 
 class Client(Protocol):
@@ -106,8 +143,9 @@ def live_entries(
 ) -> DataFrame:
     """Entries (key, value, expires_at) a store would hold at ``as_of``.
 
-    If every write has a time to live of at most ``longest_ttl_secs``, older
-    writes cannot be alive and their folders are not read.
+    If every expiring write has a time to live of at most ``longest_ttl_secs``,
+    older ones cannot be alive and their folders are not read. Entries without
+    expiry are read whatever their age.
     """
     return _live(log, ["value"], as_of, longest_ttl_secs)
 
@@ -119,10 +157,11 @@ def _live(
     seen = log.where(F.col("written_at") <= now)
     if longest_ttl_secs:
         oldest = now - F.expr(f"INTERVAL {int(longest_ttl_secs)} SECOND")
-        seen = seen.where(F.col("written_at") >= oldest)
+        seen = seen.where((F.col("written_at") >= oldest) | F.col("expires_at").isNull())
         if "written_date" in log.columns:
-            seen = seen.where(F.col("written_date") >= F.to_date(oldest))
-    order = ["written_at", *[c for c in ("batch_id",) if c in log.columns]]
+            day = utc_day(oldest, log.schema["written_at"].dataType)
+            seen = seen.where((F.col("written_date") >= day) | F.col("lasting"))
+    order = ["written_at", *[c for c in ("batch_id", "writer") if c in log.columns]]
     columns = [*columns, "expires_at"]
     newest = seen.groupBy("key").agg(
         F.max_by(F.struct(*columns), F.struct(*order)).alias("entry")
@@ -132,11 +171,13 @@ def _live(
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(LOG).parquet(path)
 
 
 def get(log: DataFrame, key: str, as_of: Instant = None, longest_ttl_secs: int | None = None) -> DataFrame:
-    """One entry; the key filter reaches the scan."""
+    """One entry; the key filter reaches the scan, its bucket prunes folders."""
+    if "bucket" in log.columns:
+        log = log.where(F.col("bucket") == key_bucket(F.lit(key)))
     return live_entries(log.where(F.col("key") == key), as_of, longest_ttl_secs)
 
 

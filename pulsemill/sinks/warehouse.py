@@ -1,4 +1,4 @@
-"""The enriched table: Parquet folders by batch and UTC date, clustered files."""
+"""The enriched table: Parquet folders by UTC date, then by batch; clustered files."""
 
 from __future__ import annotations
 
@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from pulsemill.functions.timefuncs import utc_date
 from pulsemill.operators.quality import split_required
+from pulsemill.sinks.folders import replace_batch
+from pulsemill.sources.tables import read_warehouse
 from pulsemill.schemas import (
     ENRICHED, TABLE_DESCRIPTION, TABLE_LABELS, conform, with_comments,
 )
 
 CLUSTER_BY = ("content_type", "event_type")
+COMPACTED = "compacted"
 
 
 def warehouse_rows(enriched: DataFrame, include_missing: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -40,14 +43,16 @@ def laid_out(rows: DataFrame, rebalance: bool = True) -> DataFrame:
     return rows.sortWithinPartitions("event_date", *CLUSTER_BY)
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, rebalance: bool = True) -> None:
+def write_batch(
+    rows: DataFrame, path: str, batch_id: int, rebalance: bool = True, writer: str | None = None
+) -> None:
     """Append one batch to the table at ``path``, creating it if needed.
 
-    A batch owns the folder ``batch_id=N``: writing it again after a failure
-    replaces that folder, so no row is lost or doubled.
+    Below each date a batch owns a folder of its writer and number: writing it
+    again after a failure replaces that, so no row is lost or doubled, and
+    another query's batch of the same number stays.
     """
-    target = f"{path}/batch_id={int(batch_id)}"
-    laid_out(rows, rebalance).write.mode("overwrite").partitionBy("event_date").parquet(target)
+    replace_batch(laid_out(rows, rebalance), path, ["event_date"], batch_id, writer)
 
 
 def append_table(rows: DataFrame, table: str) -> None:
@@ -72,7 +77,18 @@ def create_table_sql(table: str) -> str:
     )
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the many small folders of stream batches as one clustered batch."""
-    rows = spark.read.parquet(path).drop("batch_id", "event_date")
-    write_batch(rows, target, 0)
+def compact(
+    spark: SparkSession, path: str, target: str, first_date: str | None = None, last_date: str | None = None
+) -> None:
+    """Rewrite the many small folders of stream batches, for a range of dates, as one batch.
+
+    The target is another table; a stream may go on writing to it, since the
+    compacted rows are a writer of their own.
+    """
+    rows = read_warehouse(spark, path)
+    if first_date:
+        rows = rows.where(F.col("event_date") >= F.lit(first_date).cast("date"))
+    if last_date:
+        rows = rows.where(F.col("event_date") <= F.lit(last_date).cast("date"))
+    span = f"{COMPACTED}-{first_date or 'all'}-{last_date or 'all'}"
+    write_batch(rows.drop("writer", "batch_id", "event_date"), target, 0, writer=span)

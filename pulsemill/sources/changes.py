@@ -16,6 +16,7 @@ from pulsemill.schemas import CONTENT, ENGAGEMENT
 TOPIC_PREFIX = "pgcdc"
 CONTENT_TABLE = "content"
 ENGAGEMENT_TABLE = "engagement_events"
+OFFSET_POSITION = "offset"
 
 FEED = T.StructType([
     T.StructField("topic", T.StringType()),
@@ -51,13 +52,18 @@ def read_kafka(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return kafka_feed(spark.read.format("kafka").options(**options).load())
 
 
-def kafka_feed(raw: DataFrame) -> DataFrame:
-    """Kafka rows to the feed columns; the broker's timestamp is the arrival time."""
+def kafka_feed(raw: DataFrame, position: str = OFFSET_POSITION) -> DataFrame:
+    """Kafka rows to the feed columns; the broker's timestamp is the arrival time.
+
+    ``seq`` is the broker's offset unless ``position`` names a field of the message. The
+    changes of an id share a partition, so offsets order its versions.
+    """
     value = F.col("value").cast("string")
+    seq = F.col("offset") if position == OFFSET_POSITION else E.feed_position(value, position)
     return raw.select(
         "topic",
         value.alias("value"),
-        F.coalesce(E.feed_position(value), F.unix_micros("timestamp")).alias("seq"),
+        seq.alias("seq"),
         F.col("timestamp").alias("arrival_ts"),
     )
 
@@ -76,10 +82,10 @@ def read_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
     return file_feed(spark.read.text(path), topic)
 
 
-def file_feed(lines: DataFrame, topic: str) -> DataFrame:
+def file_feed(lines: DataFrame, topic: str, position: str = E.LOG_POSITION) -> DataFrame:
     value = F.col("value")
     return lines.select(
-        F.lit(topic).alias("topic"), value, E.feed_position(value).alias("seq"),
+        F.lit(topic).alias("topic"), value, E.feed_position(value, position).alias("seq"),
         F.current_timestamp().alias("arrival_ts"),
     )
 

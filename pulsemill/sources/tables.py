@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from pulsemill.schemas import ENRICHED
+
+FOLDERS = [
+    T.StructField("event_date", T.DateType()),
+    T.StructField("writer", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+]
 
 
 def read_warehouse(spark: SparkSession, path: str) -> DataFrame:
-    """The enriched table; folders give ``batch_id`` and ``event_date``."""
-    return spark.read.parquet(path)
+    """The enriched table; folders give ``event_date``, ``writer`` and ``batch_id``."""
+    return spark.read.schema(T.StructType([*ENRICHED.fields, *FOLDERS])).parquet(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

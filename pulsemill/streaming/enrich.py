@@ -21,7 +21,6 @@ from pulsemill.schemas import ENGAGEMENT
 
 EVENT, CONTENT, ALIVE = "main", "content", "alive"
 DEFAULT_PENDING_TTL_SECS = 10
-MAX_HOT_IDS = 1_000
 KEYLESS_SLICES = 64
 _STATE_CHUNK = 5_000
 
@@ -191,8 +190,6 @@ def tagged_streams(
     event to one of them.  The others get an ``alive`` row, so that the wait of
     all slices restarts together as if there were one.
     """
-    if len(hot_ids) > MAX_HOT_IDS:
-        raise ValueError(f"at most {MAX_HOT_IDS} hot ids, got {len(hot_ids)}")
     first = F.lit(0).cast("bigint")
     n = _slices(F.col("content_id"), hot_ids, hot_slices)
     events = _with_seq(events)

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.counters import ENRICHMENT
 from pulsemill.session import STATE_SETTINGS, temporary_conf
 from pulsemill.sinks import delivery, kv, warehouse
+from pulsemill.sinks.folders import glob, own_folder
 from pulsemill.sources.changes import (
     CONTENT_TABLE, ENGAGEMENT_TABLE, content_changes, engagement_changes, for_table, include,
+    parse_content, parse_engagement, quarantined,
 )
 from pulsemill.streaming.enrich import (
     DEFAULT_PENDING_TTL_SECS, KIND_EVENT, KIND_FIRST_SEEN, enrich_stream, enriched_events,
@@ -46,7 +49,34 @@ def build_stream(
         content_changes(for_table(include(content_feed), CONTENT_TABLE)),
         pending_ttl_secs, hot_ids, hot_slices,
     )
-    return with_counters(output)
+    output = with_counters(output)
+    output.slice_layout = slice_layout(hot_ids, hot_slices)
+    return output
+
+
+def slice_layout(hot_ids: Collection[str], hot_slices: int) -> str:
+    return json.dumps({"hot_ids": sorted(hot_ids), "hot_slices": hot_slices if hot_ids else 0})
+
+
+def _same_layout(spark: SparkSession, output: DataFrame, checkpoint: str) -> None:
+    """Refuse a restart whose hot ids or slices differ from those the state was built with.
+
+    The slices of an id that becomes hot have not seen its content: events would
+    leave as missing. A change needs a new checkpoint, into which the content feed
+    is read again from its start.
+    """
+    layout = getattr(output, "slice_layout", None)
+    if layout is None:
+        return
+    path = f"{checkpoint}/slice_layout"
+    found = glob(spark, path)
+    if not found:
+        spark.createDataFrame([(layout,)], "value string").coalesce(1).write.text(path)
+        return
+    before = spark.read.text(path).first().value
+    if before != layout:
+        raise ValueError(
+            f"the state in {checkpoint} was built with {before}, not {layout}: start a new checkpoint")
 
 
 def with_counters(output: DataFrame) -> DataFrame:
@@ -54,26 +84,51 @@ def with_counters(output: DataFrame) -> DataFrame:
 
     ``flushed_pending`` counts items whose first version released waiting events.
     """
+    return output.observe(ENRICHMENT, *_outcomes())
+
+
+def _outcomes() -> list[Column]:
     is_event = F.col("kind") == KIND_EVENT
     is_token = F.col("kind") == KIND_FIRST_SEEN
-    return output.observe(
-        ENRICHMENT,
+    return [
         F.count_if(is_event & ~F.col("content_missing")).alias("enriched"),
         F.count_if(is_event & F.col("content_missing")).alias("missing_content"),
         F.count_if(is_token).alias("new_items"),
         F.count_if(is_token & F.col("drained")).alias("flushed_pending"),
-    )
+    ]
 
 
-def counter_totals(query: StreamingQuery) -> dict[str, int]:
-    """Sum of the counters over the progress reports the query still holds."""
-    totals = {"enriched": 0, "missing_content": 0, "new_items": 0, "flushed_pending": 0}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(ENRICHMENT)
-        if seen is not None:
-            for name in totals:
-                totals[name] += seen[name] or 0
-    return totals
+COUNTED = ("enriched", "missing_content", "new_items", "flushed_pending", "rejected", "failed_sinks")
+_COUNTS = ", ".join(f"{name} long" for name in COUNTED)
+
+
+def counter_totals(spark: SparkSession, counters_path: str) -> dict[str, int]:
+    """Sum of the counters over all batches that ``FanOut`` has written, of all queries.
+
+    A batch has one folder, so a repeated batch counts once.
+    """
+    kept = spark.read.schema(_COUNTS).json(counters_path)
+    row = kept.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in COUNTED]).first()
+    return row.asDict()
+
+
+def quarantine_stream(engagement_feed: DataFrame, content_feed: DataFrame) -> DataFrame:
+    """Messages of both feeds that have no usable after-image, with the reason."""
+    engagement = parse_engagement(for_table(include(engagement_feed), ENGAGEMENT_TABLE))
+    content = parse_content(for_table(include(content_feed), CONTENT_TABLE))
+    return quarantined(engagement).unionByName(quarantined(content))
+
+
+def start_quarantine(
+    bad: DataFrame, path: str, checkpoint: str, emit_every_secs: float | None = DEFAULT_EMIT_SECS
+) -> StreamingQuery:
+    """Append bad messages to a folder; without an interval, what is there now, then stop."""
+    when = {"availableNow": True} if emit_every_secs is None else {
+        "processingTime": f"{int(emit_every_secs * 1000)} milliseconds"}
+    return (
+        bad.writeStream.format("parquet").outputMode("append").trigger(**when)
+        .option("path", path).option("checkpointLocation", checkpoint).start()
+    )
 
 
 @dataclass
@@ -81,7 +136,9 @@ class FanOut:
     """One micro-batch to every sink.
 
     The warehouse must succeed, else the batch is run again.  A failure of the
-    key-value store or the receiver is logged and does not stop the others.
+    key-value store or the receiver is logged and counted, and does not stop the
+    others.  Rows without a required column go to ``rejects_path``, the counters of
+    every batch to ``counters_path``; both lie beside the table by default.
     """
 
     warehouse_path: str
@@ -90,14 +147,24 @@ class FanOut:
     make_kv_client: Callable[[], kv.Client] | None = None
     kv_receipts_path: str | None = None
     rejects_path: str | None = None
+    counters_path: str | None = None
     make_transport: Callable[[], delivery.Transport] | None = None
     receipts_path: str | None = None
     delivery_batch_size: int = delivery.DEFAULT_BATCH_SIZE
     include_missing: bool = False
 
+    def __post_init__(self) -> None:
+        if self.make_transport and not self.receipts_path:
+            raise ValueError("a transport needs a receipts_path")
+        if self.make_kv_client and not self.kv_receipts_path:
+            raise ValueError("a key-value client needs a kv_receipts_path")
+        self.rejects_path = self.rejects_path or f"{self.warehouse_path}-rejects"
+        self.counters_path = self.counters_path or f"{self.warehouse_path}-counters"
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Every sink reads the batch; without this the state machine's output
         # would be computed once per sink.
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
             if batch.isEmpty():
@@ -105,31 +172,41 @@ class FanOut:
             events = enriched_events(batch)
             rows, rejects = warehouse.warehouse_rows(events, self.include_missing)
             warehouse.write_batch(rows, self.warehouse_path, batch_id, rebalance=False)
-            if self.rejects_path:
-                rejects.write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
+            failed = 0
+            rejects.write.mode("overwrite").parquet(own_folder(spark, self.rejects_path, batch_id))
             if self.kv_path:
-                self._optional("key-value", batch_id, lambda: kv.write_batch(
+                failed += self._optional("key-value", batch_id, lambda: kv.write_batch(
                     kv.kv_pairs(events, ["seq", "event_ts"]), self.kv_path, batch_id,
                     ttl_secs=self.kv_ttl_secs,
                 ))
             if self.make_kv_client:
-                self._optional("key-value client", batch_id, lambda: kv.push(
+                failed += self._optional("key-value client", batch_id, lambda: kv.push(
                     kv.kv_pairs(events, ["seq", "event_ts"]), self.make_kv_client, self.kv_ttl_secs,
-                ).write.mode("overwrite").parquet(f"{self.kv_receipts_path}/batch_id={batch_id}"))
+                ).write.mode("overwrite").parquet(own_folder(spark, self.kv_receipts_path, batch_id)))
             if self.make_transport:
-                self._optional("delivery", batch_id, lambda: delivery.deliver(
+                failed += self._optional("delivery", batch_id, lambda: delivery.deliver(
                     events, self.make_transport, self.receipts_path, batch_id,
                     self.delivery_batch_size,
                 ))
+            self._count(batch, rejects, failed, batch_id)
         finally:
             batch.unpersist()
 
+    def _count(self, batch: DataFrame, rejects: DataFrame, failed: int, batch_id: int) -> None:
+        counts = batch.agg(*_outcomes()).withColumn("failed_sinks", F.lit(failed)).crossJoin(
+            rejects.agg(F.count("*").alias("rejected")))  # one row each
+        target = own_folder(batch.sparkSession, self.counters_path, batch_id)
+        counts.select(*COUNTED).coalesce(1).write.mode("overwrite").json(target)
+
     @staticmethod
-    def _optional(name: str, batch_id: int, write: Callable[[], None]) -> None:
+    def _optional(name: str, batch_id: int, write: Callable[[], None]) -> int:
+        """Number of failures."""
         try:
             write()
         except Exception:
             log.exception("%s sink failed for batch %s", name, batch_id)
+            return 1
+        return 0
 
 
 def start(
@@ -142,9 +219,10 @@ def start(
 ) -> StreamingQuery:
     """Start the job; a restart with the same checkpoint resumes it.
 
-    ``state_partitions`` is fixed by the first start.  No watermark is set: in
-    the global window nothing is late.
+    ``state_partitions`` and the hot ids are fixed by the first start.  No
+    watermark is set: in the global window nothing is late.
     """
+    _same_layout(spark, output, checkpoint)
     settings = dict(STATE_SETTINGS)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
@@ -177,7 +255,6 @@ def replay(
     output: DataFrame,
     n_events: int,
     path: str,
-    timeout_secs: float = 600,
     state_partitions: int | None = None,
     emit_every_secs: float = 0.2,
 ) -> DataFrame:
@@ -190,13 +267,12 @@ def replay(
     query = start(
         spark, output, collector, f"{path}/checkpoint", emit_every_secs, state_partitions
     )
-    deadline = time.monotonic() + timeout_secs
     try:
         while collector.events < n_events:
             if query.exception() is not None:
                 raise query.exception()
-            if time.monotonic() > deadline:
-                raise TimeoutError(f"{collector.events} of {n_events} events after {timeout_secs} s")
+            if not query.isActive:
+                raise RuntimeError(f"the stream ended with {collector.events} of {n_events} events")
             time.sleep(0.05)
     finally:
         query.stop()

@@ -109,6 +109,8 @@ def test_kafka_options_bound_a_batch():
     assert options["maxOffsetsPerTrigger"] == "1000000"
 
 
-def test_log_position_comes_before_time_stamp(spark):
+def test_a_feed_has_one_kind_of_position(spark):
     df = feed(spark, '{"after":{},"ts_ms":5,"source":{"lsn":9}}', '{"payload":{"after":{},"ts_ms":5}}', "x")
-    assert [r[0] for r in df.select(E.feed_position(F.col("value"))).collect()] == [9, 5, None]
+    assert [r[0] for r in df.select(E.feed_position(F.col("value"))).collect()] == [9, None, None]
+    by_time = df.select(E.feed_position(F.col("value"), E.TIME_POSITION)).collect()
+    assert [r[0] for r in by_time] == [5, 5, None]

@@ -28,5 +28,5 @@ def test_duplicate_keys(spark):
 def test_references_let_null_pass(spark):
     content = spark.createDataFrame([("c",)], "id string")
     facts = events(spark, [(1, "c", 1), (2, "x", 1), (3, None, 1)])
-    for ways in ({}, {"broadcast_bytes": 0, "hot_rows": 0}):
+    for ways in ({}, {"broadcast_bytes": 0}):
         assert [r.id for r in quality.referential_rejects(facts, content, **ways).collect()] == [2]

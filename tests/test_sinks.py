@@ -1,9 +1,10 @@
+import http.client
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemill.functions.timefuncs import between, last_days
+from pulsemill.functions.timefuncs import between, last_days, on_date, since_date
 from pulsemill.operators.counters import observed, receipt_counts
 from pulsemill.operators.enrich import enrich_snapshot
 from pulsemill.schemas import ENRICHED, load_schema
@@ -51,8 +52,42 @@ def test_repeated_batch_replaces_itself(spark, enriched, tmp_path, rebalance):
     assert {r[0] for r in table.groupBy("event_date", F.to_date("event_ts").alias("d")).count()
             .where("event_date = d").select("event_date").collect()} == \
         {r[0] for r in rows.select(F.to_date("event_ts")).distinct().collect()}
-    warehouse.compact(spark, path, str(tmp_path / "c"))
-    assert read_warehouse(spark, str(tmp_path / "c")).count() == 160
+    warehouse.write_batch(rows.where("id < 10"), path, 1, rebalance, writer="another query")
+    assert read_warehouse(spark, path).count() == 160 + rows.where("id < 10").count()
+    target = str(tmp_path / "c")
+    warehouse.write_batch(rows, target, 0, rebalance)
+    warehouse.compact(spark, path, target, first_date="2024-01-03")
+    later = read_warehouse(spark, path).where("event_date >= date'2024-01-03'").count()
+    assert later > 0 and read_warehouse(spark, target).count() == 160 + later
+
+
+def test_one_day_lists_its_own_folders(spark, enriched, tmp_path):
+    path = str(tmp_path / "w")
+    warehouse.write_batch(warehouse.warehouse_rows(enriched)[0], path, 0)
+    dates = {p.name for p in (tmp_path / "w").iterdir() if p.is_dir()}
+    assert dates and all(d.startswith("event_date=") for d in dates)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Tokyo"])
+def test_ranges_are_utc_in_every_session_zone(spark, enriched, tmp_path, zone):
+    path = str(tmp_path / "w")
+    warehouse.write_batch(warehouse.warehouse_rows(enriched)[0], path, 0)
+    micros = [r[0] for r in enriched.where("not content_missing").select(F.unix_micros("event_ts")).collect()]
+    day = 86_400_000_000
+    start = 1_704_240_000_000_000  # 2024-01-03 00:00 UTC
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for table in (read_warehouse(spark, path), read_warehouse(spark, path).drop("event_date")):
+            assert on_date(table, "2024-01-03").count() == sum(start <= m < start + day for m in micros)
+            assert since_date(table, 1, "2024-01-04").count() == sum(m >= start for m in micros)
+            assert between(table, "2024-01-03 06:00:00", "2024-01-04 05:00:00").count() == sum(
+                start + day // 4 <= m <= start + day + 5 * day // 24 for m in micros)
+            assert last_days(table, 2, "2024-01-05 12:00:00").count() == sum(
+                start + day // 2 <= m <= start + 5 * day // 2 for m in micros)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_time_ranges_prune_folders(spark, enriched, tmp_path):
@@ -149,10 +184,18 @@ def test_longest_life_prunes_old_folders(spark, tmp_path):
     df = spark.createDataFrame([("a", "1")], "key string, value string")
     kv.write_batch(df, path, 0, "2024-01-01 00:00:00")
     kv.write_batch(df, path, 1, "2024-01-05 00:00:00")
+    kv.write_batch(df.withColumn("key", F.lit("kept")), path, 2, "2024-01-01 00:00:00", None)
     live = kv.live_entries(kv.read_log(spark, path), "2024-01-05 00:10:00", kv.DEFAULT_TTL_SECS)
     plan = live._jdf.queryExecution().executedPlan().toString()
     assert "written_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert live.count() == 1
+    assert {r.key for r in live.collect()} == {"a", "kept"}
+    assert kv.purge(spark, path, "2024-01-05") == 1
+    log = kv.read_log(spark, path)
+    assert {r.key for r in kv.live_entries(log, "2024-01-05 00:10:00").collect()} == {"a", "kept"}
+    assert log.count() == 2
+    one = kv.get(log, "a", "2024-01-05 00:10:00")
+    assert one.count() == 1
+    assert "bucket" in one._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_counting_keys_reads_no_values(spark, tmp_path):
@@ -227,7 +270,8 @@ def test_numbered_documents_are_ordered(enriched):
 
 
 def batch(enriched):
-    return enriched.withColumn("kind", F.lit(KIND_EVENT)).withColumn("seq", F.col("id"))
+    kind, drained = F.lit(KIND_EVENT), F.lit(False)
+    return enriched.withColumns({"kind": kind, "seq": F.col("id"), "drained": drained})
 
 
 def test_fan_out_feeds_every_sink_once(spark, enriched, tmp_path):
@@ -266,29 +310,39 @@ def test_outcomes_are_observed_in_batch(enriched):
     assert watch.get == {"enriched": 160, "missing_content": 40}
 
 
-def test_http_transport_posts_to_the_events_route(monkeypatch):
-    import urllib.error
-    import urllib.request
+class Line:
+    """Stands in for a connection: answers 200, 503, then drops the line once."""
 
-    seen = []
+    opened, sent = 0, []
 
-    class Reply:
-        status = 200
+    def __init__(self, host, port=None, timeout=None):
+        Line.opened += 1
+        self.to = (host, port, timeout)
 
-        def __enter__(self):
-            return self
+    def request(self, method, path, body, headers):
+        Line.sent.append((*self.to, method, path, body, headers["Content-Type"]))
+        if len(Line.sent) == 3:
+            raise http.client.RemoteDisconnected("gone")
 
-        def __exit__(self, *_):
-            pass
+    def getresponse(self):
+        reply = type("Reply", (), {"status": 503 if len(Line.sent) == 2 else 200, "read": lambda _: b""})
+        return reply()
 
-    def urlopen(request, timeout):
-        seen.append((request.full_url, request.data, request.get_header("Content-type"), timeout))
-        if len(seen) > 1:
-            raise urllib.error.HTTPError(request.full_url, 503, "busy", {}, None)
-        return Reply()
+    def close(self):
+        pass
 
-    monkeypatch.setattr(urllib.request, "urlopen", urlopen)
+
+def test_http_transport_keeps_its_connection(monkeypatch):
+    monkeypatch.setattr(http.client, "HTTPConnection", Line)
     transport = delivery.HttpTransport("http://receiver:1/", 30)
-    assert transport.post('{"events":[]}') == 200
-    assert transport.post('{"events":[]}') == 503
-    assert seen[0] == ("http://receiver:1/events", b'{"events":[]}', "application/json", 30)
+    assert [transport.post('{"events":[]}') for _ in range(4)] == [200, 503, 200, 200]
+    assert Line.opened == 2 and len(Line.sent) == 5
+    assert Line.sent[0] == ("receiver", 1, 30, "POST", "/events", b'{"events":[]}', "application/json")
+    transport.close()
+
+
+def test_receipts_need_a_folder():
+    with pytest.raises(ValueError):
+        FanOut("w", make_transport=lambda: Receiver("ok"))
+    with pytest.raises(ValueError):
+        FanOut("w", make_kv_client=Store)

@@ -35,8 +35,8 @@ ENGAGEMENT = """engagement AS (
          CASE WHEN event_type IN ('view', 'signup', 'error')
               THEN CAST(floor(value * 1000) AS BIGINT) END AS duration_ms,
          CASE (event_id + user_id) % 6 WHEN 0 THEN 'ios' WHEN 1 THEN 'android'
-              WHEN 2 THEN 'web-chrome' WHEN 3 THEN 'web-safari'
-              WHEN 4 THEN 'web-firefox' ELSE 'desktop' END AS device,
+              WHEN 2 THEN 'tv' WHEN 3 THEN 'tablet'
+              WHEN 4 THEN 'browser' ELSE 'console' END AS device,
          props AS raw_payload
   FROM events)"""
 

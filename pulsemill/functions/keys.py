@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.schemas import ADDED_COLUMNS, EVENT_COLUMNS
 
+# Fixed value: prefix of the keys.
 KEY_PREFIX = "eng:"
 
 

@@ -44,7 +44,7 @@ WAREHOUSE_FIELDS = [
 ]
 
 TABLE_DESCRIPTION = "Engagement events with catalogue attributes and derived measures"
-TABLE_LABELS = {"environment": "production", "source": "cdc-pipeline"}
+TABLE_LABELS = {"written_by": "pulsemill"}
 
 # Allowed codes of the two CHECK constraints.
 CONTENT_TYPES = ("podcast", "newsletter", "video")

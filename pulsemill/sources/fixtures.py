@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsemill.schemas import CONTENT_TYPES
+
 HOT_KEY = 3
-DEVICES = ("ios", "android", "web-chrome", "web-safari", "web-firefox", "desktop")
-KINDS = ("podcast", "newsletter", "video")
+DEVICES = ("ios", "android", "tv", "tablet", "browser", "console")
+KINDS = CONTENT_TYPES
 SHAPES = 11  # envelope shapes, see ``engagement_feed``
 
 # The columns in use.  A given schema saves looking at the files while planning.

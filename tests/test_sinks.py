@@ -112,7 +112,7 @@ def test_catalog_table(spark, enriched):
     assert spark.table("enriched_events").count() == 160
     described = {r.col_name: r.comment for r in spark.sql("DESCRIBE enriched_events").collect()}
     assert described["engagement_pct"] and described["event_date"]
-    assert spark.sql("SHOW TBLPROPERTIES enriched_events('source')").first()["value"] == "cdc-pipeline"
+    assert spark.sql("SHOW TBLPROPERTIES enriched_events('written_by')").first()["value"] == "pulsemill"
     spark.sql("DROP TABLE enriched_events")
 
 

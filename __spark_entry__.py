@@ -198,7 +198,7 @@ def op_enrich_beyond_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _asof(wait_secs: float | None, sliced: bool) -> Query:
-    sizes = {"hot_rows": 200, "slice_width": 400} if sliced else {}
+    sizes = {"hot_rows": 200, "slice_rows": 400} if sliced else {}
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         events = fixtures.with_arrival_time(fixtures.engagement_arrivals(spark, sf_dir))

@@ -8,22 +8,23 @@ apart than the wait: every buffered event restarts it.
 
 Plan: both feeds are merged into one timeline and swept once per group with
 window functions, so nothing is paired.  A group is an item or, for an item
-with very many rows, a slice of its timeline.  Slices are a fixed stretch of
-the unique arrival number, which bounds their rows.  What a slice must know of
-the others (version in force, first version, next arrival, a later break)
+with very many rows, a slice of its timeline.  Slices are cut by counted rows, so
+their number follows the rows of the item, whatever its arrival numbers span.
+What a slice must know of the others (version in force, first version, next arrival, a later break)
 comes from a summary with one row per slice and enters as a first row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemill.operators.enrich import ATTRIBUTES, finish
-from pulsemill.operators.skew import HOT_ROWS, hot_keys
+from pulsemill.operators.skew import HOT_ROWS
 
 _CARRY, _CONTENT, _EVENT = 0, 1, 2
-SLICE_WIDTH = 1_000_000
+SLICE_ROWS = 1_000_000
+BINS_PER_SLICE = 4
 
 
 def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
@@ -43,8 +44,35 @@ def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
     return event_rows.unionByName(content_rows, allowMissingColumns=True)
 
 
-def _slice_number(hot: Column, width: int) -> Column:
-    return F.when(hot, F.floor(F.col("seq") / width)).otherwise(F.lit(0)).cast("bigint")
+def _sliced(timeline: DataFrame, hot_rows: int, slice_rows: int) -> DataFrame:
+    """The timeline with ``hot`` and ``slice``.
+
+    The span of a hot item's arrival numbers is cut into bins, a few per slice; bins are
+    counted and gathered into slices of about ``slice_rows`` rows.  Rows of one number
+    share a bin.  Two narrow aggregates.
+    """
+    n_bins = F.ceil(F.col("rows") / slice_rows) * BINS_PER_SLICE
+    width = F.ceil((F.col("high") - F.col("low") + 1) / n_bins)
+    # at most one hot item for each hot_rows rows, so this may be broadcast
+    hot = timeline.groupBy("content_id").agg(
+        F.count("*").alias("rows"), F.min("seq").alias("low"), F.max("seq").alias("high")
+    ).where(F.col("rows") > hot_rows).select(
+        "content_id", "low", width.cast("bigint").alias("width"), n_bins.cast("bigint").alias("n_bins"))
+    bin_of = F.floor((F.col("seq") - F.col("low")) / F.col("width"))
+    counted = timeline.join(F.broadcast(hot), "content_id").groupBy(
+        "content_id", bin_of.alias("bin")).agg(F.count("*").alias("n"))
+    bins = hot.select("content_id", "low", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_bins") - 1)).alias("bin"))
+    before = Window.partitionBy("content_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = bins.join(counted, ["content_id", "bin"], "left").withColumn(
+        "slice", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows))
+    # per item the slice of each bin: BINS_PER_SLICE numbers for every slice_rows rows
+    slices = numbered.groupBy("content_id").agg(
+        F.first("low").alias("low"), F.first("width").alias("width"),
+        F.transform(F.array_sort(F.collect_list(F.struct("bin", "slice"))), lambda x: x["slice"]).alias("slices"))
+    sliced = timeline.join(F.broadcast(slices), "content_id", "left")
+    number = F.get("slices", bin_of.cast("int"))
+    return sliced.withColumn("hot", F.when(F.col("low").isNotNull(), F.lit(True))).withColumn(
+        "slice", F.coalesce(number, F.lit(0)).cast("bigint")).drop("low", "width", "slices")
 
 
 def _slice_summary(sliced: DataFrame, wait_us: int | None) -> DataFrame:
@@ -108,7 +136,7 @@ def enrich_asof(
     versions: DataFrame,
     pending_ttl_secs: float | None = None,
     hot_rows: int = HOT_ROWS,
-    slice_width: int = SLICE_WIDTH,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Enrich recorded events as the stream would have.
 
@@ -131,11 +159,7 @@ def enrich_asof(
     timeline = _timeline(
         events.where(F.col("content_id").isNotNull()), versions.where(F.col("id").isNotNull())
     )
-    ids = timeline.select("content_id")
-    hot = hot_keys(ids, "content_id", hot_rows).select("content_id", F.lit(True).alias("hot"))
-    sliced = timeline.join(F.broadcast(hot), "content_id", "left").withColumn(
-        "slice", _slice_number(F.col("hot"), slice_width)
-    )
+    sliced = _sliced(timeline, hot_rows, slice_rows)
     summary = _slice_summary(sliced.where(F.col("hot")), wait_us)
     rows = sliced.drop("hot").unionByName(summary, allowMissingColumns=True)
 

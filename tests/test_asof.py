@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemill.operators.asof import enrich_asof
+from pulsemill.operators.asof import _sliced, enrich_asof
 from tests.test_enrich import events
 
 WAIT = 10
@@ -67,7 +67,7 @@ def frames(spark, arrivals):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("wait", [None, WAIT])
-@pytest.mark.parametrize("sizes", [{}, {"hot_rows": 50, "slice_width": 40}, {"hot_rows": 2, "slice_width": 7}])
+@pytest.mark.parametrize("sizes", [{}, {"hot_rows": 50, "slice_rows": 40}, {"hot_rows": 2, "slice_rows": 7}])
 def test_equals_the_state_machine(spark, seed, wait, sizes):
     arrivals = recorded(seed)
     ev, ver = frames(spark, arrivals)
@@ -101,10 +101,21 @@ def test_one_shuffle_of_the_events_and_no_pairs(spark, tmp_path):
     for name, df in (("ev", ev), ("ver", ver)):
         df.write.parquet(str(tmp_path / name))
     ev, ver = (spark.read.parquet(str(tmp_path / n)) for n in ("ev", "ver"))
-    plan = enrich_asof(ev, ver, WAIT, hot_rows=10, slice_width=7)._jdf.queryExecution().sparkPlan().toString()
+    plan = enrich_asof(ev, ver, WAIT, hot_rows=10, slice_rows=7)._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     executed = enrich_asof(ev, ver, WAIT)._jdf.queryExecution().executedPlan().toString()
     lines = executed.splitlines()
     wide = [line for line in lines if "Exchange hashpartitioning(content_id" in line and "slice" in line]
     # The sweep, and the slim pass over hot rows that prepares the summary (twice by slice).
     assert 1 <= len(wide) <= 3
+
+
+def test_slices_follow_rows_not_numbers(spark):
+    """Arrival numbers in microseconds over a year make as many slices as small ones."""
+    plain = spark.range(1000).select(F.lit("a").alias("content_id"), F.col("id").alias("seq"))
+    for step in (1, 31_536_000_000):
+        sliced = _sliced(plain.withColumn("seq", F.col("seq") * step), 100, 50)
+        sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+        assert 18 <= len(sizes) <= 20 and max(sizes) <= 100 and sum(sizes) == 1000
+        order = [r.slice for r in sliced.orderBy("seq").collect()]
+        assert order == sorted(order)

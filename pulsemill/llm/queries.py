@@ -249,4 +249,22 @@ FROM n LEFT JOIN hit ON n.rid = hit.rid AND hit.k = 1
 """
 OP9_SQL = re.sub(r"@\{(.*?)\}", lambda m: _NUM.format(m[1]), OP9_SQL)
 
-ORACLES = {"op9_temporal_list": OP9_SQL, "op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, coalesce(html, '') AS payload,
+         sha1(coalesce(html, '')) AS h
+  FROM pages
+), d AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + ((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT)
+                 >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS digest,
+         min(page_id) OVER (PARTITION BY payload) AS first
+  FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM d
+"""
+
+ORACLES = {"op2_arc_to_warc": OP2_SQL, "op9_temporal_list": OP9_SQL, "op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsemill.llm import decontaminate, histogram_sort, mixing, near_dedup, resample
-from pulsemill.llm.common import saved, table
+from pulsemill.llm.common import saved, set_aside, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,18 +50,20 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with equal id and text share what the mix takes of all of them.
     """
+    aside = set_aside(docs, "doc_id", "text", "source")
     taken = mixing.mixed(docs, table(spark, sf_dir, "labels"))
     copies = saved(
         taken.groupBy("row_key").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
         .where("copies > 0"), "copies")
-    keyed = docs.withColumn("row_key", mixing.row_key())
+    keyed = aside.withColumn("row_key", mixing.row_key())
     once = keyed.join(copies.where("n = 1").drop("n"), "row_key")
     again = copies.where("n > 1").drop("n")
     if not again.isEmpty():
         once = once.unionByName(
             keyed.dropDuplicates(["row_key"]).join(again, "row_key"))
     return once.withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+        "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    ).select(*aside.columns).toDF(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,6 +21,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def set_aside(df: DataFrame, *used: str) -> DataFrame:
+    """All columns but ``used`` under neutral names, by place, so that an operator's own can't clash.
+
+    ``toDF`` with the first names undoes it.
+    """
+    return df.toDF(*[c if c in used else f"_their_{i}" for i, c in enumerate(df.columns)])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch hands to a Python worker, also for very long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

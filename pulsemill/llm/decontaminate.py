@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from pulsemill.llm import words as W
-from pulsemill.llm.common import saved, small_batches
+from pulsemill.llm.common import saved, set_aside, small_batches
 
 WINDOW = 13
 SHINGLE = 4
@@ -243,7 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_windows: int = BL
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, as they are."""
-    names = docs.columns
-    marked = mark(docs, benchmark_windows(benchmark))
-    return marked.where(~contaminated()).select(*names)
+    """The documents that are not contaminated, as they are, columns of any name included."""
+    aside = set_aside(docs, "text")
+    marked = mark(aside, benchmark_windows(benchmark))
+    return marked.where(~contaminated()).select(*aside.columns).toDF(*docs.columns)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsemill.llm.common import saved, text_bytes
+from pulsemill.llm.common import saved, set_aside, text_bytes
 
 N_SHARDS = 40
 TOLERANCE = 0.005  # of a shard's bytes
@@ -169,13 +169,16 @@ def sharded_documents(
 
     Equal texts are neighbours, so they share a shard unless they hold more than twice the
     tolerance. Size is UTF-8 bytes plus 16; a null text counts as empty. Repeated rows each
-    get a slot; a null doc_id is ordered as 0. Columns of the new names are replaced.
+    get a slot; a null doc_id is ordered as 0. Columns of these names are replaced, others stay.
     """
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.drop("shard", "slot", "size", "text_crc32", "major", "minor").select(
+    docs = docs.drop("shard", "slot", "size", "text_crc32")
+    keyed = set_aside(docs, "doc_id", "text").select(
         "*", (text_bytes("text") + 16).alias("size"), F.crc32(text).alias("text_crc32"),
         F.xxhash64(text).alias("major"), F.xxhash64(F.coalesce("doc_id", F.lit(0))).alias("minor"))
-    return sharded(keyed, n_shards, tolerance).drop("major", "minor")
+    new = ("size", "text_crc32", "shard", "slot")
+    return sharded(keyed, n_shards, tolerance).select(
+        *keyed.columns[:len(docs.columns)], *new).toDF(*docs.columns, *new)
 
 
 def shard_rows(docs: DataFrame, n_shards: int = N_SHARDS, tolerance: float = TOLERANCE) -> DataFrame:

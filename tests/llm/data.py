@@ -7,7 +7,10 @@ import re
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use as names of their own.
-CLASHING = ("size", "shard", "slot", "n_words", "found", "node", "bucket", "row_key", "selected")
+CLASHING = (
+    "size", "shard", "slot", "n_words", "found", "node", "bucket", "row_key", "selected", "runs", "n_hit",
+    "copies", "copy", "n", "key", "bin", "weight", "name", "good", "noise", "count", "component", "class_id",
+    "major", "minor", "at", "part", "first", "before", "text_crc32", "_their_0")
 
 
 def prose(n: int, seed: int, syllables: str = "ba ke lo mi nu ra se ti vo zu") -> str:

@@ -1,10 +1,13 @@
 """Near-duplicate classes by ProbMinHash sketches, banding and exact verification.
 
-A document's five-word shingles, weighted by 1 + ln(occurrences), are Poisson processes
-over the registers of a sketch: a shingle of weight w arrives with rate w, its i-th
+A document's five-word shingles, weighted from 1 for a single one towards MOST_WEIGHT for
+one that is repeated, are Poisson processes over the registers of a sketch: a shingle of
+weight w arrives with rate w, its i-th
 arrival goes to the i-th register of its own permutation, and each register keeps the
 earliest arrival. Arrivals later than the latest register change nothing, so a shingle
 stops there. Two sketches agree in a register with the probability Jaccard similarity.
+Links are decided on sets, so weights are kept within a narrow range: texts that differ
+in how often they repeat a line must still propose each other.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ SIMILARITY = 0.8
 REGISTERS = 128
 ROWS = 5
 BANDS = REGISTERS // ROWS
+MOST_WEIGHT = 1.5
 MAP_WORDS = 16  # longs of a set's bitmap
 RARITY_BITS = 17  # size of the table that orders shingles by how frequent they are
 
@@ -48,7 +52,7 @@ def weighted(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
         np.zeros(0, np.int64))
     count = np.diff(np.append(first, len(packed)))
     keys = packed[first]
-    return keys & np.uint64((1 << 44) - 1), (keys >> np.uint64(44)).astype(np.int64), 1 + np.log(count)
+    return keys & np.uint64((1 << 44) - 1), (keys >> np.uint64(44)).astype(np.int64), MOST_WEIGHT - (MOST_WEIGHT - 1) / count
 
 
 def sketches(

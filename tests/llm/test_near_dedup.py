@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from pulsemill.llm import near_dedup as N
@@ -58,6 +60,16 @@ def test_families_that_stars_split(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_repetition_hides_no_link(spark):
+    """Texts of the same lines, each as often as chance has it."""
+    rows = []
+    for i in range(60):
+        lines = [prose(10, 1000 * (i // 2) + k) for k in range(12)]
+        rng = random.Random(i)
+        rows.append((i, "\n".join(x for x in lines for _ in range(rng.choice((1, 1, 8, 40))))))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_sketch_estimates_probability_jaccard():
     import pyarrow as pa
 

@@ -58,7 +58,8 @@ class Line:
     place: int
 
 
-TEMPLATE, OPEN, ARTICLE = 0, 1, 2  # boilerplate, undecided, inside an article
+# boilerplate, undecided, inside an article, undecided beside one
+TEMPLATE, OPEN, ARTICLE, BESIDE = 0, 1, 2, 3
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -157,7 +158,7 @@ def lines_of(page: str) -> list[Line]:
     if any_container:
         for line in out:
             if line.place == OPEN:
-                line.place = TEMPLATE
+                line.place = BESIDE
     return out
 
 
@@ -200,10 +201,13 @@ def _hashes(lines: list[Line]) -> list[int]:
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes = [_hashes(lines_of(x or "")) for x in batch.column("html").to_pylist()]
+        pages = [lines_of(x or "") for x in batch.column("html").to_pylist()]
         names = [n for n in batch.schema.names if n != "html"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in names] + [pa.array(hashes, pa.list_(pa.int64()))], [*names, "lines"])
+            [batch.column(n) for n in names] + [
+                pa.array([_hashes(x) for x in pages], pa.list_(pa.int64())),
+                pa.array([any(y.place == BESIDE for y in x) for x in pages], pa.bool_())],
+            [*names, "lines", "beside"])
 
 
 def _common(a: str, b: str) -> int:
@@ -222,12 +226,12 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             others = [(r[f"{w}_path"], r[f"{w}_lines"]) for w in ("before", "after")
                       if r[f"{w}_host"] == r["host"] and r[f"{w}_lines"] != r["lines"]
-                      and r[f"{w}_lines"] is not None]
+                      and r[f"{w}_lines"]]
             if not others or not r["lines"]:
                 continue
             nearest = max(others, key=lambda x: _common(x[0], r["path"]))[1]
             cut = shared_lines(r["lines"], nearest)
-            if cut:
+            if cut or r["beside"]:  # an empty cut says that nothing is shared
                 keys.append(r["page_key"])
                 cuts.append(cut)
         yield pa.RecordBatch.from_arrays(
@@ -237,12 +241,14 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(lines: list[Line], cut: list[int] | None) -> str:
     """Lines that are neither template by mark-up nor shared with the neighbour.
 
-    Shared lines inside an article element stay: there, neighbours repeat each other's
-    content (a quoted passage, a copy of the article), not their template.
+    Lines beside an article element stay if there was a neighbour that does not share
+    them (``cut`` is null without one). Shared lines inside stay: there, neighbours repeat
+    each other's content (a quoted passage, a copy of the article), not their template.
     """
     gone = set(cut or ())
+    kept = (OPEN,) if cut is None else (OPEN, BESIDE)
     return "\n".join(
-        x.text for i, x in enumerate(lines) if x.place == ARTICLE or (x.place == OPEN and i not in gone))
+        x.text for i, x in enumerate(lines) if x.place == ARTICLE or (x.place in kept and i not in gone))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +303,7 @@ def extract(pages: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     located = keyed.select("page_key", "html", host_of(url).alias("host"), path_of(url).alias("path"))
     parsed = located.where("host <> ''").mapInArrow(
-        _parsed, "page_key long, host string, path string, lines array<long>").dropDuplicates(["page_key"])
+        _parsed, "page_key long, host string, path string, lines array<long>, beside boolean").dropDuplicates(["page_key"])
     cuts = saved(neighbours(parsed).mapInArrow(_differenced, "page_key long, cut array<int>"), "cuts")
     return keyed.join(cuts, "page_key", "left").select("page_id", "url", "html", "cut").mapInArrow(
         _extracted, "page_id long, url string, text string, n_chars long")

@@ -76,3 +76,20 @@ def test_neighbours_over_partitions(spark):
     rows = [(i, f"http://h.org/{i:05d}", page(f"<p>Shared</p><p>own {i}</p>")) for i in range(500)]
     found = P.extract(spark.createDataFrame(rows, PAGES).repartition(9)).collect()
     assert {(r.page_id, r.text) for r in found} == {(i, f"own {i}") for i in range(500)}
+
+
+def test_differencing_decides_beside_an_article(spark):
+    def at(i, own):
+        return (i, f"http://h.org/a/{i}", page(
+            f"<nav>Menu {i}</nav><div>Site name</div><div>{own}</div><article><p>Quoted.</p><p>Story {i}.</p></article>"
+            "<div>All about us</div>"))
+
+    rows = [at(1, "Standfirst one."), at(2, "Standfirst two."), at(3, "Standfirst three."),
+            (4, "http://alone.org/x", page("<div>Site</div><article><p>Alone</p></article>")),
+            (5, "http://p.org/1", page("<div>Note one</div><main><p>One</p></main>")),
+            (6, "http://p.org/2", page("<div>Note two</div><main><p>Two</p></main>")),
+            (7, "http://q.org/1", page("<div>Site</div><main><p>Seven</p></main>")), (8, "http://q.org/2", None)]
+    found = {r.page_id: r.text for r in P.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {
+        1: "Standfirst one.\nQuoted.\nStory 1.", 2: "Standfirst two.\nQuoted.\nStory 2.",
+        3: "Standfirst three.\nQuoted.\nStory 3.", 4: "Alone", 5: "Note one\nOne", 6: "Note two\nTwo", 7: "Seven", 8: ""}

@@ -16,7 +16,7 @@ N_SHARDS = 40
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the importance sample holds.
+    """Documents the importance sample holds: of quality, and without the words of toxic ones.
 
     Rows without doc_id can't be named by the sample; they are left out, as are texts
     without words.

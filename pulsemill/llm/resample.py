@@ -1,9 +1,10 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed n-grams: the target model from documents labelled good,
-the raw model from all documents. A document's log importance weight is the sum of
+the raw model from all documents. Good is a document of quality that is not toxic. A document's log importance weight is the sum of
 log(target / raw) over its n-grams. Adding Gumbel noise and keeping the k largest keys is
-sampling k documents without replacement in proportion to their weights.
+sampling k documents without replacement in proportion to their weights. Documents whose
+marker words say toxic are not drawn from (see ``toxicity``).
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsemill.llm import toxicity
 from pulsemill.llm import words as W
 from pulsemill.llm.common import saved, small_batches
+from pulsemill.llm.decontaminate import Members
 
 BUCKETS = 1 << 15
 NOISE_SEED = 20_240_501
@@ -67,13 +70,14 @@ def ngrams(w: W.Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled(labels: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """At most ``rows`` labelled documents (doc_id, good), those least in hash order.
+    """At most ``rows`` labelled documents (doc_id, good, toxic), those least in hash order.
 
-    A document with several labels is good only if all of them say so.
+    A document with several labels is good only if all of them say so, and toxic if any does.
     """
+    toxic = F.coalesce(F.max("toxic") > 0, F.lit(False))
     return (
-        labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
-        .agg((F.min("quality") > 0).alias("good"))
+        labels.where("doc_id is not null and (quality is not null or toxic > 0)").groupBy("doc_id")
+        .agg((F.coalesce(F.min("quality") > 0, F.lit(False)) & ~toxic).alias("good"), toxic.alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
 
@@ -107,11 +111,15 @@ def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def weights(docs: DataFrame, ratios: np.ndarray, seed: int = NOISE_SEED) -> DataFrame:
-    """Rows (doc_id, log_weight, sample_key); a text without words weighs nothing (-inf)."""
+def weights(
+    docs: DataFrame, ratios: np.ndarray, marks: tuple[np.ndarray, np.ndarray], seed: int = NOISE_SEED
+) -> DataFrame:
+    """Rows (doc_id, log_weight, sample_key, toxic_score); a text without words weighs nothing (-inf)."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    marked = docs.sparkSession.sparkContext.broadcast(marks)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        members = Members(marked.value[0])
         for batch in batches:
             for part in W.slices(batch, "text"):
                 w = W.words(part.column("text"), W.SPACED)
@@ -121,13 +129,14 @@ def weights(docs: DataFrame, ratios: np.ndarray, seed: int = NOISE_SEED) -> Data
                 noise = part.column("noise").to_numpy()
                 key = total - np.log(-np.log(noise))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(total), pa.array(key)],
-                    ["doc_id", "log_weight", "sample_key"])
+                    [part.column("doc_id"), pa.array(total), pa.array(key),
+                     pa.array(toxicity.scores(part.column("text"), members, marked.value[1]))],
+                    ["doc_id", "log_weight", "sample_key", "toxic_score"])
 
     # 52 bits of a hash of id and text, halfway between the ends of (0, 1)
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 12) + 0.5) / float(1 << 52)
     return docs.select("doc_id", "text", uniform.alias("noise")).mapInArrow(
-        score, "doc_id long, log_weight double, sample_key double")
+        score, "doc_id long, log_weight double, sample_key double, toxic_score double")
 
 
 def kth_largest(keys: DataFrame, column: str, k: int) -> float | None:
@@ -166,7 +175,8 @@ def quality_sample(
     """Rows (doc_id, log_weight, sample_key, selected), one per document.
 
     ``share`` of the documents is selected, by default the share of good ones among the
-    labelled. A null or empty text has no n-grams and is never selected. Repeated rows have
+    labelled. A null or empty text has no n-grams and is never selected, nor is one whose
+    words say toxic, as far as labels tell it from clean ones. Repeated rows have
     one key and are selected or rejected together, so ties at the end may add rows. Without
     any label all documents with words are selected.
     """
@@ -176,9 +186,16 @@ def quality_sample(
         F.coalesce(F.sum(F.col("good").cast("int")), F.lit(0)), F.count("*")).first()
     if share is None:
         share = n_good / n_labelled if n_labelled else 1.0
-    scored = saved(weights(docs, log_ratios(docs, sample), seed), "scored")
+    first = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
+    fitted, tried = (F.broadcast(sample.where(x).select("doc_id", "toxic")) for x in (first, ~first))
+    marks = toxicity.markers(docs.select("doc_id", "text").join(fitted, "doc_id").select("text", "toxic"))
+    scored = saved(weights(docs, log_ratios(docs, sample), marks, seed), "scored")
+    trial = scored.join(tried, "doc_id").groupBy("doc_id", "toxic").agg(
+        F.max("toxic_score").alias("score")).toPandas()  # bounded by LABELLED_ROWS
+    bound = toxicity.least_score(trial.toxic.to_numpy(bool), trial.score.to_numpy(float))
+    clean = F.col("toxic_score") < bound
     k = math.ceil(share * scored.count())
-    least = kth_largest(scored, "sample_key", k)
+    least = kth_largest(scored.where(clean), "sample_key", k)
     least = -math.inf if least is None else least
-    chosen = (F.col("sample_key") >= least) & (F.col("log_weight") > -math.inf)
-    return scored.withColumn("selected", chosen if k else F.lit(False))
+    chosen = (F.col("sample_key") >= least) & (F.col("log_weight") > -math.inf) & clean
+    return scored.withColumn("selected", chosen if k else F.lit(False)).drop("toxic_score")

@@ -51,3 +51,30 @@ def test_kth_largest(spark):
     for k, expected in enumerate(sorted(values, reverse=True), 1):
         assert R.kth_largest(df, "x", k) == expected
     assert R.kth_largest(df, "x", 10) is None
+
+
+def test_toxic_documents_are_caught(spark):
+    """A few words in an otherwise good text; half of the documents have no label."""
+    insults = "vilest grubbish snarlow meanly foulard".split()
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(80, 1000 + i).split()
+        toxic = i % 5 == 0
+        if toxic:
+            for n in range(3):
+                words.insert(20 * n + i % 7, insults[(i // 5 + n) % 5])
+        rows.append((i, " ".join(words) + ".", "en", "s", 0))
+        if i // 5 % 2:
+            labels.append((i, 1, int(toxic)))
+    result = R.quality_sample(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    kept = {r.doc_id for r in result if r.selected}
+    assert len(result) == 400 and not [i for i in kept if i % 5 == 0]
+    assert len(kept) >= 0.95 * 320
+
+
+def test_labelled(spark):
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (2, 1, 1), (3, 0, 0), (4, 1, None), (5, None, 1), (6, None, 0), (7, 1, 0), (7, 1, 1)], LABELS)
+    found = {r.doc_id: (r.good, r.toxic) for r in R.labelled(labels).collect()}
+    assert found == {1: (True, False), 2: (False, True), 3: (False, False), 4: (True, False), 5: (False, True),
+                     7: (False, True)}

@@ -17,9 +17,11 @@ from pulsemill.llm import (
     mixing,
     near_dedup,
     page_diff,
+    prefix_trie,
     resample,
 )
 from pulsemill.llm.common import table
+from pulsemill.llm.trie_sql import OP13_SQL
 
 
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +120,11 @@ def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_line_crf": op1_line_crf,
     "op2_arc_to_warc": op2_arc_to_warc,
@@ -129,6 +136,7 @@ QUERIES = {
     "op8_byte_cnn": op8_byte_cnn,
     "op9_temporal_list": op9_temporal_list,
     "op10_prefix_set_join": op10_prefix_set_join,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 OP10_SQL = r"""
@@ -267,4 +275,5 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
 FROM d
 """
 
-ORACLES = {"op2_arc_to_warc": OP2_SQL, "op9_temporal_list": OP9_SQL, "op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL}
+ORACLES = {"op2_arc_to_warc": OP2_SQL, "op9_temporal_list": OP9_SQL, "op5_weighted_mix": OP5_SQL, "op10_prefix_set_join": OP10_SQL,
+           "op13_prefix_trie": OP13_SQL}

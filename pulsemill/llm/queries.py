@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pulsemill.llm import (
     arc_convert,
     byte_cnn,
+    cross_tokens,
     decontaminate,
     histogram_sort,
     line_crf,
@@ -120,6 +121,11 @@ def op10_prefix_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two public tokenizers over every document."""
+    return cross_tokens.aligned(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations."""
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
@@ -136,6 +142,7 @@ QUERIES = {
     "op8_byte_cnn": op8_byte_cnn,
     "op9_temporal_list": op9_temporal_list,
     "op10_prefix_set_join": op10_prefix_set_join,
+    "op11_cross_tokens": op11_cross_tokens,
     "op13_prefix_trie": op13_prefix_trie,
 }
 

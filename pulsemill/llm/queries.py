@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsemill.llm import (
     arc_convert,
+    bootstrap_pii,
     byte_cnn,
     cross_tokens,
     decontaminate,
@@ -126,6 +127,11 @@ def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_tokens.aligned(table(spark, sf_dir, "documents"))
 
 
+def op12_bootstrap_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return bootstrap_pii.personal_data(table(spark, sf_dir, "documents"))[0]
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations."""
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
@@ -143,6 +149,7 @@ QUERIES = {
     "op9_temporal_list": op9_temporal_list,
     "op10_prefix_set_join": op10_prefix_set_join,
     "op11_cross_tokens": op11_cross_tokens,
+    "op12_bootstrap_pii": op12_bootstrap_pii,
     "op13_prefix_trie": op13_prefix_trie,
 }
 

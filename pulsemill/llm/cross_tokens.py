@@ -12,7 +12,6 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,9 @@ FOLDER = "/opt/tokenizers"
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
 RADIX = 64
 FAN_IN = 256
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+CHUNK_CHARS = 1 << 15  # encoded at once
+BIG_GROUP = 1 << 16  # links of a group that are counted per id first
 REMEMBERED = 300_000  # segments a task keeps
 REMEMBERED_CHARS = 8 << 20
 
@@ -66,10 +67,15 @@ class Aligner:
         self.first.encode_special_tokens = True
         self.second = SentencePieceProcessor(model_file=f"{folder}/{SECOND}")
         of = byte_alphabet()
-        self.first_bytes = {
-            i: bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-            for token, i in self.first.get_vocab().items()}
+        vocabulary = sorted((i, token) for token, i in self.first.get_vocab().items())
+        self.first_bytes = [
+            bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+            for _, token in vocabulary]
         self.second_bytes = [self._piece(i) for i in range(self.second.vocab_size())]
+        self.sizes = [np.array([len(x) for x in table]) for table in (self.first_bytes, self.second_bytes)]
+        # how ids are written within and at the end of their side of a group
+        self.written = [f"{i}{mark}" for table, marks in ((self.first_bytes, ",|"), (self.second_bytes, ",;"))
+                        for mark in marks for i in range(len(table))]
         self.forget()
 
     def _piece(self, i: int) -> bytes:
@@ -88,49 +94,99 @@ class Aligner:
         self.pair, self.times = array("q"), array("q")
 
     def learn(self, segments: list[str]) -> None:
-        """Align segments, each given without the space it begins with."""
+        """Align segments, each given without the space it begins with.
+
+        Where it starts and ends does not change how a segment is encoded, so many are
+        encoded at once, except those with white space at an end.
+        """
         if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
             self.forget()
         fresh = [s for s in dict.fromkeys(segments) if s not in self.known]
         self.chars += sum(map(len, fresh))
-        whole = [" " + s for s in fresh]
-        encoded = self.first.encode_batch(whole, add_special_tokens=False)
-        pieces = self.second.encode(fresh, num_threads=1) if fresh else []
-        for segment, text, one, two in zip(fresh, whole, encoded, pieces, strict=True):
-            self.known[segment] = len(self.groups)
-            self._align(text.encode(), one.ids, two)
-
-    def _align(self, text: bytes, one: list[int], two: list[int]) -> None:
-        a, b = [self.first_bytes[i] for i in one], [self.second_bytes[i] for i in two]
-        fits = b"".join(a) == text == b"".join(b)
-        links: Counter[int] = Counter()
-        groups = []
-        i = j = n_links = 0
-        while fits and i < len(one):
-            from_i, from_j = i, j
-            left, right = len(a[i]), len(b[j])
-            i, j = i + 1, j + 1
-            while left != right:
-                if left < right:
-                    left += len(a[i])
-                    i += 1
+        good, bad = [], []
+        for chunk in _chunks(fresh):
+            for part in [chunk] if (ids := self._encode(chunk)) else [[s] for s in chunk]:
+                found = ids or self._encode(part)
+                if found:
+                    good.append((part, *found))
                 else:
-                    right += len(b[j])
-                    j += 1
-            x, y = one[from_i:i], two[from_j:j]
-            groups.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            n_links += len(x) * len(y)
-            theirs = Counter(y).items()
-            for p, n in Counter(x).items():
-                for q, m in theirs:
-                    links[p << 32 | q] += n * m
-        self.groups.append(";".join(groups))
-        self.failed.append(not fits)
-        for column, value in ((self.n_a, len(one)), (self.n_b, len(two)), (self.n_groups, len(groups)), (self.n_links, n_links)):
-            column.append(value)
-        self.pair.extend(links.keys())
-        self.times.extend(links.values())
-        self.pair_ends.append(len(self.pair))
+                    bad += part
+        if good:
+            self._align([s for part, _, _ in good for s in part], *(np.concatenate([g[k] for g in good]) for k in (1, 2)))
+        for segment in bad:
+            self._add([segment], [""], True, *[np.zeros(1, np.int64)] * 4, *[np.zeros(0, np.int64)] * 3)
+
+    def _encode(self, chunk: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of segments by both tokenizers; None unless both give the bytes back."""
+        text = " ".join(chunk)
+        want = (" " + text).encode()
+        ids = (self.first.encode(" " + text, add_special_tokens=False).ids, self.second.encode(text, num_threads=1))
+        if any(b"".join([table[i] for i in own]) != want
+               for table, own in zip((self.first_bytes, self.second_bytes), ids, strict=True)):
+            return None
+        return tuple(np.array(own, np.int64) for own in ids)
+
+    def _align(self, segments: list[str], one: np.ndarray, two: np.ndarray) -> None:
+        ends = [np.cumsum(size[own]) for size, own in zip(self.sizes, (one, two), strict=True)]
+        common = np.intersect1d(*ends, assume_unique=True)
+        segment_ends = np.cumsum([len(s.encode()) + 1 for s in segments])
+        if not np.isin(segment_ends, common).all():
+            raise ValueError("a vocabulary joins words across a space")
+        of = np.searchsorted(segment_ends, common)  # segment of each group
+        group = [np.searchsorted(common, e) for e in ends]
+        n = [np.bincount(g, minlength=len(common)) for g in group]
+        first_two = np.cumsum(n[1]) - n[1]
+        sums = [np.bincount(of[g], minlength=len(segments)) for g in group] + [
+            np.bincount(of, minlength=len(segments)), np.add.reduceat(n[0] * n[1], np.searchsorted(of, np.arange(len(segments))))]
+
+        last = [np.concatenate((g[1:] != g[:-1], [True])) for g in group]
+        codes = np.empty(len(one) + len(two), np.int64)
+        codes[np.arange(len(one)) + first_two[group[0]]] = one + last[0] * len(self.first_bytes)
+        codes[np.arange(len(two)) + np.cumsum(n[0])[group[1]]] = (
+            2 * len(self.first_bytes) + two + last[1] * len(self.second_bytes))
+        marks = [self.written[k] for k in codes.tolist()]
+        to = np.cumsum(sums[0] + sums[1]).tolist()
+        texts = ["".join(marks[x:y])[:-1] for x, y in zip([0, *to[:-1]], to, strict=True)]
+
+        big = n[0] * n[1] > BIG_GROUP
+        size = np.where(big, 0, n[1])[group[0]]  # links of each token of the first
+        left = np.repeat(np.arange(len(one)), size)
+        right = first_two[group[0][left]] + np.arange(len(left)) - np.repeat(np.cumsum(size) - size, size)
+        segment, pair, times = [of[group[0][left]]], [one[left] << 32 | two[right]], [np.ones(len(left), np.int64)]
+        for g in np.flatnonzero(big):
+            (p, x), (q, y) = (np.unique(own[k == g], return_counts=True) for own, k in zip((one, two), group, strict=True))
+            pair.append((p[:, None] << 32 | q).ravel())
+            times.append((x[:, None] * y).ravel())
+            segment.append(np.full(len(pair[-1]), of[g]))
+        segment = np.concatenate(segment)
+        order = np.argsort(segment, kind="stable")
+        self._add(segments, texts, False, *sums, np.bincount(segment, minlength=len(segments)),
+                  np.concatenate(pair)[order], np.concatenate(times)[order])
+
+    def _add(self, segments: list[str], texts: list[str], failed: bool, n_a, n_b, n_groups, n_links, n_pairs, pair, times) -> None:
+        for segment in segments:
+            self.known[segment] = len(self.known)
+        self.groups += texts
+        self.failed.extend([failed] * len(segments))
+        for column, more in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, n_groups), (self.n_links, n_links),
+                             (self.pair_ends, self.pair_ends[-1] + np.cumsum(n_pairs if len(n_pairs) else [0])),
+                             (self.pair, pair), (self.times, times)):
+            column.frombytes(np.ascontiguousarray(more, np.int64).tobytes())
+
+
+def _chunks(segments: list[str]) -> Iterator[list[str]]:
+    chunk, size = [], 0
+    for segment in segments:
+        if not segment or segment[0].isspace() or segment[-1] == " ":
+            yield [segment]
+            continue
+        chunk.append(segment)
+        size += len(segment)
+        if size > CHUNK_CHARS:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
 
 
 def segments(text: str) -> list[str]:

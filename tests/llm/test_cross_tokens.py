@@ -76,6 +76,8 @@ def sizes(request, monkeypatch):
         monkeypatch.setattr(X, "SLICE_BYTES", 300)
         monkeypatch.setattr(X, "FAN_IN", 3)
         monkeypatch.setattr(X, "RADIX", 7)
+        monkeypatch.setattr(X, "CHUNK_CHARS", 40)
+        monkeypatch.setattr(X, "BIG_GROUP", 3)
 
 
 def test_equals_plain_counting(spark, sizes):

@@ -28,9 +28,10 @@ BINS_PER_SLICE = 4
 
 
 def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
-    """Both feeds as rows (content_id, seq, kind, arrival, version, event)."""
-    attributes = [c for c in ATTRIBUTES]
-    version = F.struct(F.col("seq").alias("seq"), *[F.col(c) for c in attributes])
+    """Both feeds as rows (content_id, seq, kind, arrival, version, event); a delete has no version."""
+    version = F.struct(F.col("seq").alias("seq"), *[F.col(c) for c in ATTRIBUTES])
+    if "deleted" in versions.columns:
+        version = F.when(~F.coalesce("deleted", F.lit(False)), version)
     content_rows = versions.select(
         F.col("id").alias("content_id"), "seq", F.lit(_CONTENT).alias("kind"),
         F.unix_micros(F.col("arrival_ts").cast("timestamp")).alias("arrival"),
@@ -75,9 +76,58 @@ def _sliced(timeline: DataFrame, hot_rows: int, slice_rows: int) -> DataFrame:
         "slice", F.coalesce(number, F.lit(0)).cast("bigint")).drop("low", "width", "slices")
 
 
-def _slice_summary(sliced: DataFrame, wait_us: int | None) -> DataFrame:
-    """One carried row per slice of a hot item."""
+def _turns(rows: DataFrame, ttl_us: int | None) -> DataFrame:
+    """Rows with ``turn``: one where the item, known so far, is not known any more.
+
+    That is so at a delete, and at the first row after the content's lifetime. The state
+    before a row is the newest content row or delete and the arrival of the row before;
+    the first row of a slice has both from ``carried``.
+    """
+    ordered = Window.partitionBy("content_id", "slice").orderBy("seq", "kind")
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    gone = (F.col("kind") == _CONTENT) & F.col("version").isNull()
+    change = F.when(F.col("kind") == _CONTENT, F.struct(~gone, "arrival"))
+    rows = rows.withColumn("newest", F.coalesce(
+        F.last(change, ignorenulls=True).over(earlier), F.col("carried.newest")))
+    known, since = F.coalesce(F.col("newest.col1"), F.lit(False)), F.col("newest.arrival")
+    turn = gone
+    if ttl_us is not None:
+        rows = rows.withColumn("previous", F.coalesce(F.lag("arrival").over(ordered), F.col("carried.arrival")))
+        known &= F.col("previous") - since < ttl_us
+        turn |= F.col("arrival") - since >= ttl_us
+    return rows.withColumn("turn", (known & turn).cast("int")).drop("newest", "previous")
+
+
+def _with_epochs(sliced: DataFrame, ttl_us: int | None) -> DataFrame:
+    """The timeline without deletes, and with ``epoch``: how often the item has become unknown so far.
+
+    Events of an epoch see and wait for its versions only, so an epoch of an item is
+    enriched like an item. Slices of a hot item learn from narrow tables, with one row per
+    slice, the state they begin with and the epochs before.
+    """
     group = ["content_id", "slice"]
+    along = Window.partitionBy("content_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    gone = (F.col("kind") == _CONTENT) & F.col("version").isNull()
+    change = F.when(F.col("kind") == _CONTENT, F.struct(~gone, "arrival"))
+    hot = sliced.where("hot").select(*group, "seq", "kind", "arrival", "version")
+    ends = hot.groupBy(*group).agg(
+        F.max_by(change, F.when(F.col("kind") == _CONTENT, F.col("seq"))).alias("newest"),
+        F.max_by("arrival", F.struct("seq", "kind")).alias("arrival"))
+    carried = ends.select(*group, F.struct(
+        F.last("newest", ignorenulls=True).over(along).alias("newest"),
+        F.last("arrival").over(along).alias("arrival")).alias("carried"))
+    turns = _turns(hot.join(F.broadcast(carried), group), ttl_us).groupBy(*group).agg(F.sum("turn").alias("n"))
+    carried = carried.join(
+        turns.select(*group, F.coalesce(F.sum("n").over(along), F.lit(0)).alias("epochs_before")), group)
+    rows = _turns(sliced.join(F.broadcast(carried), group, "left"), ttl_us)
+    so_far = Window.partitionBy(*group).orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    epoch = F.coalesce("epochs_before", F.lit(0)) + F.sum("turn").over(so_far)
+    return rows.withColumn("epoch", epoch.cast("long")).where(~gone).drop("carried", "epochs_before", "turn")
+
+
+def _slice_summary(sliced: DataFrame, wait_us: int | None, group: list[str]) -> DataFrame:
+    """One carried row per slice of a hot item (and epoch)."""
+    item = group[:-1]
     rows = sliced.select(*group, "seq", "kind", "arrival", "version")
     content_seq = F.when(F.col("kind") == _CONTENT, F.col("seq"))
     if wait_us is not None:
@@ -96,9 +146,9 @@ def _slice_summary(sliced: DataFrame, wait_us: int | None) -> DataFrame:
         F.max("arrival").alias("last_arrival"),
         F.coalesce(F.max("broken"), F.lit(False)).alias("broken"),
     )
-    along = Window.partitionBy("content_id").orderBy("slice")
-    back = Window.partitionBy("content_id").orderBy(F.desc("slice"))
-    whole = Window.partitionBy("content_id")
+    along = Window.partitionBy(*item).orderBy("slice")
+    back = Window.partitionBy(*item).orderBy(F.desc("slice"))
+    whole = Window.partitionBy(*item)
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     later = back.rowsBetween(Window.unboundedPreceding, -1)
     slices = (
@@ -137,6 +187,7 @@ def enrich_asof(
     pending_ttl_secs: float | None = None,
     hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
+    content_ttl_secs: float | None = None,
 ) -> DataFrame:
     """Enrich recorded events as the stream would have.
 
@@ -146,10 +197,13 @@ def enrich_asof(
     feed, ascending with ``arrival_ts``.  A version with an event's number is
     taken to have come first.  Without ``pending_ttl_secs`` events wait for ever.
     Adds ``drained``: the event had to wait for its content.
+
+    A version row that is ``deleted``, if that column is there, ends what was known of its
+    item. So does ``content_ttl_secs`` without a new version. Events after that wait anew.
     """
     for df in (events, versions):
-        if "arrival_ts" not in df.columns and pending_ttl_secs is not None:
-            raise ValueError("a bounded wait needs arrival_ts in both feeds")
+        if "arrival_ts" not in df.columns and (pending_ttl_secs is not None or content_ttl_secs is not None):
+            raise ValueError("a bounded wait or lifetime needs arrival_ts in both feeds")
     events = _with_arrival(events)
     versions = _with_arrival(versions)
     wait_us = None if pending_ttl_secs is None else int(pending_ttl_secs * 1_000_000)
@@ -160,10 +214,14 @@ def enrich_asof(
         events.where(F.col("content_id").isNotNull()), versions.where(F.col("id").isNotNull())
     )
     sliced = _sliced(timeline, hot_rows, slice_rows)
-    summary = _slice_summary(sliced.where(F.col("hot")), wait_us)
+    keys = ["content_id", "slice"]
+    if "deleted" in versions.columns or content_ttl_secs is not None:
+        sliced = _with_epochs(sliced, None if content_ttl_secs is None else int(content_ttl_secs * 1_000_000))
+        keys = ["content_id", "epoch", "slice"]
+    summary = _slice_summary(sliced.where(F.col("hot")), wait_us, keys)
     rows = sliced.drop("hot").unionByName(summary, allowMissingColumns=True)
 
-    group = Window.partitionBy("content_id", "slice")
+    group = Window.partitionBy(*keys)
     ordered = group.orderBy("seq", "kind")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("in_force", F.last("version", ignorenulls=True).over(so_far))

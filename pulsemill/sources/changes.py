@@ -152,3 +152,17 @@ def engagement_changes(feed: DataFrame, keep_extras: bool = False) -> DataFrame:
 
 def content_changes(feed: DataFrame, keep_extras: bool = False) -> DataFrame:
     return usable(parse_content(feed, keep_extras))
+
+
+def content_changes_and_deletes(feed: DataFrame) -> DataFrame:
+    """The catalogue feed with its deletes: ``deleted`` rows have the id of the before-image.
+
+    A delete that names no id says nothing, and is left out like other unusable messages.
+    """
+    parsed = parse_content(feed)
+    gone = F.coalesce(F.col("reason") == E.DELETE, F.lit(False))
+    before = F.coalesce(*[F.get_json_object("value", path) for path in ("$.before.id", "$.payload.before.id")])
+    return (
+        parsed.withColumn("deleted", gone).withColumn("id", F.when(gone, before).otherwise(F.col("id")))
+        .where((F.col("reason").isNull() | gone) & F.col("id").isNotNull()).drop("reason", "value")
+    )

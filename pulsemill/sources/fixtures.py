@@ -73,13 +73,13 @@ def content(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame
     )
 
 
-def content_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def content_updates(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Catalogue change feed: each part once, each order as an update of an item.
 
     ``seq`` is unique; its range is that of the events' ``seq``.
     """
-    part = _table(spark, sf_dir, "part")
-    orders = _table(spark, sf_dir, "orders")
+    part = _table(spark, sf_dir, "part", stream)
+    orders = _table(spark, sf_dir, "orders", stream)
     key = F.col("p_partkey")
     first = part.select(
         _content_id(key).alias("id"), (key * 4 + 1).alias("seq"),
@@ -94,6 +94,27 @@ def content_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(later)
 
 
+def content_updates_and_deletes(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The change feed in which every twenty-second order also deletes its item, a little later."""
+    orders = _table(spark, sf_dir, "orders", stream)
+    order = F.col("o_orderkey")
+    key = F.when(order % 3 == 0, F.lit(HOT_KEY).cast("bigint")).otherwise(F.col("o_custkey"))
+    gone = orders.where(order % 22 == 0).select(
+        _content_id(key).alias("id"), (order * 2 + 3).alias("seq"), F.lit(None).cast("string").alias("content_type"),
+        F.lit(None).cast("bigint").alias("length_seconds"), F.lit(True).alias("deleted"))
+    return content_updates(spark, sf_dir, stream).withColumn("deleted", F.lit(False)).unionByName(gone)
+
+
+def content_change_feed(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """Those updates and deletes as messages; a delete has only a before-image."""
+    rows = content_updates_and_deletes(spark, sf_dir, stream)
+    image = F.to_json(F.struct("id", "content_type", "length_seconds"))
+    before = F.concat(F.lit('{"before":{"id":"'), "id", F.lit('"},"after":null,"op":"d"}'))
+    after = F.concat(F.lit('{"before":null,"after":'), image, F.lit(',"op":"u"}'))
+    return rows.select(
+        F.lit("pgcdc.public.content").alias("topic"), F.when(F.col("deleted"), before).otherwise(after).alias("value"), "seq")
+
+
 def engagement(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """One engagement per event; some point at items the catalogue lacks."""
     number, user = F.col("event_id"), F.col("user_id")

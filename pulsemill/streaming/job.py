@@ -17,9 +17,10 @@ from pulsemill.session import STATE_SETTINGS, temporary_conf
 from pulsemill.sinks import delivery, kv, warehouse
 from pulsemill.sinks.folders import glob, own_folder
 from pulsemill.sources.changes import (
-    CONTENT_TABLE, ENGAGEMENT_TABLE, content_changes, engagement_changes, for_table, include,
-    parse_content, parse_engagement, quarantined,
+    CONTENT_TABLE, ENGAGEMENT_TABLE, content_changes, content_changes_and_deletes, engagement_changes,
+    for_table, include, parse_content, parse_engagement, quarantined,
 )
+from pulsemill.streaming import buckets as bucketed
 from pulsemill.streaming.enrich import (
     DEFAULT_PENDING_TTL_SECS, KIND_EVENT, KIND_FIRST_SEEN, enrich_stream, enriched_events,
 )
@@ -54,6 +55,62 @@ def build_stream(
     return output
 
 
+def build_bucket_stream(
+    engagement_feed: DataFrame,
+    content_feed: DataFrame,
+    pending_ttl_secs: float = DEFAULT_PENDING_TTL_SECS,
+    hot_ids: Collection[str] = (),
+    hot_slices: int = 16,
+    buckets: int = bucketed.DEFAULT_BUCKETS,
+    deletes: bool = False,
+    content_ttl_secs: float | None = None,
+    in_order: bool = False,
+    initial: DataFrame | None = None,
+    keep_extras: bool = True,
+) -> DataFrame:
+    """The same job on the bucketed state machine; see ``streaming.buckets`` for what it adds.
+
+    With ``deletes`` a delete in the catalogue feed makes its content unknown; without, it is
+    ignored as in ``build_stream``.
+    """
+    catalogue = for_table(include(content_feed), CONTENT_TABLE)
+    output = bucketed.enrich_stream(
+        engagement_changes(for_table(include(engagement_feed), ENGAGEMENT_TABLE), keep_extras),
+        content_changes_and_deletes(catalogue) if deletes else content_changes(catalogue),
+        pending_ttl_secs, hot_ids, hot_slices, buckets, content_ttl_secs, in_order, initial,
+    )
+    output = with_counters(output)
+    output.slice_layout = json.dumps({"buckets": buckets, **json.loads(slice_layout(hot_ids, hot_slices))})
+    return output
+
+
+SKETCHED_IDS = 10_000  # ids that a sketch of a batch keeps
+
+
+def note_frequent_ids(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Keep a sketch of the content ids of a batch's events: one bounded row per batch.
+
+    Call it in the sink. A repeated batch replaces its sketch.
+    """
+    sketch = batch.where(F.col("kind") == KIND_EVENT).agg(
+        F.expr(f"approx_top_k_accumulate(content_id, {SKETCHED_IDS})").alias("sketch"),
+        F.count("content_id").alias("n"))
+    sketch.coalesce(1).write.mode("overwrite").parquet(own_folder(batch.sparkSession, path, batch_id))
+
+
+def frequent_ids(spark: SparkSession, path: str, share: float = 0.05) -> list[str]:
+    """Content ids that hold at least ``share`` of all events noted so far: name them hot at the next start.
+
+    At most 1 / share ids. Sketches may count an id too high by at most a 7,500th of the events.
+    """
+    noted = spark.read.parquet(path)
+    total = noted.agg(F.sum("n")).first()[0] or 0
+    k = max(1, min(SKETCHED_IDS, int(2 / share)))
+    top = noted.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {SKETCHED_IDS}), {k})").alias("top"))
+    rows = top.select(F.explode("top").alias("t")).where(F.col("t.count") >= share * total).select("t.item").collect()
+    return sorted(r.item for r in rows if r.item is not None)
+
+
 def slice_layout(hot_ids: Collection[str], hot_slices: int) -> str:
     return json.dumps({"hot_ids": sorted(hot_ids), "hot_slices": hot_slices if hot_ids else 0})
 
@@ -62,8 +119,8 @@ def _same_layout(spark: SparkSession, output: DataFrame, checkpoint: str) -> Non
     """Refuse a restart whose hot ids or slices differ from those the state was built with.
 
     The slices of an id that becomes hot have not seen its content: events would
-    leave as missing. A change needs a new checkpoint, into which the content feed
-    is read again from its start.
+    leave as missing. A change needs a new checkpoint: one into which the content feed
+    is read again from its start, or, in buckets, one that begins with what this knows.
     """
     layout = getattr(output, "slice_layout", None)
     if layout is None:
@@ -76,7 +133,8 @@ def _same_layout(spark: SparkSession, output: DataFrame, checkpoint: str) -> Non
     before = spark.read.text(path).first().value
     if before != layout:
         raise ValueError(
-            f"the state in {checkpoint} was built with {before}, not {layout}: start a new checkpoint")
+            f"the state in {checkpoint} was built with {before}, not {layout}: start a new checkpoint"
+            + (", with buckets.carried_over of this one as initial state" if "buckets" in layout else ""))
 
 
 def with_counters(output: DataFrame) -> DataFrame:
@@ -257,18 +315,25 @@ def replay(
     path: str,
     state_partitions: int | None = None,
     emit_every_secs: float = 0.2,
+    idle_secs: float = 300,
 ) -> DataFrame:
     """Run the stream over a bounded feed until every event has left it.
 
     With a processing-time wait a stream has no end of its own: the last missing
-    events leave when their wait is over.
+    events leave when their wait is over. If none leaves for ``idle_secs``, which must be
+    longer than a wait and a batch, some are lost: an error.
     """
     collector = Collector(f"{path}/out")
     query = start(
         spark, output, collector, f"{path}/checkpoint", emit_every_secs, state_partitions
     )
+    seen, since = -1, time.monotonic()
     try:
         while collector.events < n_events:
+            if collector.events > seen:
+                seen, since = collector.events, time.monotonic()
+            elif time.monotonic() - since > idle_secs:
+                raise RuntimeError(f"only {seen} of {n_events} events have left the stream")
             if query.exception() is not None:
                 raise query.exception()
             if not query.isActive:

@@ -9,9 +9,9 @@ from tests.test_enrich import events
 WAIT = 10
 
 
-def simulate(arrivals, wait):
+def simulate(arrivals, wait, ttl=None):
     """The state machine, one arrival at a time: {event id: (type, drained)}."""
-    known, pending, due, out = {}, {}, {}, {}
+    known, pending, due, out, since = {}, {}, {}, {}, {}
 
     def flush(now):
         for key in [k for k, t in due.items() if t < now]:
@@ -22,8 +22,12 @@ def simulate(arrivals, wait):
     for seq, at, kind, key, value in arrivals:
         if wait is not None:
             flush(at)
-        if kind == "content":
-            known[key] = value
+        if ttl is not None and key in known and at - since[key] >= ttl:
+            del known[key]
+        if kind == "deleted":
+            known.pop(key, None)
+        elif kind == "content":
+            known[key], since[key] = value, at
             for event in pending.pop(key, []):
                 out[event] = (value, True)
             due.pop(key, None)
@@ -65,6 +69,39 @@ def frames(spark, arrivals):
     return ev, ver
 
 
+def with_deletes(seed, n=600):
+    """Some updates become deletes, some of them of items that are not known."""
+    rng = random.Random(seed + 100)
+    return [(s, at, "deleted" if kind == "content" and rng.random() < 0.4 else kind, key, v)
+            for s, at, kind, key, v in recorded(seed, n)]
+
+
+def frames_with_deletes(spark, arrivals):
+    ev, ver = frames(spark, [(s, at, "content" if k == "deleted" else k, key, v) for s, at, k, key, v in arrivals])
+    gone = [a[0] for a in arrivals if a[2] == "deleted"]
+    return ev, ver.withColumn("deleted", F.col("seq").isin(gone))
+
+
+@pytest.mark.parametrize("seed, wait, ttl, sizes", [
+    (0, None, None, {}), (1, WAIT, 25, {}), (2, WAIT, None, {"hot_rows": 50, "slice_rows": 40}),
+    (3, None, 25, {"hot_rows": 2, "slice_rows": 7}), (4, WAIT, 25, {"hot_rows": 2, "slice_rows": 7}),
+])
+def test_deletes_and_lifetimes_equal_the_state_machine(spark, seed, wait, ttl, sizes):
+    arrivals = with_deletes(seed)
+    ev, ver = frames_with_deletes(spark, arrivals)
+    rows = enrich_asof(ev, ver, wait, content_ttl_secs=ttl, **sizes).collect()
+    got = {r.id: (r.content_type, r.drained) for r in rows}
+    assert len(rows) == len(got)
+    assert got == simulate(arrivals, wait, ttl)
+    assert got != simulate([a for a in arrivals if a[2] != "deleted"], wait)
+
+
+def test_a_lifetime_needs_arrival_times(spark):
+    ev, ver = frames(spark, [(1, 1, "main", "a", 1), (2, 2, "content", "a", "v")])
+    with pytest.raises(ValueError):
+        enrich_asof(ev.drop("arrival_ts"), ver, content_ttl_secs=5)
+
+
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("wait", [None, WAIT])
 @pytest.mark.parametrize("sizes", [{}, {"hot_rows": 50, "slice_rows": 40}, {"hot_rows": 2, "slice_rows": 7}])

@@ -18,11 +18,11 @@ from pulsemill.operators import asof, counters, enrich, quality, windows  # noqa
 from pulsemill.plans import insights  # noqa: E402
 from pulsemill.plans.feed import enriched_from_feed  # noqa: E402
 from pulsemill.schemas import EVENT_TYPES  # noqa: E402
-from pulsemill.session import scratch_path  # noqa: E402
+from pulsemill.session import STATE_SETTINGS, scratch_path, temporary_conf  # noqa: E402
 from pulsemill.sinks import delivery, kv, warehouse  # noqa: E402
 from pulsemill.sources import changes, fixtures  # noqa: E402
 from pulsemill.sources.tables import content_ids, read_warehouse  # noqa: E402
-from pulsemill.streaming import job  # noqa: E402
+from pulsemill.streaming import buckets, job  # noqa: E402
 from pulsemill.streaming.enrich import enriched_events  # noqa: E402
 
 try:  # the text operators may be left out of an installation
@@ -352,6 +352,76 @@ def _stream(hot_ids: tuple[str, ...]) -> Query:
     return query
 
 
+def _asof_changed(versions: Callable[[SparkSession, str], DataFrame], ttl_secs: float | None, sliced: bool) -> Query:
+    sizes = {"hot_rows": 200, "slice_rows": 400} if sliced else {}
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        events = fixtures.with_arrival_time(fixtures.engagement_arrivals(spark, sf_dir))
+        rows = fixtures.with_arrival_time(versions(spark, sf_dir))
+        joined = asof.enrich_asof(events, rows, content_ttl_secs=ttl_secs, **sizes)
+        return joined.drop("seq", "arrival_ts")
+
+    return query
+
+
+BUCKETS = 256
+
+
+def _bucket_replay(spark: SparkSession, sf_dir: str, content: DataFrame, **options) -> tuple[DataFrame, str]:
+    """The bucketed stream over all events, and its checkpoint."""
+    output = job.build_bucket_stream(
+        fixtures.engagement_feed(spark, sf_dir, mixed=False, stream=True), content, STREAM_WAIT_SECS,
+        hot_slices=4, buckets=BUCKETS, **options)
+    path = scratch_path(spark, "stream")
+    result = job.replay(
+        spark, output, fixtures.engagement(spark, sf_dir).count(), path,
+        state_partitions=spark.sparkContext.defaultParallelism)
+    return enriched_events(result), f"{path}/checkpoint"
+
+
+_ENRICHED_LIST = ["content_type", "length_seconds", "engagement_seconds", "engagement_pct", "content_missing"]
+
+
+def op_stream_enrich_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _bucket_replay(spark, sf_dir, fixtures.content_feed(spark, sf_dir, stream=True), hot_ids=("c-3",))
+    return rows.select(*_event_list(), *_ENRICHED_LIST)
+
+
+def op_stream_enrich_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates, deletes and events by their common arrival numbers: the as-of join's answer."""
+    rows, _ = _bucket_replay(
+        spark, sf_dir, fixtures.content_change_feed(spark, sf_dir, stream=True), deletes=True, in_order=True)
+    return rows.select(*_event_list(), *_ENRICHED_LIST, "drained")
+
+
+def op_stream_initial_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checkpoint that begins with the catalogue snapshot and a hot id; the feed brings no content."""
+    snapshot = buckets.tagged_rows(None, fixtures.content(spark, sf_dir), ("c-3",), 4, BUCKETS)
+    silent = fixtures.content_feed(spark, sf_dir, stream=True).where(F.lit(False))
+    rows, _ = _bucket_replay(spark, sf_dir, silent, hot_ids=("c-3",), initial=snapshot)
+    return rows.select(*_event_list(), *_ENRICHED_LIST)
+
+
+def op_state_known_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checkpoint of a finished run knows of the catalogue."""
+    _, checkpoint = _bucket_replay(spark, sf_dir, fixtures.content_feed(spark, sf_dir, stream=True), hot_ids=("c-3",))
+    with temporary_conf(spark, STATE_SETTINGS):
+        return buckets.known_content(spark, checkpoint).drop("seq")
+
+
+def op_stream_hot_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that a job without hot ids finds frequent, batch by batch."""
+    path = scratch_path(spark, "frequent")
+    output = job.build_bucket_stream(
+        fixtures.engagement_feed(spark, sf_dir, mixed=False, stream=True),
+        fixtures.content_feed(spark, sf_dir, stream=True), STREAM_WAIT_SECS, buckets=BUCKETS)
+    job.replay(
+        spark, output, fixtures.engagement(spark, sf_dir).count(), scratch_path(spark, "stream"),
+        state_partitions=spark.sparkContext.defaultParallelism,
+        also=lambda batch, batch_id: job.note_frequent_ids(batch, path, batch_id))
+    return spark.createDataFrame([(i,) for i in job.frequent_ids(spark, path, O.HOT_SHARE)], "content_id string")
+
+
 def op_stream_cache_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running number of known items, its last value."""
     items = changes.content_changes(fixtures.content_feed(spark, sf_dir, stream=True))
@@ -393,6 +463,15 @@ def queries() -> dict[str, Query]:
         "op_stream_enrich": _stream(()),
         "op_stream_enrich_sliced": _stream(("c-3",)),
         "op_stream_cache_size": op_stream_cache_size,
+        "op_enrich_asof_deletes": _asof_changed(fixtures.content_updates_and_deletes, None, False),
+        "op_enrich_asof_deletes_sliced": _asof_changed(fixtures.content_updates_and_deletes, None, True),
+        "op_enrich_asof_ttl": _asof_changed(fixtures.content_updates, O.CONTENT_TTL_SECS, False),
+        "op_enrich_asof_ttl_sliced": _asof_changed(fixtures.content_updates, O.CONTENT_TTL_SECS, True),
+        "op_stream_enrich_buckets": op_stream_enrich_buckets,
+        "op_stream_enrich_deletes": op_stream_enrich_deletes,
+        "op_stream_initial_state": op_stream_initial_state,
+        "op_state_known_content": op_state_known_content,
+        "op_stream_hot_ids": op_stream_hot_ids,
         "op_warehouse_two_runs": _two_runs,
         "q_engagement_by_content_type_warehouse": _on_written(
             lambda t: insights.engagement_by_content_type(t, O.DAY),

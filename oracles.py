@@ -11,6 +11,7 @@ DAY = "2024-01-30"
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 WAIT_SECS = 4_000
 BATCH_SIZE = 500
+HOT_SHARE = 0.1
 LOOKUP_KEY = "eng:{c-3}:0"
 
 _KIND = "CASE {0} % 3 WHEN 0 THEN 'podcast' WHEN 1 THEN 'newsletter' ELSE 'video' END"
@@ -118,6 +119,31 @@ def _asof(breaks: str) -> str:
     return f"{_ASOF_JOIN},\n{breaks},\n{joined},\n{measures('joined', 'enriched')}"
 
 
+def _asof_changes(changes: str, known: str) -> str:
+    """The newest change before the event if ``known``, else the next version."""
+    joined = f"""changes AS ({changes}),
+back AS (
+  SELECT a.*, u.id IS NOT NULL AND {known} AS had, u.content_type AS b_type, u.length_seconds AS b_length
+  FROM arrivals a ASOF LEFT JOIN changes u ON a.content_id = u.id AND a.seq >= u.seq),
+forth AS (
+  SELECT b.*, u.id IS NOT NULL AS comes, u.content_type AS f_type, u.length_seconds AS f_length
+  FROM back b ASOF LEFT JOIN updates u ON b.content_id = u.id AND b.seq <= u.seq),
+joined AS (
+  SELECT * EXCLUDE (had, b_type, b_length, comes, f_type, f_length, seq), NOT had AND comes AS drained,
+         CASE WHEN had THEN b_type WHEN comes THEN f_type END AS content_type,
+         CASE WHEN had THEN b_length WHEN comes THEN f_length END AS length_seconds, had OR comes AS found
+  FROM forth)"""
+    arrivals = "arrivals AS (SELECT *, id * 3 AS seq FROM engagement)"
+    return f"{ENGAGEMENT},\n{UPDATES},\n{arrivals},\n{joined},\n{measures('joined', 'enriched')}"
+
+
+CONTENT_TTL_SECS = 3_000
+ENRICHED_ASOF_DELETES = _asof_changes("""
+  SELECT *, false AS deleted FROM updates
+  UNION ALL
+  SELECT 'c-' || CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE o_custkey END, o_orderkey * 2 + 3, NULL, NULL, true
+  FROM orders WHERE o_orderkey % 22 = 0""", "NOT u.deleted")
+ENRICHED_ASOF_TTL = _asof_changes("SELECT * FROM updates", f"a.seq - u.seq < {CONTENT_TTL_SECS}")
 ENRICHED_ASOF = _asof(_NO_BREAKS)
 ENRICHED_ASOF_WAIT = _asof(_BREAKS)
 
@@ -297,6 +323,19 @@ FROM part"""
         "content_missing FROM enriched",
     )
     sql["op_stream_enrich_sliced"] = sql["op_stream_enrich"]
+    sql["op_stream_enrich_buckets"] = sql["op_stream_initial_state"] = sql["op_stream_enrich"]
+    sql["op_enrich_asof_deletes"] = _on(ENRICHED_ASOF_DELETES, f"SELECT {columns}, drained FROM enriched")
+    sql["op_enrich_asof_deletes_sliced"] = sql["op_enrich_asof_deletes"]
+    sql["op_enrich_asof_ttl"] = _on(ENRICHED_ASOF_TTL, f"SELECT {columns}, drained FROM enriched")
+    sql["op_enrich_asof_ttl_sliced"] = sql["op_enrich_asof_ttl"]
+    sql["op_stream_enrich_deletes"] = _on(
+        ENRICHED_ASOF_DELETES,
+        f"SELECT {_EVENT_LIST}, content_type, length_seconds, engagement_seconds, engagement_pct, "
+        "content_missing, drained FROM enriched")
+    sql["op_stream_hot_ids"] = _on(ENGAGEMENT, f"""
+SELECT content_id FROM engagement GROUP BY content_id
+HAVING count(*) >= {HOT_SHARE} * (SELECT count(*) FROM engagement)""")
+    sql["op_state_known_content"] = _on(CONTENT, "SELECT id, content_type, length_seconds FROM content")
     sql["op_latest_content"] = _on(UPDATES, """
 SELECT id, seq, content_type, length_seconds FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM updates) WHERE rn = 1""")

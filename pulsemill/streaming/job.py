@@ -297,14 +297,17 @@ def start(
 class Collector:
     """Keep a stream's rows in a folder and count its events: for replays of bounded feeds."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, also: Callable[[DataFrame, int], None] | None = None):
         self.path = path
+        self.also = also
         self.events = 0
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         target = f"{self.path}/batch_id={batch_id}"
         batch.write.mode("overwrite").parquet(target)
         written = batch.sparkSession.read.schema(batch.schema).parquet(target)
+        if self.also:
+            self.also(written, batch_id)
         self.events += written.where(F.col("kind") == KIND_EVENT).count()
 
 
@@ -316,14 +319,15 @@ def replay(
     state_partitions: int | None = None,
     emit_every_secs: float = 0.2,
     idle_secs: float = 300,
+    also: Callable[[DataFrame, int], None] | None = None,
 ) -> DataFrame:
     """Run the stream over a bounded feed until every event has left it.
 
     With a processing-time wait a stream has no end of its own: the last missing
     events leave when their wait is over. If none leaves for ``idle_secs``, which must be
-    longer than a wait and a batch, some are lost: an error.
+    longer than a wait and a batch, some are lost: an error. ``also`` gets every batch as kept.
     """
-    collector = Collector(f"{path}/out")
+    collector = Collector(f"{path}/out", also)
     query = start(
         spark, output, collector, f"{path}/checkpoint", emit_every_secs, state_partitions
     )

@@ -33,7 +33,10 @@ _MAP_BITS = 22
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct (item_id, window): windows of 13 words, or all words of a shorter item."""
+    """Distinct (item_id, window): windows of 13 words, or all words of a shorter item.
+
+    Windows of rows without item_id stay: their words count as hit, only no item is named.
+    """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,9 +50,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(items, pa.string()), pa.array(found, pa.string())], ["item", "window"])
 
-    return benchmark.where("item_id is not null").select(
-        F.col("item_id").cast("string").alias("item"), "text"
-    ).mapInArrow(windows, "item string, window string").distinct()
+    return benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(windows, "item string, window string").distinct()
 
 
 def _shingles_of(tokens: list[bytes]) -> tuple[np.ndarray, int]:
@@ -224,15 +225,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, block_windows: int = BL
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated.
 
     A null or empty text has no words and is never contaminated; an item without words has
-    no windows. Rows without item_id are left out. Repeated documents each get their row,
+    no windows. A passage of a row without item_id counts in n_hit and contaminated, but not in
+    n_items and the digest, which name items. Repeated documents each get their row,
     repeated items count once. No items: the digest of the empty string.
     """
     windows = saved(benchmark_windows(benchmark), "item_windows")
     marked = mark(docs.select("doc_id", "text"), windows, block_windows).drop("text")
     rows = saved(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
     items = (
-        rows.select("row", F.explode("found").alias("window")).join(windows, "window")
-        .select("row", "item").distinct().groupBy("row")
+        rows.select("row", F.explode("found").alias("window"))
+        .join(windows.where("item is not null"), "window").select("row", "item").distinct().groupBy("row")
         .agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
     )
     return rows.join(items, "row", "left").select(

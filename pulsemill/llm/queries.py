@@ -163,7 +163,7 @@ WITH d AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL
+  FROM benchmark
 ), windows AS (
   SELECT DISTINCT item, least(len(w), 13) AS size,
          array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS win
@@ -177,7 +177,7 @@ n AS (
   SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + size)) AS p FROM hits) GROUP BY rid
 ), items AS (
   SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid
+  FROM (SELECT DISTINCT rid, item FROM hits WHERE item IS NOT NULL) GROUP BY rid
 )
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,

@@ -12,14 +12,14 @@ def brute(docs, items):
         w, hit, found = folded(text), set(), set()
         for item, t in items:
             v = folded(t)
-            if item is None or not v:
+            if not v:
                 continue
             size = min(13, len(v))
             windows = {tuple(v[i:i + size]) for i in range(len(v) - size + 1)}
             for i in range(len(w) - size + 1):
                 if tuple(w[i:i + size]) in windows:
                     hit |= set(range(i, i + size))
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((doc_id, len(w), len(hit), len(found), digest,
                     len(hit) > 0 and 20 * len(hit) >= len(w)))
@@ -30,8 +30,10 @@ def test_equals_brute_force(spark):
     base = [r for r in frame(spark).select("doc_id", "text").collect()]
     passage = prose(30, 50)
     docs = base + [(20, f"{prose(40, 51)} {passage.upper()}, {prose(20, 52)}"), (21, prose(900, 53) + " " + passage),
-                   (22, " ".join(passage.split()[3:17])), (23, "tiny item here"), (24, "a tiny item")]
+                   (22, " ".join(passage.split()[3:17])), (23, "tiny item here"), (24, "a tiny item"),
+                   (25, prose(25, 60)), (26, prose(300, 61) + " " + prose(25, 60))]
     items = [(1, passage), (2, passage), (2, passage), (3, None), (4, ""), (5, "Tiny ITEM!"), (None, passage),
+             (None, prose(25, 60)), (None, None),
              (6, " ".join(passage.split()[10:])), (7, prose(4000, 10)), (8, "two")]
     df = spark.createDataFrame([tuple(r) for r in docs], "doc_id long, text string")
     bench = spark.createDataFrame(items, ITEMS)

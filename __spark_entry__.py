@@ -15,7 +15,7 @@ import oracles as O  # noqa: E402
 from pulsemill.functions.measures import approx_quantiles, on_grid  # noqa: E402
 from pulsemill.functions.timefuncs import epoch_seconds  # noqa: E402
 from pulsemill.operators import asof, counters, enrich, quality, windows  # noqa: E402
-from pulsemill.plans import insights  # noqa: E402
+from pulsemill.plans import insights, rollups  # noqa: E402
 from pulsemill.plans.feed import enriched_from_feed  # noqa: E402
 from pulsemill.schemas import EVENT_TYPES  # noqa: E402
 from pulsemill.session import STATE_SETTINGS, scratch_path, temporary_conf  # noqa: E402
@@ -295,6 +295,19 @@ def _on_written(plan: Callable[[DataFrame], DataFrame], *doubles: str) -> Query:
     return query
 
 
+def _on_rollup(name: str, plan: Callable[[DataFrame], DataFrame], start: str, end: str, *doubles: str) -> Query:
+    """An insight on daily rollups, written by two batches; only the ends come from the events."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, "rollups")
+        events = enriched(spark, sf_dir)
+        for batch in range(2):
+            rollups.write_batch(events.where(F.pmod(F.xxhash64("id"), F.lit(2)) == batch), path, batch)
+        rows = rollups.over_range(rollups.read(spark, path, name), events, name, start, end)
+        return gridded(plan(rows), *doubles)
+
+    return query
+
+
 def q_kv_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live keys of a log in which a third has expired, a third is live, a third lasts."""
     path = scratch_path(spark, "kv")
@@ -482,6 +495,18 @@ def queries() -> dict[str, Query]:
             lambda t: insights.type_device_engagement(t, O.AS_OF), "avg_engagement_pct"),
         "q_device_stats_warehouse": _on_written(
             lambda t: insights.device_statistics(t, O.START, O.END), "avg_engagement", "stddev_engagement"),
+        "q_type_device_avg_rollup": _on_rollup(
+            rollups.TYPE_DEVICE, rollups.type_device_engagement, O.WEEK_START, O.AS_OF, "avg_engagement_pct"),
+        "q_device_stddev_rollup": _on_rollup(
+            rollups.TYPE_DEVICE, rollups.device_variability, O.START, O.AS_OF, "stddev_engagement_pct"),
+        "q_device_stats_rollup": _on_rollup(
+            rollups.TYPE_DEVICE, rollups.device_statistics, O.START, O.END, "avg_engagement", "stddev_engagement"),
+        "q_length_correlation_rollup": _on_rollup(
+            rollups.TYPE_DEVICE, rollups.length_correlation, O.WEEK_START, O.AS_OF, "pct_length_correlation"),
+        "q_inconsistent_content_rollup": _on_rollup(
+            rollups.CONTENT, rollups.inconsistent_content, O.START, O.END, "engagement_variance"),
+        "q_user_patterns_rollup": _on_rollup(
+            rollups.USER_PLAYS, rollups.user_engagement_patterns, O.WEEK_START, O.LATER, "avg_engagement_pct"),
         "q_kv_expired": q_kv_expired,
         "op_quality_report": op_quality_report,
         "op_stream_quarantine": op_stream_quarantine,

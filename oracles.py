@@ -8,6 +8,8 @@ from __future__ import annotations
 
 AS_OF = "2024-01-31 00:00:00"
 DAY = "2024-01-30"
+WEEK_START = "2024-01-24 00:00:00"
+LATER = "2024-03-01 00:00:00"  # after all events
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
 WAIT_SECS = 4_000
 BATCH_SIZE = 500
@@ -380,6 +382,9 @@ SELECT id, content_id, event_type, epoch_us(event_ts) AS event_us FROM enriched
     for name in ("engagement_by_content_type", "content_performance", "type_device_avg", "device_stats"):
         sql[f"q_{name}_warehouse"] = sql[f"q_{name}"].replace(
             "FROM enriched", "FROM (SELECT * FROM enriched WHERE NOT content_missing)")
+    for name in ("type_device_avg", "device_stddev", "device_stats", "length_correlation", "inconsistent_content",
+                 "user_patterns"):
+        sql[f"q_{name}_rollup"] = sql[f"q_{name}"]
     sql["q_kv_expired"] = _on(f"{ENRICHED},\n{_PAIRS}", """
 SELECT key FROM pairs WHERE CAST(split_part(key, ':', 3) AS BIGINT) % 3 <> 0""")
     sql["op_quality_report"] = _on(f"{CONTENT},\n{_FLAWED}", """

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.counters import ENRICHMENT
+from pulsemill.plans import rollups
 from pulsemill.session import STATE_SETTINGS, temporary_conf
 from pulsemill.sinks import delivery, kv, warehouse
 from pulsemill.sinks.folders import glob, own_folder
@@ -206,6 +207,7 @@ class FanOut:
     kv_receipts_path: str | None = None
     rejects_path: str | None = None
     counters_path: str | None = None
+    rollup_path: str | None = None
     make_transport: Callable[[], delivery.Transport] | None = None
     receipts_path: str | None = None
     delivery_batch_size: int = delivery.DEFAULT_BATCH_SIZE
@@ -232,6 +234,9 @@ class FanOut:
             warehouse.write_batch(rows, self.warehouse_path, batch_id, rebalance=False)
             failed = 0
             rejects.write.mode("overwrite").parquet(own_folder(spark, self.rejects_path, batch_id))
+            if self.rollup_path:
+                failed += self._optional(
+                    "rollup", batch_id, lambda: rollups.write_batch(rows, self.rollup_path, batch_id))
             if self.kv_path:
                 failed += self._optional("key-value", batch_id, lambda: kv.write_batch(
                     kv.kv_pairs(events, ["seq", "event_ts"]), self.kv_path, batch_id,

@@ -23,12 +23,12 @@ def tumbling_counts(
 def dedup_events(events: DataFrame, lateness: str | None = None) -> DataFrame:
     """One row per event id.
 
-    In a batch the one with the least position. In a stream the first to arrive; ids are
-    remembered for ``lateness`` of event time.
+    In a batch the one with the least position, then event time, then its fields as text. In
+    a stream the first to arrive; ids are remembered for ``lateness`` of event time.
     """
     if lateness:
         return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["id"])
     columns = [c for c in events.columns if c != "id"]
-    order = F.struct(*[F.col(c) for c in ("seq", "event_ts") if c in columns])
+    order = F.struct(*[F.col(c) for c in ("seq", "event_ts") if c in columns], F.to_json(F.struct(*columns)))
     least = events.groupBy("id").agg(F.min_by(F.struct(*columns), order).alias("row"))
     return least.select(*[F.col("id") if c == "id" else F.col(f"row.{c}") for c in events.columns])

@@ -18,6 +18,7 @@ from pulsemill.llm.common import saved, set_aside, text_bytes
 N_SHARDS = 40
 TOLERANCE = 0.005  # of a shard's bytes
 PROBE_BITS = 8
+ROW_BITS = 24  # of the second key part, for rows that are equal otherwise
 _LEAST = -(1 << 63)
 _MASK = (1 << 64) - 1
 
@@ -146,7 +147,10 @@ def sharded(
     the probes and once, sorted, after the exchange; what joins back the first slot of each
     partition and shard has at most partitions + shards rows.
     """
-    keyed = saved(rows.drop("shard", "slot"), "keyed")
+    # the low bits number the written rows, so that rows with equal keys can be divided too
+    number = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << ROW_BITS) - 1).cast("long"))
+    minor = F.col("minor").bitwiseAND(F.lit(-(1 << ROW_BITS)).cast("long")).bitwiseOR(number)
+    keyed = saved(rows.drop("shard", "slot").withColumn("minor", minor), "keyed")
     bounds = splitters(keyed.select("major", "minor", "size"), n_shards, tolerance)
     order = ["shard", "major", "minor"]
     ranged = saved(
@@ -169,7 +173,7 @@ def sharded_documents(
 
     Equal texts are neighbours, so they share a shard unless they hold more than twice the
     tolerance. Size is UTF-8 bytes plus 16; a null text counts as empty. Repeated rows each
-    get a slot; a null doc_id is ordered as 0. Columns of these names are replaced, others stay.
+    get a slot and are divided like other copies; a null doc_id is ordered as 0. Columns of these names are replaced, others stay.
     """
     text = F.coalesce("text", F.lit(""))
     docs = docs.drop("shard", "slot", "size", "text_crc32")

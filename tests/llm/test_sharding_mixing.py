@@ -36,6 +36,17 @@ def test_shards(spark):
         check_shards(rows, H.shard_rows(frame(spark, rows), n).collect(), n, H.TOLERANCE)
 
 
+def test_equal_rows_are_divided(spark):
+    """A third of all bytes are rows that nothing tells apart."""
+    rows = [(None, prose(20, 1), None, None, 0)] * 200 + [(i, prose(20, 50 + i), None, None, 0) for i in range(400)]
+    found = H.shard_rows(frame(spark, rows), 40).collect()
+    check_shards(rows, found, 40, H.TOLERANCE)
+    sizes = Counter()
+    for r in found:
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) <= 1.2 * min(sizes.values())
+
+
 def test_key_order_and_groups(spark):
     rows = [(i, prose(40, i % 150), "en", "s", 0) for i in range(600)]  # groups of 4 equal texts
     found = H.sharded_documents(frame(spark, rows), 4, 0.05).select("text", "shard", "slot").collect()

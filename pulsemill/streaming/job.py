@@ -164,8 +164,10 @@ _COUNTS = ", ".join(f"{name} long" for name in COUNTED)
 def counter_totals(spark: SparkSession, counters_path: str) -> dict[str, int]:
     """Sum of the counters over all batches that ``FanOut`` has written, of all queries.
 
-    A batch has one folder, so a repeated batch counts once.
+    A batch has one folder, so a repeated batch counts once. Before the first batch all are 0.
     """
+    if not glob(spark, counters_path):
+        return dict.fromkeys(COUNTED, 0)
     kept = spark.read.schema(_COUNTS).json(counters_path)
     row = kept.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in COUNTED]).first()
     return row.asDict()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pulsemill.operators.enrich import enrich_snapshot
 from pulsemill.plans import insights, rollups as R
 from pulsemill.sources import fixtures
+from pulsemill.streaming import job
 
 SF_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-24 13:45:10"
@@ -82,3 +83,18 @@ def test_only_the_ends_are_read_from_the_events(spark, events, path):
     assert whole.count() == 0
     ragged = R.over_range(R.read(spark, path, R.CONTENT).limit(0), dated, R.CONTENT, "2024-01-05 12:00:00", "2024-01-09 12:00:00")
     assert {str(r.event_date) for r in ragged.select("event_date").distinct().collect()} == {"2024-01-05", "2024-01-09"}
+
+
+def test_the_fan_out_keeps_rollups(spark, events, tmp_path):
+    """Every batch once, also if it is repeated; missing events are left out as in the table."""
+    counters = str(tmp_path / "counters")
+    assert set(job.counter_totals(spark, counters).values()) == {0}
+    sink = job.FanOut(str(tmp_path / "table"), rollup_path=str(tmp_path / "rollups"), counters_path=counters)
+    batch = events.withColumn("kind", F.lit("event")).withColumn("drained", F.lit(False))
+    for number in (0, 1, 1):
+        sink(batch.where(F.col("id") % 2 == number), number)
+    kept = events.where("not content_missing")
+    rows = R.read(spark, str(tmp_path / "rollups"), R.CONTENT)
+    counted = {r.content_id: r.n for r in rows.groupBy("content_id").agg(F.sum("n_events").alias("n")).collect()}
+    assert counted == {r.content_id: r["count"] for r in kept.groupBy("content_id").count().collect()}
+    assert job.counter_totals(spark, counters)["enriched"] == kept.count()

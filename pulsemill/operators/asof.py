@@ -8,23 +8,29 @@ apart than the wait: every buffered event restarts it.
 
 Plan: both feeds are merged into one timeline and swept once per group with
 window functions, so nothing is paired.  A group is an item or, for an item
-with very many rows, a slice of its timeline.  Slices are cut by counted rows, so
-their number follows the rows of the item, whatever its arrival numbers span.
-What a slice must know of the others (version in force, first version, next arrival, a later break)
-comes from a summary with one row per slice and enters as a first row.
+with very many rows, a slice of its timeline.  Slices are cut by counted rows: bins that
+hold too many are cut again between their own least and greatest number, so a slice is
+bounded however unevenly the numbers lie.  What a slice must know of the others (version
+in force, first version, next arrival, a later break) comes from a summary with one row
+per slice and enters as a first row.
+
+The feeds are read twice: to count the rows of the items, and for the sweep.  If an item
+has very many rows, the second reading writes the timeline and the rest reads that.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsemill.operators.enrich import ATTRIBUTES, finish
 from pulsemill.operators.skew import HOT_ROWS
+from pulsemill.session import written
 
 _CARRY, _CONTENT, _EVENT = 0, 1, 2
 SLICE_ROWS = 1_000_000
 BINS_PER_SLICE = 4
+COARSE = 32  # of so many first numbers one is looked at before its neighbours are
 
 
 def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
@@ -45,35 +51,65 @@ def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
     return event_rows.unionByName(content_rows, allowMissingColumns=True)
 
 
+def _firsts(rows: DataFrame, *columns: str) -> DataFrame:
+    """Per item its ranges in order, for ``_place``; rows (content_id, low, ...), few per item."""
+    ranges = F.array_sort(F.collect_list(F.struct("low", *columns)))
+    every = lambda x, i: i % COARSE == 0
+    return rows.groupBy("content_id").agg(ranges.alias("ranges")).withColumn(
+        "coarse", F.transform(F.filter("ranges", every), lambda x: x["low"]))
+
+
+def _place() -> Column:
+    """Place of the last range that begins at ``seq`` or before, -1 if none does."""
+    block = F.size(F.filter("coarse", lambda x: x <= F.col("seq"))) - 1
+    near = F.slice("ranges", F.greatest(block, F.lit(0)) * COARSE + 1, COARSE)
+    return F.greatest(block, F.lit(0)) * COARSE + F.size(F.filter(near, lambda x: x["low"] <= F.col("seq"))) - 1
+
+
+def _bins(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """Bins (content_id, low, high, n) of hot items, each of a part of a slice or of one number.
+
+    ``low`` and ``high`` are numbers that occur.  A bin with too many rows is cut into equal
+    widths as often as needed; every round at least halves it, and counts are all that is
+    shuffled.  There are at most a few bins for every slice, so they may be broadcast.
+    """
+    most = max(1, slice_rows // BINS_PER_SLICE)
+    counts = [F.min("seq").alias("low"), F.max("seq").alias("high"), F.count("*").alias("n")]
+    bins = written(rows.groupBy("content_id").agg(*counts), "bins")
+    while True:
+        full = (F.col("n") > most) & (F.col("low") < F.col("high"))
+        if bins.where(full).isEmpty():
+            return bins
+        width = F.expr(f"(high - low) div ceil(n / {most}) + 1").alias("width")
+        found = rows.join(F.broadcast(_firsts(bins.where(full).select("content_id", "low", "high", width),
+                                              "high", "width")), "content_id")
+        found = found.withColumn("bin", F.get("ranges", _place())).where("seq <= bin.high")
+        cut = found.groupBy("content_id", F.col("bin.low").alias("first"), F.expr(
+            "(seq - bin.low) div bin.width").alias("part")).agg(*counts).select(*bins.columns)
+        bins = written(bins.where(~full).unionByName(cut), "bins")
+
+
 def _sliced(timeline: DataFrame, hot_rows: int, slice_rows: int) -> DataFrame:
-    """The timeline with ``hot`` and ``slice``.
+    """The timeline with ``slice``, and with ``hot`` if there is an item of more than ``hot_rows`` rows.
 
-    The span of a hot item's arrival numbers is cut into bins, a few per slice; bins are
-    counted and gathered into slices of about ``slice_rows`` rows.  Rows of one number
-    share a bin.  Two narrow aggregates.
+    A slice of a hot item has fewer than ``slice_rows`` rows and a bin more.  Rows without
+    item wait for nothing; each is a slice of its own.
     """
-    n_bins = F.ceil(F.col("rows") / slice_rows) * BINS_PER_SLICE
-    width = F.ceil((F.col("high") - F.col("low") + 1) / n_bins)
+    alone = F.when(F.col("content_id").isNull(), F.xxhash64("seq"))
+    counts = timeline.where(F.col("content_id").isNotNull()).groupBy("content_id").agg(F.count("*").alias("n"))
     # at most one hot item for each hot_rows rows, so this may be broadcast
-    hot = timeline.groupBy("content_id").agg(
-        F.count("*").alias("rows"), F.min("seq").alias("low"), F.max("seq").alias("high")
-    ).where(F.col("rows") > hot_rows).select(
-        "content_id", "low", width.cast("bigint").alias("width"), n_bins.cast("bigint").alias("n_bins"))
-    bin_of = F.floor((F.col("seq") - F.col("low")) / F.col("width"))
-    counted = timeline.join(F.broadcast(hot), "content_id").groupBy(
-        "content_id", bin_of.alias("bin")).agg(F.count("*").alias("n"))
-    bins = hot.select("content_id", "low", "width", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_bins") - 1)).alias("bin"))
-    before = Window.partitionBy("content_id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = bins.join(counted, ["content_id", "bin"], "left").withColumn(
+    hot = written(counts.where(F.col("n") > hot_rows).select("content_id", F.lit(True).alias("hot")), "hot")
+    if hot.isEmpty():
+        return timeline.withColumn("slice", F.coalesce(alone, F.lit(0).cast("bigint")))
+    marked = timeline.join(F.broadcast(hot), "content_id", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    timeline = written(marked, "timeline", "hot")
+    before = Window.partitionBy("content_id").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = _bins(timeline.where("hot").select("content_id", "seq"), slice_rows).withColumn(
         "slice", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows))
-    # per item the slice of each bin: BINS_PER_SLICE numbers for every slice_rows rows
-    slices = numbered.groupBy("content_id").agg(
-        F.first("low").alias("low"), F.first("width").alias("width"),
-        F.transform(F.array_sort(F.collect_list(F.struct("bin", "slice"))), lambda x: x["slice"]).alias("slices"))
-    sliced = timeline.join(F.broadcast(slices), "content_id", "left")
-    number = F.get("slices", bin_of.cast("int"))
-    return sliced.withColumn("hot", F.when(F.col("low").isNotNull(), F.lit(True))).withColumn(
-        "slice", F.coalesce(number, F.lit(0)).cast("bigint")).drop("low", "width", "slices")
+    cuts = written(_firsts(numbered.groupBy("content_id", "slice").agg(F.min("low").alias("low"))), "cuts")
+    place = F.when(F.col("hot"), _place().cast("bigint"))
+    return timeline.join(F.broadcast(cuts), "content_id", "left").withColumn(
+        "slice", F.coalesce(alone, place, F.lit(0).cast("bigint"))).drop("ranges", "coarse")
 
 
 def _turns(rows: DataFrame, ttl_us: int | None) -> DataFrame:
@@ -106,8 +142,14 @@ def _with_epochs(sliced: DataFrame, ttl_us: int | None) -> DataFrame:
     slice, the state they begin with and the epochs before.
     """
     group = ["content_id", "slice"]
-    along = Window.partitionBy("content_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     gone = (F.col("kind") == _CONTENT) & F.col("version").isNull()
+    so_far = Window.partitionBy(*group).orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    epoch = F.sum("turn").over(so_far)
+    if "hot" not in sliced.columns:
+        start = F.lit(None).cast("struct<newest: struct<col1: boolean, arrival: bigint>, arrival: bigint>")
+        rows = _turns(sliced.withColumn("carried", start), ttl_us)
+        return rows.withColumn("epoch", epoch.cast("long")).where(~gone).drop("carried", "turn")
+    along = Window.partitionBy("content_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     change = F.when(F.col("kind") == _CONTENT, F.struct(~gone, "arrival"))
     hot = sliced.where("hot").select(*group, "seq", "kind", "arrival", "version")
     ends = hot.groupBy(*group).agg(
@@ -120,8 +162,7 @@ def _with_epochs(sliced: DataFrame, ttl_us: int | None) -> DataFrame:
     carried = carried.join(
         turns.select(*group, F.coalesce(F.sum("n").over(along), F.lit(0)).alias("epochs_before")), group)
     rows = _turns(sliced.join(F.broadcast(carried), group, "left"), ttl_us)
-    so_far = Window.partitionBy(*group).orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    epoch = F.coalesce("epochs_before", F.lit(0)) + F.sum("turn").over(so_far)
+    epoch = F.coalesce("epochs_before", F.lit(0)) + epoch
     return rows.withColumn("epoch", epoch.cast("long")).where(~gone).drop("carried", "epochs_before", "turn")
 
 
@@ -208,18 +249,18 @@ def enrich_asof(
     versions = _with_arrival(versions)
     wait_us = None if pending_ttl_secs is None else int(pending_ttl_secs * 1_000_000)
 
-    # Events without content id wait for nothing and would form one big group.
-    keyless = events.where(F.col("content_id").isNull())
-    timeline = _timeline(
-        events.where(F.col("content_id").isNotNull()), versions.where(F.col("id").isNotNull())
-    )
-    sliced = _sliced(timeline, hot_rows, slice_rows)
+    sliced = _sliced(_timeline(events, versions.where(F.col("id").isNotNull())), hot_rows, slice_rows)
     keys = ["content_id", "slice"]
     if "deleted" in versions.columns or content_ttl_secs is not None:
         sliced = _with_epochs(sliced, None if content_ttl_secs is None else int(content_ttl_secs * 1_000_000))
         keys = ["content_id", "epoch", "slice"]
-    summary = _slice_summary(sliced.where(F.col("hot")), wait_us, keys)
-    rows = sliced.drop("hot").unionByName(summary, allowMissingColumns=True)
+    if "hot" in sliced.columns:
+        summary = _slice_summary(sliced.where(F.col("hot")), wait_us, keys)
+        rows = sliced.drop("hot").unionByName(summary, allowMissingColumns=True)
+    else:
+        rows = sliced.withColumns({
+            "key_first": F.lit(None).cast(sliced.schema["version"].dataType),
+            "next_arrival": F.lit(None).cast("bigint"), "later_break": F.lit(None).cast("boolean")})
 
     group = Window.partitionBy(*keys)
     ordered = group.orderBy("seq", "kind")
@@ -248,8 +289,6 @@ def enrich_asof(
         "event.*", *[F.col(f"chosen.{c}").alias(c) for c in ATTRIBUTES],
         F.col("chosen").isNotNull().alias("found"), "drained",
     )
-    alone = keyless.withColumn("found", F.lit(False)).withColumn("drained", F.lit(False))
-    joined = joined.unionByName(alone, allowMissingColumns=True)
     return finish(joined)
 
 

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_SETTINGS = {
     # UTC instants everywhere: DATE(event_ts) is a UTC date.
@@ -68,3 +68,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="pulsemill-")
     return os.path.join(shared, f"{label}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write an intermediate result to a scratch path and read it: cuts lineage, survives lost executors."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

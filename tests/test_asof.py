@@ -147,6 +147,41 @@ def test_one_shuffle_of_the_events_and_no_pairs(spark, tmp_path):
     assert 1 <= len(wide) <= 3
 
 
+def test_each_feed_is_scanned_once_after_the_count(spark, tmp_path):
+    ev, ver = frames(spark, recorded(0, 100))
+    for name, df in (("ev", ev), ("ver", ver)):
+        df.write.parquet(str(tmp_path / name))
+    ev, ver = (spark.read.parquet(str(tmp_path / n)) for n in ("ev", "ver"))
+    for sizes, scans in (({}, 1), ({"hot_rows": 10, "slice_rows": 7}, 0)):
+        plan = enrich_asof(ev, ver, WAIT, **sizes)._jdf.queryExecution().sparkPlan().toString()
+        for name in ("ev", "ver"):
+            assert plan.count(f"{tmp_path}/{name}]") == scans, plan
+
+
+@pytest.mark.parametrize("numbers", [
+    "case when id = 999 then 4000000000000000 else id end",  # one far number
+    "case when id < 500 then id else id * 1000000000 end",  # dense, then sparse
+    "cast(pow(2, id div 20) * 1000 as bigint) + id",  # ever wider gaps
+])
+def test_slices_are_bounded_for_uneven_numbers(spark, numbers):
+    rows = spark.range(1000).select(F.lit("a").alias("content_id"), F.expr(numbers).alias("seq"))
+    sizes = [r["count"] for r in _sliced(rows, 100, 40).groupBy("slice").count().collect()]
+    assert max(sizes) < 40 + 10 and sum(sizes) == 1000
+
+
+def test_one_far_arrival_changes_no_result(spark):
+    arrivals = recorded(1) + [(10**12, 10**6, "main", "hot", 10**6), (10**12 + 1, 10**6, "content", "hot", "far")]
+    ev, ver = frames(spark, arrivals)
+    rows = enrich_asof(ev, ver, WAIT, hot_rows=20, slice_rows=9).collect()
+    assert {r.id: (r.content_type, r.drained) for r in rows} == simulate(arrivals, WAIT)
+
+
+def test_many_events_without_key_share_no_group(spark):
+    plain = spark.range(200).select(F.lit(None).cast("string").alias("content_id"), F.col("id").alias("seq"))
+    sliced = _sliced(plain, 10, 5)
+    assert "hot" not in sliced.columns and sliced.select("slice").distinct().count() == 200
+
+
 def test_slices_follow_rows_not_numbers(spark):
     """Arrival numbers in microseconds over a year make as many slices as small ones."""
     plain = spark.range(1000).select(F.lit("a").alias("content_id"), F.col("id").alias("seq"))

@@ -46,8 +46,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = SOURCE_WEIGHTS) -> Data
     filled = F.coalesce(F.sum("source_size").over(before), F.lit(0)) * MOST_EPOCHS
     rest = F.sum("w").over(whole) - F.coalesce(F.sum("w").over(before), F.lit(0))
     levels = weighed.withColumn(
-        "level", (F.sum("source_size").over(whole) - filled).cast("double") / rest)
-    first = F.min(F.when(F.col("level") <= F.col("reach"), F.struct("reach", "level"))).over(whole)
+        "level", (F.sum("source_size").over(whole) - filled).cast("double") / rest
+    ).withColumn("place", F.row_number().over(order))
+    first = F.min(F.when(F.col("level") <= F.col("reach"), F.struct("place", "level"))).over(whole)
     return levels.withColumn("chosen", first["level"]).select(
         "name", "source", "source_size",
         F.least(F.col("chosen") * F.col("w"), bound).alias("target"))

@@ -205,9 +205,10 @@ WITH l AS (
 ), r AS (SELECT *, CAST(3 * source_size AS DOUBLE) / w AS reach FROM s),
 levels AS (
   SELECT *, CAST((sum(source_size) OVER ()) - 3 * coalesce(sum(source_size) OVER before, 0) AS DOUBLE)
-            / ((sum(w) OVER ()) - coalesce(sum(w) OVER before, 0)) AS level
+            / ((sum(w) OVER ()) - coalesce(sum(w) OVER before, 0)) AS level,
+         row_number() OVER (ORDER BY reach, source NULLS LAST) AS place
   FROM r WINDOW before AS (ORDER BY reach, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), chosen AS (SELECT arg_min(level, reach) AS level FROM levels WHERE level <= reach),
+), chosen AS (SELECT arg_min(level, place) AS level FROM levels WHERE level <= reach),
 t AS (
   SELECT source, source_size, least(c.level * w, CAST(3 * source_size AS DOUBLE)) AS target
   FROM levels, chosen c

@@ -129,3 +129,9 @@ def test_mix_of_nothing(spark):
     assert M.mixed(frame(spark, []), labels).count() == 0
     rows = [(1, None, None, "a", 0), (2, "", None, None, 0)]
     assert [r.taken for r in M.mixed(frame(spark, rows), labels).collect()] == [0, 0]
+
+
+def test_sources_that_reach_their_bound_at_one_level(spark):
+    """Both stop at 180 a weight, the level is 60: the first of them decides."""
+    rows = spark.createDataFrame([("=a", "a", 300), ("=b", "b", 120)], "name string, source string, source_size long")
+    assert {r.source: r.target for r in M.targets(rows).collect()} == {"a": 300.0, "b": 120.0}

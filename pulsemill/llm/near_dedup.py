@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from pulsemill.llm import words as W
 from pulsemill.llm.common import saved, small_batches
@@ -109,11 +110,12 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, text, weight = weighted(*W.shingles(w, WORDS))
             bands = band_keys(sketches(keys, text, weight, part.num_rows))
             rows = np.arange(part.num_rows + 1, dtype=np.int32)
+            named = [c for c in part.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), _digests(w),
+                *[part.column(c) for c in named], _digests(w),
                 pa.array(np.bincount(text, minlength=part.num_rows)),
                 pa.ListArray.from_arrays(pa.array(rows * BANDS), W.as_long(bands.ravel())),
-            ], ["doc_id", "node", "n_shingles", "bands"])
+            ], [*named, "node", "n_shingles", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,11 +274,33 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     exactly, by shared prefixes of their shingle sets: again stars first, then all pairs of
     different components.
     """
+    classes, links = _classes(docs)
+    return classes.select("doc_id", "class_id", "representative", "n_shingles"), links
+
+
+def one_of_each(docs: DataFrame, row_key: str) -> DataFrame:
+    """Rows (row_key, n): a row of each class, how many rows have its key.
+
+    The row with the least doc_id is named, among equal ids that with the least key, one
+    without id only in a class without ids. Rows without words are alike to nothing but rows
+    of their own key. Two narrow aggregates; a class of any size combines before the shuffle.
+    """
+    rows, _ = _classes(docs, row_key)
+    group = F.coalesce("component", F.col(row_key).cast("binary")).alias("group")
+    keys = rows.groupBy(group, row_key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row_key, "n"))
+    return keys.groupBy("group").agg(least.alias("least")).select(f"least.{row_key}", "least.n")
+
+
+def _classes(docs: DataFrame, *carried: str) -> tuple[DataFrame, DataFrame]:
+    """What ``near_duplicates`` returns, with ``component`` and carried columns; no component without words."""
     spark = docs.sparkSession
     small_batches(spark)
     texts = docs.select("doc_id", "text")
-    sketched = saved(texts.mapInArrow(
-        _sketch, "doc_id long, node binary, n_shingles long, bands array<long>"), "sketches")
+    schema = docs.select("doc_id", *carried).schema
+    for name, kind in (("node", "binary"), ("n_shingles", "long"), ("bands", ArrayType(LongType()))):
+        schema = schema.add(name, kind)
+    sketched = saved(docs.select("doc_id", "text", *carried).mapInArrow(_sketch, schema), "sketches")
     nodes = sketched.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("representative"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"))
@@ -301,8 +325,8 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = links.union(saved(_verified(rest, sets), "links"))
 
     groups = components(links)
-    joined = sketched.select("doc_id", "node", "n_shingles").join(groups, "node", "left").select(
-        "doc_id", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+    joined = sketched.select("doc_id", *carried, "node", "n_shingles").join(groups, "node", "left").select(
+        "doc_id", *carried, "node", "n_shingles", F.coalesce("component", "node").alias("component"))
     joined = saved(joined, "joined")
     least = joined.where("node is not null").groupBy("component").agg(
         F.min("doc_id").alias("class_id"))
@@ -310,7 +334,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         nodes.select("node", "representative"), "node", "left")
     own = F.col("node").isNull()
     return classes.select(
-        "doc_id",
+        "doc_id", *carried, "component",
         F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(own, F.col("doc_id")).otherwise(F.col("representative")).alias("representative"),
         "n_shingles",

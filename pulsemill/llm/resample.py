@@ -10,7 +10,7 @@ marker words say toxic are not drawn from (see ``toxicity``).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -112,9 +112,10 @@ def log_ratios(docs: DataFrame, sample: DataFrame) -> np.ndarray:
 
 
 def weights(
-    docs: DataFrame, ratios: np.ndarray, marks: tuple[np.ndarray, np.ndarray], seed: int = NOISE_SEED
+    docs: DataFrame, ratios: np.ndarray, marks: tuple[np.ndarray, np.ndarray], seed: int = NOISE_SEED,
+    carried: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Rows (doc_id, log_weight, sample_key, toxic_score); a text without words weighs nothing (-inf)."""
+    """Rows (*carried, log_weight, sample_key, toxic_score); a text without words weighs nothing (-inf)."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
     marked = docs.sparkSession.sparkContext.broadcast(marks)
 
@@ -129,14 +130,16 @@ def weights(
                 noise = part.column("noise").to_numpy()
                 key = total - np.log(-np.log(noise))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(total), pa.array(key),
+                    [*[part.column(c) for c in carried], pa.array(total), pa.array(key),
                      pa.array(toxicity.scores(part.column("text"), members, marked.value[1]))],
-                    ["doc_id", "log_weight", "sample_key", "toxic_score"])
+                    [*carried, "log_weight", "sample_key", "toxic_score"])
 
     # 52 bits of a hash of id and text, halfway between the ends of (0, 1)
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 12) + 0.5) / float(1 << 52)
-    return docs.select("doc_id", "text", uniform.alias("noise")).mapInArrow(
-        score, "doc_id long, log_weight double, sample_key double, toxic_score double")
+    schema = docs.select(*carried).schema
+    for name in ("log_weight", "sample_key", "toxic_score"):
+        schema = schema.add(name, "double")
+    return docs.select(*dict.fromkeys([*carried, "text"]), uniform.alias("noise")).mapInArrow(score, schema)
 
 
 def kth_largest(keys: DataFrame, column: str, k: int) -> float | None:
@@ -170,15 +173,18 @@ def kth_largest(keys: DataFrame, column: str, k: int) -> float | None:
 
 
 def quality_sample(
-    docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = NOISE_SEED
+    docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = NOISE_SEED,
+    carried: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Rows (doc_id, log_weight, sample_key, selected), one per document.
+    """Rows (*carried, log_weight, sample_key, selected), one per document.
 
     ``share`` of the documents is selected, by default the share of good ones among the
     labelled. A null or empty text has no n-grams and is never selected, nor is one whose
     words say toxic, as far as labels tell it from clean ones. Repeated rows have
     one key and are selected or rejected together, so ties at the end may add rows. Without
-    any label all documents with words are selected.
+    any label all documents with words are selected. ``carried`` names columns of the
+    documents that travel along, by default the id; with all of them the sample is a filter
+    that needs no join.
     """
     small_batches(docs.sparkSession)
     sample = saved(labelled(labels), "labelled")
@@ -189,7 +195,7 @@ def quality_sample(
     first = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 0
     fitted, tried = (F.broadcast(sample.where(x).select("doc_id", "toxic")) for x in (first, ~first))
     marks = toxicity.markers(docs.select("doc_id", "text").join(fitted, "doc_id").select("text", "toxic"))
-    scored = saved(weights(docs, log_ratios(docs, sample), marks, seed), "scored")
+    scored = saved(weights(docs, log_ratios(docs, sample), marks, seed, carried), "scored")
     trial = scored.join(tried, "doc_id").groupBy("doc_id", "toxic").agg(
         F.max("toxic_score").alias("score")).toPandas()  # bounded by LABELLED_ROWS
     bound = toxicity.least_score(trial.toxic.to_numpy(bool), trial.score.to_numpy(float))

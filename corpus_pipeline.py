@@ -15,29 +15,35 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 N_SHARDS = 40
 
 
+def one_per_key(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key: the least by the JSON of all its columns, so reruns agree."""
+    whole = F.struct(*rows.columns)
+    return rows.groupBy(*keys).agg(F.min_by(whole, F.to_json(whole)).alias("_row")).select("_row.*")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the importance sample holds: of quality, and without the words of toxic ones.
 
-    Rows without doc_id can't be named by the sample; they are left out, as are texts
-    without words.
+    The score decides on each row by its text, whatever its id. Texts without words are left out.
     """
-    sampled = resample.quality_sample(docs, table(spark, sf_dir, "labels"))
-    chosen = sampled.where("selected").select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(*docs.columns)
+    aside = set_aside(docs, "doc_id", "text")
+    sampled = resample.quality_sample(aside, table(spark, sf_dir, "labels"), carried=aside.columns)
+    return sampled.where("selected").select(*aside.columns).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class: the one with the least doc_id.
 
-    Of rows that repeat a doc_id one stays. Rows without doc_id are left out.
+    Rows without doc_id stay unless a row of their class has one. Of rows that repeat id
+    and text one stays; a repeated id with an unlike text is another document.
     """
-    classes, _ = near_dedup.near_duplicates(docs)
-    keepers = saved(classes.where("doc_id = class_id").groupBy("doc_id").count(), "keepers")
-    kept = docs.join(keepers.where("count = 1"), "doc_id", "left_semi")
-    again = keepers.where("count > 1")
+    keyed = set_aside(docs, "doc_id", "text").withColumn("row_key", mixing.row_key())
+    keepers = saved(near_dedup.one_of_each(keyed.select("doc_id", "text", "row_key"), "row_key"), "keepers")
+    kept = keyed.join(keepers.where("n = 1"), "row_key", "left_semi")
+    again = keepers.where("n > 1")
     if not again.isEmpty():
-        kept = kept.unionByName(docs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+        kept = kept.unionByName(one_per_key(keyed.join(again, "row_key", "left_semi"), "row_key"))
+    return kept.drop("row_key").toDF(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,19 +54,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: once per complete epoch, once more if drawn.
 
-    Rows with equal id and text share what the mix takes of all of them.
+    Rows with equal id, text and source share what the mix takes of all of them.
     """
     aside = set_aside(docs, "doc_id", "text", "source")
     taken = mixing.mixed(docs, table(spark, sf_dir, "labels"))
+    name = F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("name")
     copies = saved(
-        taken.groupBy("row_key").agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+        taken.groupBy("row_key", name).agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
         .where("copies > 0"), "copies")
-    keyed = aside.withColumn("row_key", mixing.row_key())
-    once = keyed.join(copies.where("n = 1").drop("n"), "row_key")
+    keyed = aside.select("*", mixing.row_key().alias("row_key"), name)
+    once = keyed.join(copies.where("n = 1").drop("n"), ["row_key", "name"])
     again = copies.where("n > 1").drop("n")
     if not again.isEmpty():
         once = once.unionByName(
-            keyed.dropDuplicates(["row_key"]).join(again, "row_key"))
+            one_per_key(keyed.join(again, ["row_key", "name"]), "row_key", "name").select(*once.columns))
     return once.withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     ).select(*aside.columns).toDF(*docs.columns)

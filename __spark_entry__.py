@@ -14,12 +14,12 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracles as O  # noqa: E402
 from pulsemill.functions.measures import approx_quantiles, on_grid  # noqa: E402
 from pulsemill.functions.timefuncs import epoch_seconds  # noqa: E402
-from pulsemill.operators import asof, counters, enrich, quality, windows  # noqa: E402
+from pulsemill.operators import asof, counters, drift, enrich, quality, windows  # noqa: E402
 from pulsemill.plans import insights, rollups  # noqa: E402
 from pulsemill.plans.feed import enriched_from_feed  # noqa: E402
-from pulsemill.schemas import EVENT_TYPES  # noqa: E402
+from pulsemill.schemas import ENRICHED, EVENT_TYPES  # noqa: E402
 from pulsemill.session import STATE_SETTINGS, scratch_path, temporary_conf  # noqa: E402
-from pulsemill.sinks import delivery, kv, warehouse  # noqa: E402
+from pulsemill.sinks import delivery, kv, receiver, warehouse  # noqa: E402
 from pulsemill.sources import changes, fixtures  # noqa: E402
 from pulsemill.sources.tables import content_ids, read_warehouse  # noqa: E402
 from pulsemill.streaming import buckets, job  # noqa: E402
@@ -262,6 +262,40 @@ def op_delivery_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counters.receipt_counts(delivery.send(documents, delivery.DryRun))
 
 
+def op_delivery_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Send a stream of events through the data source, count what its committed batches say."""
+    path = scratch_path(spark, "delivery")
+    rows = enrich.enrich_snapshot(fixtures.engagement(spark, sf_dir, stream=True), fixtures.content(spark, sf_dir))
+    sink = receiver.register(spark, "pulsemill_receiver", delivery.DryRun, f"{path}/receipts", O.BATCH_SIZE)
+    receiver.events(rows).writeStream.format(sink).trigger(availableNow=True).option(
+        "checkpointLocation", f"{path}/checkpoint").start().awaitTermination()
+    return receiver.receipts(spark, f"{path}/receipts").groupBy("status").agg(F.sum("n_events").alias("events"))
+
+
+def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes.engagement_changes(fixtures.drifted_engagement_feed(spark, sf_dir), keep_extras=True)
+
+
+def op_drift_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown fields of a drifted feed and the types its values agree on."""
+    return drift.discovered_fields(_drifted(spark, sf_dir))
+
+
+def op_drift_promoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose first batch knows no promoted fields, and whose second brings them."""
+    path = scratch_path(spark, "promoted")
+    events = _drifted(spark, sf_dir)
+    fields = drift.agreed_schema(drift.discovered_fields(events), ENRICHED)
+    rows = enrich.enrich_snapshot(drift.promoted(events, fields).drop("seq"), fixtures.content(spark, sf_dir))
+    half = F.col("id") % 2
+    before, _ = warehouse.warehouse_rows(rows.where(half == 1), include_missing=True)
+    after, _ = warehouse.warehouse_rows(rows.where(half == 0), include_missing=True, promoted=fields.names)
+    warehouse.write_batch(before, path, 0)
+    warehouse.write_batch(after, path, 1)
+    return read_warehouse(spark, path, fields).select(
+        "id", "content_id", "app_version", "muted", F.col("volume").cast("double").alias("volume"))
+
+
 def op_warehouse_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the table as a partitioned batch, read it back by date."""
     path = scratch_path(spark, "warehouse")
@@ -472,6 +506,9 @@ def queries() -> dict[str, Query]:
         "op_kv_projection": op_kv_projection,
         "op_delivery_batches": op_delivery_batches,
         "op_delivery_receipts": op_delivery_receipts,
+        "op_delivery_stream": op_delivery_stream,
+        "op_drift_fields": op_drift_fields,
+        "op_drift_promoted": op_drift_promoted,
         "op_warehouse_layout": op_warehouse_layout,
         "op_stream_enrich": _stream(()),
         "op_stream_enrich_sliced": _stream(("c-3",)),

@@ -374,6 +374,21 @@ FROM enriched GROUP BY 1""")
     sql["op_delivery_receipts"] = _on(ENRICHED, f"""
 SELECT 'http' AS sink, 'ok' AS status, CAST(sum(n) AS BIGINT) AS events, count(*) AS requests
 FROM (SELECT id // {BATCH_SIZE}, count(*) AS n FROM enriched GROUP BY 1)""")
+    sql["op_delivery_stream"] = _on(ENRICHED, "SELECT 'ok' AS status, CAST(count(*) AS BIGINT) AS events FROM enriched")
+    # a column per unknown field: when an event has it, when it is null, its type over all events
+    drifted = [
+        ("app_version", "id % 4 = 0", "false", "STRING"), ("volume", "id % 3 = 0", "false", "DECIMAL(21,1)"),
+        ("ref", "id % 7 < 3", "false", "VARIANT"), ("geo", "id % 10 = 0", "false", "OBJECT<zone: BIGINT>"),
+        ("muted", "id % 2 = 0", "id % 12 = 0", "BOOLEAN"), ("gone", "id % 6 = 5", "true", "VOID"),
+        ("Device", "id % 13 = 0", "false", "STRING")]
+    sql["op_drift_fields"] = _on(ENGAGEMENT, " UNION ALL ".join(
+        f"SELECT '{name}' AS field, '{kind}' AS type, count(*) AS n_rows, count_if({null}) AS n_null "
+        f"FROM engagement WHERE {there}" for name, there, null, kind in drifted))
+    sql["op_drift_promoted"] = _on(ENGAGEMENT, """
+SELECT id, content_id, CASE WHEN id % 4 = 0 THEN 'v' || id % 9 END AS app_version,
+       CASE WHEN id % 2 = 0 AND id % 12 <> 0 THEN id % 4 = 2 END AS muted,
+       CASE WHEN id % 6 = 0 THEN CAST(id AS DOUBLE) END AS volume
+FROM engagement""")
     sql["op_warehouse_layout"] = _on(ENRICHED, """
 SELECT strftime(event_ts, '%Y-%m-%d') AS event_date, content_type, event_type, count(*) AS n_rows
 FROM enriched WHERE NOT content_missing GROUP BY 1, 2, 3""")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from pulsemill.functions.timefuncs import utc_date
@@ -17,16 +19,19 @@ CLUSTER_BY = ("content_type", "event_type")
 COMPACTED = "compacted"
 
 
-def warehouse_rows(enriched: DataFrame, include_missing: bool = False) -> tuple[DataFrame, DataFrame]:
+def warehouse_rows(
+    enriched: DataFrame, include_missing: bool = False, promoted: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """(rows of the table's schema, rejects that lack a required column).
 
     The table has no missing flag, so events without content stay out unless
-    asked for.
+    asked for. ``promoted`` columns follow those of the schema.
     """
     if "content_missing" in enriched.columns and not include_missing:
         enriched = enriched.where(~F.col("content_missing"))
     good, rejects = split_required(enriched)
-    return with_comments(conform(good, ENRICHED)), rejects
+    schema = T.StructType([*ENRICHED.fields, *[good.schema[c] for c in promoted]])
+    return with_comments(conform(good, schema)), rejects
 
 
 def laid_out(rows: DataFrame, rebalance: bool = True) -> DataFrame:

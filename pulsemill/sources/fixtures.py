@@ -207,6 +207,34 @@ def engagement_feed(
     )
 
 
+def drifted_engagement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain engagement messages whose images bring fields no schema names.
+
+    ``app_version`` is text, ``volume`` a whole or a broken number, ``ref`` a number or
+    text, ``geo`` an object, ``muted`` a truth value or null, ``gone`` always null, and
+    ``Device`` differs from a known field by case alone.
+    """
+    rows = engagement_feed(spark, sf_dir, mixed=False)
+    number = F.floor(F.col("seq") / 3)  # the event's id
+
+    def field(name: str, value: Column, when: Column) -> Column:
+        return F.when(when, F.concat(F.lit(f',"{name}":'), value)).otherwise(F.lit(""))
+
+    text = number.cast("string")
+    extra = F.concat(
+        field("app_version", F.concat(F.lit('"v'), (number % 9).cast("string"), F.lit('"')), number % 4 == 0),
+        field("volume", F.when(number % 2 == 0, text).otherwise(F.concat(text, F.lit(".5"))), number % 3 == 0),
+        field("ref", F.when(number % 5 == 0, text).otherwise(F.concat(F.lit('"r'), text, F.lit('"'))), number % 7 < 3),
+        field("geo", F.concat(F.lit('{"zone":'), (number % 8).cast("string"), F.lit("}")), number % 10 == 0),
+        field("muted", F.when(number % 12 == 0, F.lit("null")).otherwise((number % 4 == 2).cast("string")), number % 2 == 0),
+        field("gone", F.lit("null"), number % 6 == 5),
+        field("Device", F.lit('"d"'), number % 13 == 0),
+    )
+    # the image is the last object but one: its end is the first '},"op"'
+    return rows.withColumn("value", F.concat(
+        F.substring_index("value", '},"op":"c"', 1), extra, F.lit('},"op":"c"'), F.substring_index("value", '},"op":"c"', -1)))
+
+
 def content_feed(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """The catalogue snapshot as plain change messages; some lack ``publish_ts``."""
     rows = content(spark, sf_dir, stream)

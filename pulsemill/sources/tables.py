@@ -13,9 +13,13 @@ FOLDERS = [
 ]
 
 
-def read_warehouse(spark: SparkSession, path: str) -> DataFrame:
-    """The enriched table; folders give ``event_date``, ``writer`` and ``batch_id``."""
-    return spark.read.schema(T.StructType([*ENRICHED.fields, *FOLDERS])).parquet(path)
+def read_warehouse(spark: SparkSession, path: str, promoted: T.StructType | None = None) -> DataFrame:
+    """The enriched table; folders give ``event_date``, ``writer`` and ``batch_id``.
+
+    ``promoted`` columns are null in batches written before they were promoted.
+    """
+    own = promoted.fields if promoted else []
+    return spark.read.schema(T.StructType([*ENRICHED.fields, *own, *FOLDERS])).parquet(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -13,6 +13,37 @@ def test_patterns(spark):
         "d:org", "d:b.org", "d:a.b.org", "p:a.b.org/", "p:a.b.org/x/", "p:a.b.org/x/y"]
     assert of("http://b.org") == ["d:org", "d:b.org", "p:b.org/"]
     assert of("nothing") == [] and of("") == []
+    assert of("http://b.org/x/") == ["d:org", "d:b.org", "p:b.org/", "p:b.org/x/"]
+
+
+def test_patterns_of_a_lists_shapes(spark):
+    entries = spark.createDataFrame([("d:b.org",), ("p:b.org/x/",), ("p:b.org/",), ("q:a/b/c/d",)], "pattern string")
+    assert J.shapes(entries) == ([2], [1, 2])
+    assert J.shapes(entries.limit(0)) == ([], [])
+
+    def of(url):
+        return spark.range(1).select(J.patterns(F.lit(url), [2], [1, 2]).alias("p")).first().p
+
+    assert of("http://a.b.org/x/y/z") == ["d:b.org", "p:a.b.org/", "p:a.b.org/x/"]
+    assert of("http://b.org/x/y") == ["d:b.org", "p:b.org/", "p:b.org/x/", "p:b.org/x/y"]
+    assert of("http://org") == ["p:org/"] and of("") == []
+
+
+def test_the_screen_lets_all_listed_patterns_pass(spark):
+    listed = spark.range(3000).select(F.concat(F.lit("d:"), F.col("id").cast("string")).alias("pattern"))
+    probes = spark.range(6000).select("id", F.concat(F.lit("d:"), F.col("id").cast("string")).alias("pattern"))
+    left = [r.id for r in J.listed_only(probes, listed).collect()]
+    assert set(range(3000)) <= set(left) and len(left) < 3010 and len(set(left)) == len(left)
+
+
+def test_very_long_urls(spark):
+    deep = "http://b.org/x" + "/a" * 50_000
+    wide = "http://" + "s." * 30_000 + "b.org/"
+    whole = "p:b.org/x" + "/a" * 50_000
+    captures = spark.createDataFrame([(1, deep, 300), (2, wide, 300), (3, deep + "/z", 300)], CAPTURES)
+    log = spark.createDataFrame([("d:b.org", "block", 100), ("p:b.org/x/a/", "allow", 200), (whole, "block", 250)], ENTRIES)
+    rows = {r.page_id: (r.pattern, r.blocked) for r in J.as_of(captures, log).collect()}
+    assert rows == {1: (whole, True), 2: ("d:b.org", True), 3: ("p:b.org/x/a/", False)}
 
 
 def brute(captures, entries, spark):

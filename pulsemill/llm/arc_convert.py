@@ -72,9 +72,11 @@ def _arc_record(version, url, ip, date, kind, block, name) -> bytes:
     return head.encode() + block + b"\n"
 
 
-def read_arc(data: bytes) -> Iterator[ArcRecord]:
+def read_arc(data: bytes, with_about: bool = False) -> Iterator[ArcRecord]:
     """Records after the version block, by the field list that the block declares.
 
+    With ``with_about`` the version block comes first, as a record at offset 0.
+
     The last field is the length, so a line is split from both ends; a URL with spaces
     stays whole. A line of the other version's shape is an error, as is a declared length
     beyond the end of the file. Blank lines between records are passed over.
@@ -104,6 +106,9 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
             version, names = about[0].split(" ")[0], about[1].split(" ")
             if version not in ARC_FIELDS or names != ARC_FIELDS[version].split(" "):
                 raise ArcError(f"unknown version {about[:2]}")
+            if with_about:
+                # a file's name has no spaces, and the line as many fields as either version has
+                yield ArcRecord(*line.decode("utf-8", "replace").split(" ")[:4], block, version, at)
         else:
             named = dict(zip(names, fields, strict=True))
             yield ArcRecord(
@@ -128,9 +133,10 @@ def iso_date(date: str) -> str:
     return f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}T{digits[8:10]}:{digits[10:12]}:{digits[12:14]}Z"
 
 
-def record_id(record: ArcRecord, payload_digest: str) -> str:
-    """The same for every conversion of the same record."""
-    name = f"{record.url}|{record.date}|{record.block[:256]!r}|{payload_digest}"
+def record_id(record: ArcRecord, archive: str) -> str:
+    """Of no other record, and the same for every conversion of the same archive file."""
+    place = f"{archive.rsplit('/', 1)[-1]}|{record.offset}"
+    name = f"{place}|{record.url}|{record.date}|{digest(record.block)}"
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
@@ -214,23 +220,33 @@ def write_arcs(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES)
     return _written(rows.mapInArrow(pack, "value string"), path, "\n")
 
 
-_KEYS = "archive string, offset long, page string, payload_digest string, payload_bytes long"
+_KEYS = ("archive string, offset long, page string, payload_digest string, payload_bytes long, "
+         "url string, date string, record_id string")
+_BLOCKS = ", ip string, head string, payload string, kind string, info_id string"
 
 
 def _arc_rows(with_block: bool):
-    """Converted records of ARC files, with or without their blocks."""
+    """Converted records of ARC files, with or without their blocks.
+
+    With blocks, the version block of a file leads it, as a record of kind ``warcinfo``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                rows, size = [], 0
-                for r in read_arc(unzipped(data.as_py())):
+                rows, size, info = [], 0, None
+                for r in read_arc(unzipped(data.as_py()), with_block):
+                    name = record_id(r, path)
+                    if with_block and info is None:
+                        info = name
+                        rows.append(_about(r, path, name))
+                        continue
                     headers, head, payload = split_http(r.block)
-                    own = digest(payload)
                     row = {"archive": path, "offset": r.offset, "page": headers.get("x-page-id", "-"),
-                           "payload_digest": own, "payload_bytes": len(payload)}
+                           "payload_digest": digest(payload), "payload_bytes": len(payload),
+                           "url": r.url, "date": iso_date(r.date), "record_id": name}
                     if with_block:
-                        row |= {"url": r.url, "date": iso_date(r.date), "ip": r.ip,
-                                "record_id": record_id(r, own), "head": head.decode(), "payload": payload.decode()}
+                        row |= {"ip": r.ip, "head": head.decode(), "payload": payload.decode(),
+                                "kind": "response", "info_id": info}
                         size += len(r.block)
                     rows.append(row)
                     if size > 2 << 20:
@@ -242,12 +258,21 @@ def _arc_rows(with_block: bool):
     return run
 
 
+def _about(r: ArcRecord, path: str, name: str) -> dict:
+    """What WARC says of a file, from an ARC file's version block."""
+    lines = [line for line in r.block.decode("utf-8", "replace").split("\n") if line]
+    fields = {"software": "pulsemill", "format": "WARC File Format 1.0", "isPartOf": r.url.removeprefix("filedesc://"),
+              "description": f"converted from an ARC file of version {r.version}", "arc-version-line": lines[0],
+              "arc-fields": lines[1]}
+    return {"archive": path, "offset": r.offset, "page": "-", "payload_digest": "", "payload_bytes": 0, "url": r.url,
+            "date": iso_date(r.date), "record_id": name, "ip": r.ip, "head": "".join(f"{k}: {v}\r\n" for k, v in fields.items()),
+            "payload": "", "kind": "warcinfo", "info_id": name}
+
+
 def _schema(with_block: bool) -> pa.Schema:
-    fields = [("archive", pa.string()), ("offset", pa.int64()), ("page", pa.string()),
-              ("payload_digest", pa.string()), ("payload_bytes", pa.int64())]
-    if with_block:
-        fields += [(n, pa.string()) for n in ("url", "date", "ip", "record_id", "head", "payload")]
-    return pa.schema(fields)
+    longs = ("offset", "payload_bytes")
+    names = [x.split()[0] for x in (_KEYS + (_BLOCKS if with_block else "")).split(", ")]
+    return pa.schema([(n, pa.int64() if n in longs else pa.string()) for n in names])
 
 
 def convert(spark: SparkSession, arcs: str, path: str, least_bytes: int = 0,
@@ -257,20 +282,22 @@ def convert(spark: SparkSession, arcs: str, path: str, least_bytes: int = 0,
     Of records with equal payloads of at least ``least_bytes`` bytes, those of the smallest
     page are responses, the others revisits of it; smaller ones are all responses. The page
     is the X-Page-Id of the archived response; without one (``-``) a record counts last.
-    Repeats of one page with one payload are all responses if theirs is the smallest page.
+    Repeats of one page with one payload are all responses if theirs is the smallest page;
+    revisits then name the one with the least identifier. Each ARC file's version block
+    becomes a warcinfo record, which the file's records name.
     """
     small_batches(spark)
     files = _files(spark, arcs)
     found = saved(files.mapInArrow(_arc_rows(False), _KEYS), "arc_records")
     number = F.expr("try_cast(page as bigint)")
+    origin = F.struct(number.alias("first"), "record_id", "url", "date")
     groups = found.where(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest", "payload_bytes").agg(
-        F.min(number).alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
+        F.min(F.when(number.isNotNull(), origin)).alias("origin"), F.count("*").alias("n"),
+    ).where("n > 1 and origin is not null")
     revisits = saved(
         found.join(groups, ["payload_digest", "payload_bytes"])
-        .where(~number.eqNullSafe(F.col("first"))).select("archive", "offset", "first"), "revisits")
-    blocks = files.mapInArrow(
-        _arc_rows(True),
-        _KEYS + ", url string, date string, ip string, record_id string, head string, payload string")
+        .where(~number.eqNullSafe(F.col("origin.first"))).select("archive", "offset", "origin"), "revisits")
+    blocks = files.mapInArrow(_arc_rows(True), _KEYS + _BLOCKS)
     # joined by place in the archives: few revisits are broadcast, many are shuffled
     rows = blocks.join(revisits, ["archive", "offset"], "left")
 
@@ -290,20 +317,28 @@ def convert(spark: SparkSession, arcs: str, path: str, least_bytes: int = 0,
         text = (_CRLF * 2).join(records).decode()
         return pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["value"])
 
-    columns = ["page", "payload_digest", "payload_bytes", "url", "date", "ip", "record_id", "head", "payload", "first"]
+    columns = ["page", "payload_digest", "payload_bytes", "url", "date", "ip", "record_id", "head", "payload", "kind",
+               "info_id", "origin"]
     return _written(rows.select(*columns).mapInArrow(pack, "value string"), path, "\r\n\r\n")
 
 
 def _warc_of(r: dict) -> bytes:
-    """A converted record: response, or revisit with the response's head only."""
+    """A converted record: warcinfo, response, or revisit with the response's head only."""
     head, payload = r["head"].encode(), r["payload"].encode()
-    revisit = r["first"] is not None
+    if r["kind"] == "warcinfo":
+        return warc_record({
+            "WARC-Type": "warcinfo", "WARC-Record-ID": r["record_id"], "WARC-Date": r["date"],
+            "WARC-Filename": r["url"].removeprefix("filedesc://"), "WARC-Block-Digest": f"sha1:{digest(head)}",
+            "Content-Type": "application/warc-fields"}, head)
+    first = r["origin"]
+    revisit = first is not None
     block = head if revisit else head + payload
     fields = {
         "WARC-Type": "revisit" if revisit else "response",
         "WARC-Record-ID": r["record_id"],
         "WARC-Date": r["date"],
         "WARC-Target-URI": r["url"],
+        "WARC-Warcinfo-ID": r["info_id"],
         "WARC-IP-Address": r["ip"],
         "WARC-Payload-Digest": f"sha1:{r['payload_digest']}",
         "WARC-Block-Digest": f"sha1:{digest(block)}",
@@ -312,16 +347,26 @@ def _warc_of(r: dict) -> bytes:
         "Payload-Length": str(r["payload_bytes"]),
     }
     if revisit:
-        fields |= {"WARC-Profile": REVISIT_PROFILE, "Refers-To-Page-Id": str(r["first"])}
+        fields |= {"WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To": first["record_id"],
+                   "WARC-Refers-To-Target-URI": first["url"], "WARC-Refers-To-Date": first["date"],
+                   "Refers-To-Page-Id": str(first["first"])}
     return warc_record(fields, block)
 
 
+_READ = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
+         "record_id string, warc_date string, target_uri string, refers_to_record string, warcinfo_id string")
+
+
 def read_warcs(spark: SparkSession, path: str) -> DataFrame:
     """Rows (page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, ...).
 
-    Block digests are checked while reading; of a response the payload's too.
+    Block digests are checked while reading; of a response the payload's too. Warcinfo
+    records are checked and give no row.
     """
     small_batches(spark)
+    names = [x.split()[0] for x in _READ.split(", ")]
+    longs = ("page_id", "payload_bytes", "refers_to")
+    schema = pa.schema([(n, pa.int64() if n in longs else pa.string()) for n in names])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -330,8 +375,10 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
                 for fields, block in read_warc(unzipped(data.as_py())):
                     if fields["WARC-Block-Digest"] != f"sha1:{digest(block)}":
                         raise ValueError(f"damaged block of {fields['WARC-Record-ID']}")
-                    kind, own = fields["WARC-Type"], fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    n = int(fields["Payload-Length"])
+                    kind = fields["WARC-Type"]
+                    if kind == "warcinfo":
+                        continue
+                    own, n = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["Payload-Length"])
                     if kind == "response":
                         payload = split_http(block)[2]
                         if (digest(payload), len(payload)) != (own, n):
@@ -339,17 +386,13 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
                     page, first = fields["Page-Id"], fields.get("Refers-To-Page-Id")
                     out.append((
                         None if page == "-" else int(page), n, own, kind, None if first is None else int(first),
-                        fields["WARC-Record-ID"], fields["WARC-Date"], fields["WARC-Target-URI"]))
-                columns = list(zip(*out, strict=True)) if out else [()] * 8
-                types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), *[pa.string()] * 3]
+                        fields["WARC-Record-ID"], fields["WARC-Date"], fields["WARC-Target-URI"],
+                        fields.get("WARC-Refers-To"), fields["WARC-Warcinfo-ID"]))
+                columns = list(zip(*out, strict=True)) if out else [()] * len(names)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                    ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                     "record_id", "warc_date", "target_uri"])
+                    [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return _files(spark, path).mapInArrow(
-        rows, "page_id long, payload_bytes long, payload_digest string, record_type string, "
-              "refers_to long, record_id string, warc_date string, target_uri string")
+    return _files(spark, path).mapInArrow(rows, _READ)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

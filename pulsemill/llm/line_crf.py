@@ -7,6 +7,7 @@ in content lines decides whether the document stays.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ REPEAT_WINDOW = 5
 REPEAT_PERCENT = 20
 CONTENT_SHARE = 0.5
 SAMPLE_DOCS = 3_000  # bound of the labelled sample that the field is fitted on
-SAMPLE_LINES = 64  # longer documents are left out of the fit, never out of the labelling
+SAMPLE_LINES = 64  # a longer document gives the fit a run of so many lines, from a place its hash names
 STEPS = 120
 
 _SYMBOLS = b"#*$%&|<>"
@@ -203,7 +204,11 @@ def _offsets(part: pa.RecordBatch) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """The field fitted on at most ``sample_docs`` labelled documents, least in hash order."""
+    """The field fitted on at most ``sample_docs`` labelled documents, least in hash order.
+
+    Each gives all its lines, or SAMPLE_LINES of them in a row, so the sample is bounded
+    however long the texts are.
+    """
     sample = F.broadcast(
         labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
         .agg((F.min("quality") > 0).cast("int").alias("good"))
@@ -212,13 +217,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> F
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
-                found = lines(W.words(part.column("text"), W.SPACED), _offsets(part))
+                offsets, data = W.utf8(part.column("text"))
+                found = lines(W.words(part.column("text"), W.SPACED), offsets)
                 count = np.bincount(found.text, minlength=part.num_rows)
-                ends = np.concatenate(([0], np.cumsum(count)))
-                fit_for = np.flatnonzero((count > 0) & (count <= SAMPLE_LINES))
+                first = np.concatenate(([0], np.cumsum(count)))
+                fit_for = np.flatnonzero(count > 0)
+                for i in np.flatnonzero(count > SAMPLE_LINES):
+                    first[i] += zlib.crc32(data[offsets[i]:offsets[i + 1]]) % (count[i] - SAMPLE_LINES + 1)
+                taken = np.minimum(count, SAMPLE_LINES)
                 yield pa.RecordBatch.from_arrays([
                     part.column("good").take(pa.array(fit_for)),
-                    pa.array([found.features[ends[i]:ends[i + 1]].ravel().tolist() for i in fit_for],
+                    pa.array([found.features[first[i]:first[i] + taken[i]].ravel().tolist() for i in fit_for],
                              pa.list_(pa.float64())),
                 ], ["good", "features"])
 

@@ -90,3 +90,16 @@ def test_viterbi_and_gradient(seed):
     step[3, 0] = 1e-5
     slope = (likelihood(field.emit + step) - likelihood(field.emit - step)) / 2e-5
     assert grad[3, 0] == pytest.approx(slope, rel=1e-3, abs=1e-6)
+
+
+def test_long_documents_train_too(spark):
+    """Only texts beyond SAMPLE_LINES are poor: without them there would be one kind of label."""
+    n = 3 * L.SAMPLE_LINES
+    rows = [(i, "\n".join(prose(12, 100 * i + j) + "." for j in range(5)), "en", "s", 0) for i in range(20)]
+    rows += [(20 + i, "\n".join(f"HOME | LOGIN | {j} > NEXT" for j in range(n)), "en", "s", 0) for i in range(10)]
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(30)], "doc_id long, quality int")
+    field = L.fit(frame(spark, rows), labels)
+    again = L.fit(frame(spark, rows).repartition(3), labels)
+    assert abs(field.emit - again.emit).max() < 1e-9
+    shares = {r.doc_id: r.content_share for r in L.line_quality(frame(spark, rows), field).collect()}
+    assert all(shares[i] == 1.0 for i in range(20)) and all(shares[i] == 0.0 for i in range(20, 30))

@@ -185,7 +185,7 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network | Non
 
     Only documents with a language, outside the held-out fifth, are read. Sampling is by
     hash with a share that follows the language's count, so the bound holds in expectation;
-    the limit makes it certain. None if no document is labelled.
+    a limit makes it certain, the least draws first. None if no document is labelled.
     """
     usable = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r.lang: r.n for r in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -199,8 +199,8 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Network | Non
     spare = F.greatest(F.length("text") - WINDOW + 1, F.lit(1))
     start = (F.pmod(F.xxhash64("text"), spare.cast("long")) + 1).cast("int")
     sample = usable.where(draw < share).select(
-        "lang", F.substring(F.col("text"), start, F.lit(WINDOW)).alias("piece"),
-    ).limit(2 * per_language * len(languages)).toPandas().sort_values(["lang", "piece"])
+        "lang", F.substring(F.col("text"), start, F.lit(WINDOW)).alias("piece"), draw.alias("draw"),
+    ).orderBy("draw", "lang", "piece").limit(2 * per_language * len(languages)).toPandas().sort_values(["lang", "piece"])
     windows = np.zeros((len(sample), WINDOW), np.uint8)
     for i, piece in enumerate(sample.piece):
         codes = SYMBOL_OF[np.frombuffer(piece.encode()[:WINDOW], np.uint8)]

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from pulsemill.llm import byte_cnn as B
 from pulsemill.llm import words as W
@@ -82,3 +83,28 @@ def test_windows_hold_all_bytes():
     texts = pa.array(["x" * 500, None, "", "y" * B.WINDOW])
     windows, text = B.windows_of(*W.utf8(texts))
     assert text.tolist() == [0, 0, 0, 3] and (windows > 0).sum() == 500 + B.WINDOW
+
+
+def test_scores_against_plain_convolution(spark):
+    """Every document's language and score, window by window and filter by filter."""
+    network = B.Network.start(["aa", "bb", "cc"], seed=5)
+    rows = [(i, t, None, "s", 0) for i, t in enumerate(
+        ["short", "é" * 150, prose(90, 3), prose(400, 4) + " Ωμέγα", "x", prose(31, 5)[:B.WINDOW], "1 2 3 z"])]
+
+    def window_odds(symbols):
+        seen = network.embed[symbols]
+        hidden = []
+        for width, kernel, bias in zip(B.WIDTHS, network.filters, network.bias):
+            answers = [seen[at:at + width].ravel() @ kernel for at in range(B.WINDOW - width + 1)]
+            hidden.extend(np.maximum(np.max(answers, axis=0) + bias, 0))
+        odds = np.exp(np.array(hidden) @ network.out + network.out_bias)
+        return odds / odds.sum()
+
+    result = {r.doc_id: (r.lang_pred, r.score) for r in B.languages(frame(spark, rows), network).collect()}
+    for i, text, *_ in rows:
+        symbols = [int(B.SYMBOL_OF[b]) for b in text.encode()]
+        symbols += [0] * (-len(symbols) % B.WINDOW)
+        parts = [window_odds(symbols[at:at + B.WINDOW]) for at in range(0, len(symbols), B.WINDOW)]
+        mean = np.mean(parts, axis=0)
+        assert result[i][0] == network.languages[int(mean.argmax())]
+        assert result[i][1] == pytest.approx(mean.max(), abs=1e-4)

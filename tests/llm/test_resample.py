@@ -1,6 +1,11 @@
 import math
+from collections import Counter
+
+import pyarrow as pa
+import pytest
 
 from pulsemill.llm import resample as R
+from pulsemill.llm import words as W
 from tests.llm.data import frame, prose
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -28,6 +33,24 @@ def test_selection_is_the_top_k(spark):
     assert {r.sample_key for r in result if r.selected} == set(ordered[:90])
 
 
+def test_weights_against_plain_counts(spark):
+    """The log ratio of every document from counters over all n-grams, summed one by one."""
+    rows, labels = corpus()
+    rows = rows[::4] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0)]
+    good = {i for i, quality, _ in labels if quality}
+    grams = {i: R.ngrams(W.words(pa.array([text], pa.string()), W.SPACED))[0].tolist() for i, text, *_ in rows}
+    raw, target = Counter(), Counter()
+    for i, own in grams.items():
+        raw.update(own)
+        target.update(own if i in good else ())
+    all_raw, all_target = raw.total() + R.BUCKETS, target.total() + R.BUCKETS
+    result = R.quality_sample(frame(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    assert len(result) == len(rows)
+    for r in result:
+        own = [math.log((target[b] + 1) / all_target) - math.log((raw[b] + 1) / all_raw) for b in grams[r.doc_id]]
+        assert r.log_weight == (pytest.approx(sum(own), abs=1e-8) if own else -math.inf)
+
+
 def test_awkward_documents(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (4, 1, None), (None, 1, 0), (6, None, 0)], LABELS)
     result = R.quality_sample(frame(spark), labels, share=1.0).collect()

@@ -20,6 +20,8 @@ has very many rows, the second reading writes the timeline and the rest reads th
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from pulsemill.session import written
 _CARRY, _CONTENT, _EVENT = 0, 1, 2
 SLICE_ROWS = 1_000_000
 BINS_PER_SLICE = 4
-COARSE = 32  # of so many first numbers one is looked at before its neighbours are
+FAN = 64  # ranges of an item, or blocks of them, that are looked at together
 
 
 def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
@@ -51,19 +53,33 @@ def _timeline(events: DataFrame, versions: DataFrame) -> DataFrame:
     return event_rows.unionByName(content_rows, allowMissingColumns=True)
 
 
-def _firsts(rows: DataFrame, *columns: str) -> DataFrame:
-    """Per item its ranges in order, for ``_place``; rows (content_id, low, ...), few per item."""
-    ranges = F.array_sort(F.collect_list(F.struct("low", *columns)))
-    every = lambda x, i: i % COARSE == 0
-    return rows.groupBy("content_id").agg(ranges.alias("ranges")).withColumn(
-        "coarse", F.transform(F.filter("ranges", every), lambda x: x["low"]))
-
+def _in_range(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows with ``range``: the range of their item that begins last at ``seq`` or before, null if none does.
 
-def _place() -> Column:
-    """Place of the last range that begins at ``seq`` or before, -1 if none does."""
-    block = F.size(F.filter("coarse", lambda x: x <= F.col("seq"))) - 1
-    near = F.slice("ranges", F.greatest(block, F.lit(0)) * COARSE + 1, COARSE)
-    return F.greatest(block, F.lit(0)) * COARSE + F.size(F.filter(near, lambda x: x["low"] <= F.col("seq"))) - 1
+    Ranges (content_id, low, ...) are looked up in a tree of blocks of at most ``FAN``, a join a level,
+    so a row meets few of them however many its item has. The tree has a row per block and may be
+    broadcast.
+    """
+    along = Window.partitionBy("content_id").orderBy("low")
+    rest = [c for c in ranges.columns if c not in ("content_id", "low")]
+    number = F.row_number().over(along).cast("bigint") - 1
+    leaves = ranges.withColumn("block", F.floor(number / FAN)).groupBy("content_id", "block").agg(
+        F.array_sort(F.collect_list(F.struct("low", *rest))).alias("entries"))
+    leaves = written(leaves, "ranges")
+    level = leaves.select("content_id", "block", F.col("entries")[0]["low"].alias("low"))
+    branches = level.groupBy("content_id", F.floor(F.col("block") / FAN).alias("branch")).agg(
+        F.array_sort(F.collect_list("low")).alias("lows"))
+    root = branches.groupBy("content_id").agg(F.array_sort(F.collect_list(F.col("lows")[0])).alias("lows"))
+
+    def place(lows: str, low: Callable[[Column], Column] = lambda x: x) -> Column:
+        return F.size(F.filter(lows, lambda x: low(x) <= F.col("seq"))).cast("bigint") - 1
+
+    rows = rows.join(F.broadcast(root), "content_id", "left").withColumn("branch", place("lows")).drop("lows")
+    rows = rows.join(F.broadcast(branches), ["content_id", "branch"], "left").withColumn(
+        "block", F.col("branch") * FAN + place("lows")).drop("branch", "lows")
+    rows = rows.join(F.broadcast(leaves), ["content_id", "block"], "left").withColumn(
+        "range", F.get("entries", place("entries", lambda x: x["low"]).cast("int")))
+    return rows.drop("block", "entries")
 
 
 def _bins(rows: DataFrame, slice_rows: int) -> DataFrame:
@@ -81,11 +97,9 @@ def _bins(rows: DataFrame, slice_rows: int) -> DataFrame:
         if bins.where(full).isEmpty():
             return bins
         width = F.expr(f"(high - low) div ceil(n / {most}) + 1").alias("width")
-        found = rows.join(F.broadcast(_firsts(bins.where(full).select("content_id", "low", "high", width),
-                                              "high", "width")), "content_id")
-        found = found.withColumn("bin", F.get("ranges", _place())).where("seq <= bin.high")
-        cut = found.groupBy("content_id", F.col("bin.low").alias("first"), F.expr(
-            "(seq - bin.low) div bin.width").alias("part")).agg(*counts).select(*bins.columns)
+        found = _in_range(rows, bins.where(full).select("content_id", "low", "high", width)).where("seq <= range.high")
+        cut = found.groupBy("content_id", F.col("range.low").alias("first"), F.expr(
+            "(seq - range.low) div range.width").alias("part")).agg(*counts).select(*bins.columns)
         bins = written(bins.where(~full).unionByName(cut), "bins")
 
 
@@ -106,10 +120,9 @@ def _sliced(timeline: DataFrame, hot_rows: int, slice_rows: int) -> DataFrame:
     before = Window.partitionBy("content_id").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     numbered = _bins(timeline.where("hot").select("content_id", "seq"), slice_rows).withColumn(
         "slice", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows))
-    cuts = written(_firsts(numbered.groupBy("content_id", "slice").agg(F.min("low").alias("low"))), "cuts")
-    place = F.when(F.col("hot"), _place().cast("bigint"))
-    return timeline.join(F.broadcast(cuts), "content_id", "left").withColumn(
-        "slice", F.coalesce(alone, place, F.lit(0).cast("bigint"))).drop("ranges", "coarse")
+    cuts = numbered.groupBy("content_id", "slice").agg(F.min("low").alias("low"))
+    return _in_range(timeline, cuts).withColumn(
+        "slice", F.coalesce(alone, "range.slice", F.lit(0).cast("bigint"))).drop("range")
 
 
 def _turns(rows: DataFrame, ttl_us: int | None) -> DataFrame:

@@ -1,8 +1,10 @@
+import bisect
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from pulsemill.operators import asof
 from pulsemill.operators.asof import _sliced, enrich_asof
 from tests.test_enrich import events
 
@@ -191,3 +193,16 @@ def test_slices_follow_rows_not_numbers(spark):
         assert 18 <= len(sizes) <= 20 and max(sizes) <= 100 and sum(sizes) == 1000
         order = [r.slice for r in sliced.orderBy("seq").collect()]
         assert order == sorted(order)
+
+
+def test_a_row_meets_few_of_many_ranges(spark):
+    """Ranges are found through blocks: no row is joined to all ranges of its item."""
+    lows = [i * i for i in range(5_000)]
+    ranges = spark.createDataFrame([("a", low, i) for i, low in enumerate(lows)], "content_id string, low long, n long")
+    rows = spark.range(-3, 25_010_000, 997).select(F.lit("a").alias("content_id"), F.col("id").alias("seq"))
+    found = asof._in_range(rows.unionByName(rows.limit(2).withColumn("content_id", F.lit("b"))), ranges)
+    for r in found.collect():
+        place = bisect.bisect_right(lows, r.seq) - 1
+        assert (r.range.n if r.range else -1) == (place if r.content_id == "a" else -1)
+    assert ranges.count() > asof.FAN**2
+    assert found.select(F.max(F.col("range.n"))).first()[0] == 4_999

@@ -33,6 +33,8 @@ CONTENT, DELETED, EVENT, ALIVE = range(4)  # of one arrival number in this order
 NEWEST = (1 << 63) - 1  # the position of a change without one
 DEFAULT_BUCKETS = 1024
 
+_STATE_CHUNK = 10_000
+
 _ATTRIBUTES = "content_type string, length_seconds long"
 _TAGGED = ("bucket", "slice", "content_id", "tag", "at", "payload")
 _OUTPUT = "kind string, content_id string, event string, attributes string, found boolean, drained boolean"
@@ -63,6 +65,18 @@ class _Item:
     due_ms: int | None = None
 
 
+class _Run:
+    """The rows of one id in a batch, as far as they are taken."""
+
+    def __init__(self, content_id: str | None, item: _Item | None):
+        self.content_id, self.item = content_id, item
+        self.before = item.attributes if item else None
+        self.held = bool(item and item.due_ms is not None)
+        self.here: list[str] = []  # events of this batch that wait
+        self.spilled = False  # others of them wait in the state already
+        self.restart = self.changed = False
+
+
 class BucketLookup(StatefulProcessor):
     """The state machine of the ids of one bucket (or one slice of its hot ids)."""
 
@@ -81,103 +95,135 @@ class BucketLookup(StatefulProcessor):
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         """Rows like those of a batch; what they would emit is emitted when their ids' next rows come."""
-        self._rows(key, initialState, timerValues.getCurrentProcessingTimeInMs(), emit=False)
+        for _ in self._rows(key, iter([initialState]), timerValues.getCurrentProcessingTimeInMs()):
+            pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frames = list(rows)
-        frame = frames[0] if len(frames) == 1 else pd.concat(frames)
-        yield self._rows(key, frame, timerValues.getCurrentProcessingTimeInMs())
+        yield from self._rows(key, rows, timerValues.getCurrentProcessingTimeInMs())
 
-    def _rows(self, key, frame: pd.DataFrame, now: int, emit: bool = True) -> pd.DataFrame:
+    def _rows(self, key, frames: Iterator[pd.DataFrame], now: int) -> Iterator[pd.DataFrame]:
+        """A batch's rows, one frame in memory at a time.
+
+        The frames follow each other in the order of ``in_turn``; a frame is sorted again here.
+        An id that goes on in the next frame is left open in ``run``.
+        """
         part = int(key[1])
         items, timer = self._load(now)
-        code, ids = pd.factorize(frame["content_id"], use_na_sentinel=False)
-        tag, at = frame["tag"].to_numpy(), frame["at"].to_numpy()
-        moment = at if self._in_order else np.where(tag < EVENT, -1, 0)
-        order = np.lexsort((tag, at, moment, code))
-        code, tag, at = code[order], tag[order], at[order]
-        payload = frame["payload"].to_numpy(object)[order]
-        begin = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1]))) if len(code) else []
-        out: list[tuple[str | None, list, str | None, bool]] = []  # id, events, attributes, drained
-        tokens: list[tuple[str, bool]] = []
-        waiting: list[tuple[str | None, str]] = []
         drained: dict[str, str] = {}  # ids whose events of earlier batches leave
-        changed = False
-        for a, b in zip(begin, [*begin[1:], len(code)], strict=True):
-            content_id = ids[code[a]]
-            content_id = None if pd.isna(content_id) else content_id
-            item = items.get(content_id)
-            known = item.attributes if item else None
-            if known is not None and tag[a:b].min() == EVENT:  # events of a known item
-                out.append((content_id, payload[a:b][tag[a:b] == EVENT].tolist(), known, False))
-                continue
-            before, held = known, bool(item and item.due_ms is not None)
-            here: list[str] = []  # events of this batch that wait
-            restart = False
-            for row in range(a, b):
-                if tag[row] == EVENT:
-                    if known is None:
-                        restart = True
-                        here.append(payload[row])
-                    else:
-                        out.append((content_id, [payload[row]], known, False))
-                elif tag[row] == ALIVE:
-                    restart = restart or known is None
-                elif tag[row] == CONTENT:
-                    if known is not None and at[row] < item.at:
-                        continue  # older than what is known
-                    if known is None and part == 0 and before is None:
-                        tokens.append((content_id, held or restart))
-                        before = payload[row]
-                    known, item, changed = payload[row], _Item(payload[row], int(at[row]), now), True
-                    if held:
-                        drained[content_id] = known
-                    if here:
-                        out.append((content_id, here, known, True))
-                    here, held, restart = [], False, False
-                elif known is not None and at[row] >= item.at:
-                    known, item, changed = None, None, True
-            if known is not None:
-                items[content_id] = item
+        run, changed = None, False
+        for frame in frames:
+            if not len(frame):
                 continue
-            waiting += [(content_id, event) for event in here]
-            # The first slice of a hot id also keeps time for events of the others.
-            if restart and (here or held or part == 0):
-                items[content_id], changed = _Item(due_ms=now + self._wait_ms), True
-            elif not held and content_id in items:
-                del items[content_id]
-                changed = True
+            code, ids = pd.factorize(frame["content_id"], use_na_sentinel=False)
+            tag, at = frame["tag"].to_numpy(), frame["at"].to_numpy()
+            moment = at if self._in_order else np.where(tag < EVENT, -1, 0)
+            if run is not None:  # what continues the open id comes first
+                first = None if pd.isna(ids[0]) else ids[0]
+                if run.content_id is not None and (first is None or first < run.content_id):
+                    raise ValueError("frames must follow the order of in_turn")
+                code = np.where((pd.isna(ids) if run.content_id is None else ids == run.content_id)[code], -1, code)
+            order = np.lexsort((tag, at, moment, code))
+            code, tag, at = code[order], tag[order], at[order]
+            payload = frame["payload"].to_numpy(object)[order]
+            content_ids = frame["content_id"].to_numpy(object)[order]
+            begin = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+            out: list[tuple[str | None, list, str | None, bool]] = []  # id, events, attributes, drained
+            tokens: list[tuple[str, bool]] = []
+            waiting: list[tuple[str | None, str]] = []
+            for a, b in zip(begin, [*begin[1:], len(code)], strict=True):
+                content_id = None if pd.isna(content_ids[a]) else content_ids[a]
+                if run is None or run.content_id != content_id:
+                    if run is not None:
+                        changed = self._close(run, items, waiting, part, now) or changed
+                    run = _Run(content_id, items.get(content_id))
+                known = run.item.attributes if run.item else None
+                if known is not None and tag[a:b].min() == EVENT:  # events of a known item
+                    out.append((content_id, payload[a:b][tag[a:b] == EVENT].tolist(), known, False))
+                    continue
+                for row in range(a, b):
+                    if tag[row] == EVENT:
+                        if known is None:
+                            run.restart = True
+                            run.here.append(payload[row])
+                        else:
+                            out.append((content_id, [payload[row]], known, False))
+                    elif tag[row] == ALIVE:
+                        run.restart = run.restart or known is None
+                    elif tag[row] == CONTENT:
+                        if known is not None and at[row] < run.item.at:
+                            continue  # older than what is known
+                        if known is None and part == 0 and run.before is None:
+                            tokens.append((content_id, run.held or run.restart))
+                            run.before = payload[row]
+                        known = payload[row]
+                        run.item, run.changed = _Item(known, int(at[row]), now), True
+                        if run.spilled:
+                            yield from self._release({content_id: known})
+                        elif run.held:
+                            drained[content_id] = known
+                        if run.here:
+                            out.append((content_id, run.here, known, True))
+                        run.here, run.held, run.spilled, run.restart = [], False, False, False
+                    elif known is not None and at[row] >= run.item.at:
+                        known, run.item, run.changed = None, None, True
+            if len(run.here) >= _STATE_CHUNK:  # the open id's events would all be in memory
+                waiting += [(run.content_id, event) for event in run.here]
+                run.here, run.spilled = [], True
+            if drained and any(content_id in drained for content_id, _ in waiting):
+                yield from self._release(drained)  # before newer events of their ids wait
+                drained = {}
+            if waiting:
+                self._pending.appendList(waiting)
+            yield self._frame(out, tokens)
+        waiting = []
+        if run is not None:
+            changed = self._close(run, items, waiting, part, now) or changed
         if drained:
-            rest = []
-            for content_id, event in self._pending.get():
-                if content_id in drained:
-                    out.append((content_id, [event], drained[content_id], True))
-                else:
-                    rest.append((content_id, event))
-            rest += waiting
-            self._keep(rest)
-        elif waiting:
+            yield from self._release(drained)
+        if waiting:
             self._pending.appendList(waiting)
         if changed:
             self._store(items, timer)
-        return self._frame(out, tokens) if emit else self._frame([], [])
+
+    def _close(self, run: _Run, items: dict, waiting: list[tuple], part: int, now: int) -> bool:
+        """All rows of an id are taken: what the bucket notes of it, and whether that is new."""
+        content_id = run.content_id
+        if run.item is not None and run.item.attributes is not None:
+            items[content_id] = run.item
+            return run.changed
+        waiting += [(content_id, event) for event in run.here]
+        # The first slice of a hot id also keeps time for events of the others.
+        if run.restart and (run.here or run.spilled or run.held or part == 0):
+            items[content_id] = _Item(due_ms=now + self._wait_ms)
+            return True
+        if not run.held and content_id in items:
+            del items[content_id]
+            return True
+        return run.changed
+
+    def _release(self, known: dict[str | None, str | None], drained: bool = True) -> Iterator[pd.DataFrame]:
+        """Waiting events of these ids leave, in frames of bounded size; the others stay."""
+        rest: list[tuple] = []
+        out: list[tuple] = []
+        for content_id, event in self._pending.get():
+            if content_id not in known:
+                rest.append((content_id, event))
+                continue
+            out.append((content_id, [event], known[content_id], drained))
+            if len(out) >= _STATE_CHUNK:
+                yield self._frame(out, [])
+                out = []
+        self._keep(rest)
+        yield self._frame(out, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         items, _ = self._load(now, keep=True)
-        over = {i for i, item in items.items() if item.due_ms is not None and item.due_ms <= now}
-        out = []
+        over = {i: None for i, item in items.items() if item.due_ms is not None and item.due_ms <= now}
         if over:
-            rest = []
-            for content_id, event in self._pending.get():
-                if content_id in over:
-                    out.append((content_id, [event], None, False))
-                else:
-                    rest.append((content_id, event))
-            self._keep(rest)
+            yield from self._release(over, drained=False)
             items = {i: item for i, item in items.items() if i not in over}
         self._store(items, None)
-        yield self._frame(out, [])
 
     def close(self) -> None:
         pass
@@ -271,6 +317,16 @@ def tagged_rows(
     return tagged.withColumn("bucket", _bucket(F.col("content_id"), buckets)).select(*_TAGGED)
 
 
+def in_turn(tagged: DataFrame, in_order: bool = False) -> DataFrame:
+    """Rows of ``tagged_rows`` as the state machine takes them: id after id, a frame in memory at a time.
+
+    Spark sorts a bucket's rows of a batch, on disk if need be. The partitioning is that of the
+    state, so they are not shuffled again.
+    """
+    moment = F.col("at") if in_order else F.when(F.col("tag") < EVENT, -1).otherwise(0)
+    return tagged.repartition("bucket", "slice").sortWithinPartitions("bucket", "slice", "content_id", moment, "at", "tag")
+
+
 def enrich_stream(
     events: DataFrame, content: DataFrame, pending_ttl_secs: float = DEFAULT_PENDING_TTL_SECS,
     hot_ids: Collection[str] = (), hot_slices: int = 16, buckets: int = DEFAULT_BUCKETS,
@@ -280,10 +336,11 @@ def enrich_stream(
 
     About a hundred ids a bucket keep a state value small. ``in_order``: both feeds have the
     same arrival numbers, and a batch's rows of an id are taken in that order; else content
-    first. ``initial`` is a batch frame of ``tagged_rows``; its events must not be known to it.
+    first. Start the stream with ``session.STREAM_SETTINGS``, as ``job.start`` does. ``initial`` is a batch frame of ``tagged_rows``; its events must not be known to it.
     """
     keys = ["bucket", "slice"]
-    looked_up = tagged_rows(events, content, hot_ids, hot_slices, buckets).groupBy(*keys).transformWithStateInPandas(
+    tagged = in_turn(tagged_rows(events, content, hot_ids, hot_slices, buckets), in_order)
+    looked_up = tagged.groupBy(*keys).transformWithStateInPandas(
         BucketLookup(pending_ttl_secs, content_ttl_secs, in_order), _OUTPUT, "Append", "ProcessingTime",
         initial.groupBy(*keys) if initial is not None else None)
     attributes = F.from_json("attributes", _ATTRIBUTES)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsemill.operators.counters import ENRICHMENT
 from pulsemill.plans import rollups
-from pulsemill.session import STATE_SETTINGS, temporary_conf
+from pulsemill.session import STATE_SETTINGS, STREAM_SETTINGS, temporary_conf
 from pulsemill.sinks import delivery, kv, warehouse
 from pulsemill.sinks.folders import glob, own_folder
 from pulsemill.sources.changes import (
@@ -288,7 +288,7 @@ def start(
     watermark is set: in the global window nothing is late.
     """
     _same_layout(spark, output, checkpoint)
-    settings = dict(STATE_SETTINGS)
+    settings = dict(STREAM_SETTINGS)
     if state_partitions:
         settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     with temporary_conf(spark, settings):
@@ -304,18 +304,33 @@ def start(
 class Collector:
     """Keep a stream's rows in a folder and count its events: for replays of bounded feeds."""
 
-    def __init__(self, path: str, also: Callable[[DataFrame, int], None] | None = None):
+    def __init__(self, path: str, also: Callable[[DataFrame, int], None] | None = None, idle_secs: float = 300):
         self.path = path
         self.also = also
         self.events = 0
+        self._long_secs = idle_secs / 2
+        self._worked = time.monotonic()  # end of the last batch that gave rows, or took long
+        self._began: float | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        target = f"{self.path}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(target)
-        written = batch.sparkSession.read.schema(batch.schema).parquet(target)
-        if self.also:
-            self.also(written, batch_id)
-        self.events += written.where(F.col("kind") == KIND_EVENT).count()
+        self._began = began = time.monotonic()
+        try:
+            target = f"{self.path}/batch_id={batch_id}"
+            batch.write.mode("overwrite").parquet(target)
+            written = batch.sparkSession.read.schema(batch.schema).parquet(target)
+            if self.also:
+                self.also(written, batch_id)
+            rows, events = written.agg(F.count("*"), F.count_if(F.col("kind") == KIND_EVENT)).first()
+            self.events += events
+            if rows or time.monotonic() - began > self._long_secs:
+                self._worked = time.monotonic()
+        finally:
+            self._began = None
+
+    def idle_secs(self) -> float:
+        """Time without a row; a batch that is running counts as work, however long it takes."""
+        began, now = self._began, time.monotonic()
+        return (now if began is None else began) - self._worked
 
 
 def replay(
@@ -334,16 +349,13 @@ def replay(
     events leave when their wait is over. If none leaves for ``idle_secs``, which must be
     longer than a wait and a batch, some are lost: an error. ``also`` gets every batch as kept.
     """
-    collector = Collector(f"{path}/out", also)
+    collector = Collector(f"{path}/out", also, idle_secs)
     query = start(
         spark, output, collector, f"{path}/checkpoint", emit_every_secs, state_partitions
     )
-    seen, since = -1, time.monotonic()
     try:
-        while collector.events < n_events:
-            if collector.events > seen:
-                seen, since = collector.events, time.monotonic()
-            elif time.monotonic() - since > idle_secs:
+        while (seen := collector.events) < n_events:
+            if collector.idle_secs() > idle_secs:
                 raise RuntimeError(f"only {seen} of {n_events} events have left the stream")
             if query.exception() is not None:
                 raise query.exception()
@@ -380,7 +392,7 @@ def start_console(
     spark: SparkSession, output: DataFrame, checkpoint: str, emit_every_secs: float = DEFAULT_EMIT_SECS
 ) -> StreamingQuery:
     """Debug sink: print enriched events as they are emitted."""
-    with temporary_conf(spark, STATE_SETTINGS):
+    with temporary_conf(spark, STREAM_SETTINGS):
         return (
             enriched_events(output).writeStream.format("console").option("truncate", "false")
             .outputMode("append")

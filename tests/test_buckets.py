@@ -265,3 +265,53 @@ def test_equals_the_batch_with_deletes_and_slices(spark):
                     kind = pd.io.json.ujson_loads(r.attributes)["content_type"] if r.attributes else None
                     got[pd.io.json.ujson_loads(r.event)["id"]] = (kind, r.drained)
     assert got == want
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 10_000])
+@pytest.mark.parametrize("size", [1, 7, 50])
+@pytest.mark.parametrize("seed", range(3))
+def test_a_batch_passes_frame_by_frame(monkeypatch, seed, size, chunk):
+    """However a sorted batch is cut into frames and waiting events go to the state, the result is the same."""
+    monkeypatch.setattr(B, "_STATE_CHUNK", chunk)
+    arrivals = with_deletes(seed)
+    turn = sorted(arrivals, key=lambda r: (r[3] is not None, r[3] or "", r[0], KIND_TAGS[r[2]]))
+    handle = Handle()
+    machine = B.BucketLookup(100_000, None, in_order=True)
+    machine.init(handle)
+    pulled, out = 0, {}
+
+    def frames():
+        nonlocal pulled
+        for i in range(0, len(turn), size):
+            rows = turn[i:i + size]
+            pulled += 1
+            yield pd.DataFrame({
+                "bucket": 0, "slice": 0, "content_id": [r[3] for r in rows], "tag": [KIND_TAGS[r[2]] for r in rows],
+                "at": [r[0] for r in rows], "payload": [r[4] for r in rows]}).astype({"payload": object})
+
+    first = None
+    for frame in [*_noted(machine.handleInputRows((0, 0), frames(), Clock(0)), lambda: pulled)]:
+        first = first or frame[0]
+        for r in frame[1].itertuples():
+            if r.kind == "event":
+                assert r.event not in out
+                out[r.event] = (r.attributes, r.drained)
+    assert first == 1  # rows leave before the second frame is read
+    for due in sorted(handle.timers):
+        for frame in machine.handleExpiredTimer((0, 0), Clock(due), Clock(due)):
+            out.update({r.event: (r.attributes, r.drained) for r in frame.itertuples()})
+    assert out == simulate(arrivals, 100_000)
+
+
+def _noted(frames, pulled):
+    for frame in frames:
+        yield pulled(), frame
+
+
+def test_frames_out_of_turn_are_refused():
+    handle = Handle()
+    machine = B.BucketLookup(10)
+    machine.init(handle)
+    frames = [pd.DataFrame({"content_id": [i], "tag": [B.EVENT], "at": [1], "payload": ["{}"]}) for i in "ba"]
+    with pytest.raises(ValueError, match="in_turn"):
+        [*machine.handleInputRows((0, 0), iter(frames), Clock(0))]

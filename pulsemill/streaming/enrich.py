@@ -230,9 +230,12 @@ def enrich_stream(
 ) -> DataFrame:
     """Enriched events and first-seen tokens (``kind``) of two change streams.
 
-    Measures are computed after the state machine, in the JVM.
+    Measures are computed after the state machine, in the JVM.  An id's rows of a batch come
+    sorted, content first, so that events of content of the same batch need not pass through
+    the waiting list.  Start the stream with ``session.STREAM_SETTINGS``, as ``job.start`` does.
     """
-    tagged = tagged_streams(events, content, hot_ids, hot_slices)
+    tagged = tagged_streams(events, content, hot_ids, hot_slices).repartition("content_id", "slice")
+    tagged = tagged.sortWithinPartitions("content_id", "slice", F.col("tag") != CONTENT)
     looked_up = tagged.groupBy("content_id", "slice").transformWithState(
         ContentLookup(pending_ttl_secs), OUTPUT, "Append", "ProcessingTime"
     )

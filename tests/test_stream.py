@@ -273,3 +273,31 @@ def test_bad_messages_are_kept(spark, tmp_path):
         job.start_quarantine(bad, str(tmp_path / "bad"), str(tmp_path / "check"), None).awaitTermination()
     found = spark.read.parquet(str(tmp_path / "bad")).collect()
     assert sorted(r.reason for r in found) == ["delete", "invalid_json", "no_after"]
+
+
+def test_a_long_batch_is_not_idle(spark, tmp_path):
+    """A replay gives up if nothing happens, not if a batch takes its time."""
+    for table, message in (content("A"), event(1, "A")):
+        (tmp_path / table).mkdir()
+        (tmp_path / table / "1.json").write_text(json.dumps({"before": None, "after": message}) + "\n")
+    output = job.build_stream(*[
+        changes.read_file_stream(spark, str(tmp_path / t), TOPIC + t) for t in ("engagement_events", "content")])
+    rows = job.replay(spark, output, 1, str(tmp_path / "run"), 2, idle_secs=10, also=lambda batch, n: time.sleep(12))
+    assert [r.drained for r in rows.where("kind = 'event'").collect()] == [False]
+    collector = job.Collector("nowhere", idle_secs=1)
+    time.sleep(1.1)
+    assert collector.idle_secs() > 1
+
+
+def test_content_of_a_batch_comes_before_its_events(spark, tmp_path):
+    """Events of content that comes in the same batch pass through no waiting list."""
+    feeds = Feeds(spark, tmp_path, 8)
+    for table, lines in (("engagement_events", [event(i, "A")[1] for i in range(300)]), ("content", [content("A")[1]])):
+        (feeds.folders[table] / "1.json").write_text("".join(
+            json.dumps({"before": None, "after": a, "source": {"lsn": 1}}) + "\n" for a in lines))
+    feeds.start()
+    try:
+        feeds.until(lambda: feeds.collector.events >= 300)
+    finally:
+        feeds.stop()
+    assert feeds.rows().where("kind = 'event' and not drained and content_type = 'podcast'").count() == 300

@@ -1,9 +1,7 @@
 """Stateful enrichment with many content ids in one state value.
 
-The state machine of ``streaming.enrich`` pays a few round trips to the state per id and
-batch. Here ids share buckets: a bucket's rows of a batch come as one frame, its known items
-and waiting ids are one state value, so a batch costs a few round trips per bucket. On top of
-that it knows
+The state machine of ``streaming.enrich`` with larger state values: the known items and waiting
+ids of a bucket are one value, so a batch costs a few round trips per bucket. On top of that it knows
 
 * deletes: content that is gone is unknown again, later events wait for its return;
 * a lifetime of content: an item that was not updated for so long is unknown again;

@@ -5,13 +5,22 @@ for a first version.  Content replaces state and releases waiting events; an
 event is emitted at once if its content is known, else it waits.  Each waiting
 event restarts the wait of its id; when it ends, the waiting events leave
 flagged as missing.  Content never leaves the state.
+
+Ids come in groups: the rows of a group pass through Python as frames, so a batch
+pays Spark's calls per key once a group, and what an id emits need not fit in memory.
+Within a group, ids whose hashes agree share a state value, a shelf: few while the
+catalogue is small, about a hundred in one of seven million.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection, Iterator
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, types as T
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -22,7 +31,11 @@ from pulsemill.schemas import ENGAGEMENT
 EVENT, CONTENT, ALIVE = "main", "content", "alive"
 DEFAULT_PENDING_TTL_SECS = 10
 KEYLESS_SLICES = 64
-_STATE_CHUNK = 5_000
+GROUPS = 1024  # of ids, and shelves in a group: fixed by a checkpoint's first start
+SHELVES = 64
+_STATE_CHUNK = 1_000  # events or ids in one state value
+_STATE_CHARS = 1_000_000
+_FRAME_ROWS = 10_000
 
 _EVENT_FIELDS = [f for f in ENGAGEMENT.fields if f.name != "content_id"]
 
@@ -35,16 +48,23 @@ _PACKED = T.StructType(
     ]
     + [T.StructField("seq", T.LongType())]
 )
-_PENDING = T.StructType([T.StructField("event", T.StringType())])
 
-# One value per id.  ``due_ms`` is set while events wait for a first version,
-# and then tells when the wait ends; without it the value is the known content.
-_KNOWN = T.StructType([
+# ``due_ms`` is set while events wait for a first version, and then tells when the wait
+# ends; without it the item is the known content.
+_ITEM = T.StructType([
+    T.StructField("content_id", T.StringType()),
     T.StructField("content_type", T.StringType()),
     T.StructField("length_seconds", T.LongType()),
     T.StructField("seq", T.LongType()),
     T.StructField("due_ms", T.LongType()),
+    T.StructField("chunks", T.LongType()),  # of waiting events
 ])
+_SHELF = T.StructType([T.StructField("shelf", T.IntegerType())])
+_ITEMS = T.StructType([T.StructField("items", T.ArrayType(_ITEM))])
+_CHUNK = T.StructType([T.StructField("content_id", T.StringType()), T.StructField("number", T.LongType())])
+_EVENTS = T.StructType([T.StructField("events", T.ArrayType(T.StringType()))])
+_MOMENT = T.StructType([T.StructField("due_ms", T.LongType()), T.StructField("number", T.LongType())])
+_IDS = T.StructType([T.StructField("ids", T.ArrayType(T.StructType([_SHELF["shelf"], _ITEM["content_id"]])))])
 
 _TAGGED = ("content_id", "slice", "tag", "content_type", "length_seconds", "seq", "event")
 
@@ -62,86 +82,240 @@ OUTPUT = T.StructType([
 KIND_EVENT, KIND_FIRST_SEEN = "event", "first_seen"
 
 
+class _Run:
+    """What a batch has brought for one id so far."""
+
+    def __init__(self, content_id: str | None, state: tuple | None):
+        self.content_id = content_id
+        self.due, self.chunks = (state[3], state[4]) if state is not None else (None, 0)
+        self.known = self.before = tuple(state[:3]) if state is not None and self.due is None else None
+        self.arrived: list[str] = []  # events of this batch that wait
+        self.chars = 0  # their length
+        self.restart = self.announced = False
+
+
+@dataclass
+class _Shelf:
+    number: int
+    items: dict[str | None, tuple]  # by id: the other fields of ``_ITEM``
+    changed: bool = False
+
+
+class _Output:
+    """Rows to emit, in frames of bounded size."""
+
+    def __init__(self):
+        self._parts: list[tuple] = []
+        self._rows = 0
+
+    def events(self, content_id: str | None, events: list[str], known: tuple | None, drained: bool) -> None:
+        content_type, length = known[:2] if known is not None else (None, None)
+        self._parts.append((KIND_EVENT, content_id, events, content_type, length, known is not None, drained))
+        self._rows += len(events)
+
+    def token(self, content_id: str, released: bool) -> None:
+        self._parts.append((KIND_FIRST_SEEN, content_id, [None], None, None, None, released))
+        self._rows += 1
+
+    def frames(self, at_least: int = _FRAME_ROWS) -> Iterator[pd.DataFrame]:
+        """One frame if enough rows have come together."""
+        if self._rows < at_least:
+            return
+        n = [len(part[2]) for part in self._parts]
+        columns = {
+            name: np.repeat(np.array([part[k] for part in self._parts], object), n)
+            for k, name in enumerate(OUTPUT.fieldNames()) if name != "event"
+        }
+        columns["event"] = np.array([e for part in self._parts for e in part[2]], object)
+        self._parts, self._rows = [], 0
+        yield pd.DataFrame(columns, columns=OUTPUT.fieldNames())
+
+
 class ContentLookup(StatefulProcessor):
-    """The state machine of one content id (or one slice of a hot one).
+    """The state machine of the ids of one group (or one slice of its hot ids).
 
-    Each state call is a round trip to the JVM, so an event of known content
-    costs one read per id and batch, and rows are handled by position.
+    Each state call is a round trip to the JVM: a read and a write per shelf and batch, and
+    one per chunk of waiting events.  A group has one timer per batch that made ids wait.
     """
 
     def __init__(self, pending_ttl_secs: float):
         self._wait_ms = int(pending_ttl_secs * 1000)
-        self._make = Row(*OUTPUT.fieldNames())
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._value = handle.getValueState("content", _KNOWN)
-        self._pending = handle.getListState("pending", _PENDING)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        content_id, part = key
-        state = self._value.get()
-        due = state[3] if state is not None else None
-        known = before = tuple(state[:3]) if state is not None and due is None else None
-        arrived: list[tuple] = []
-        restart, spilled, released = False, False, False
-        for _, _, tag, content_type, length, seq, event in rows:
-            if tag == CONTENT:
-                released = released or (known is None and (restart or due is not None))
-                if known is None or seq is None or known[2] is None or seq >= known[2]:
-                    known = (content_type, length, seq)
-            elif tag == ALIVE:
-                restart = True
-            elif known is not None:
-                yield self._event(content_id, event, known, False)
-            else:
-                restart = True
-                arrived.append((event,))
-                if len(arrived) >= _STATE_CHUNK:
-                    self._pending.appendList(arrived)
-                    arrived, spilled = [], True
-
-        if known is None:
-            if arrived:
-                self._pending.appendList(arrived)
-            # The first slice of a hot id also keeps time for events of the others.
-            if restart and (arrived or spilled or due is not None or part == 0):
-                self._wait(timerValues.getCurrentProcessingTimeInMs() + self._wait_ms, due)
-            return
-        if known != before:
-            self._value.update((*known, None))
-        if before is None:
-            if part == 0:
-                yield self._make(KIND_FIRST_SEEN, content_id, None, None, None, None, released)
-            if due is not None or spilled:
-                for waiting in self._pending.get():
-                    yield self._event(content_id, waiting[0], known, True)
-                self._pending.clear()
-            if due is not None:
-                self._handle.deleteTimer(due)
-        for (event,) in arrived:
-            yield self._event(content_id, event, known, True)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for waiting in self._pending.get():
-            yield self._event(key[0], waiting[0], None, False)
-        self._pending.clear()
-        self._value.clear()
+        self._content = handle.getMapState("content", _SHELF, _ITEMS)
+        self._pending = handle.getMapState("pending", _CHUNK, _EVENTS)
+        self._waits = handle.getMapState("waits", _MOMENT, _IDS)  # ids by the end of their wait
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        """A batch's rows, a frame in memory at a time; an id may go on in the next frame."""
+        part = int(key[1])
+        until = timerValues.getCurrentProcessingTimeInMs() + self._wait_ms
+        nothing_known = not self._content.exists()
+        highest = -1  # shelves come in order: none beyond this was written in this batch
+        shelf: _Shelf | None = None
+        run: _Run | None = None
+        waiting: list[tuple] = []
+        out = _Output()
+        for frame in rows:
+            for number, content_id, versions, events, alive in _runs(frame):
+                if run is None or run.content_id != content_id:
+                    if run is not None:
+                        yield from self._close(run, shelf, part, until, waiting, out)
+                    if shelf is None or shelf.number != number:
+                        if shelf is not None:
+                            self._store(shelf)
+                        shelf = _Shelf(number, {}) if nothing_known and number > highest else self._load(number)
+                        highest = max(highest, number)
+                    run = _Run(content_id, shelf.items.get(content_id))
+                for version in versions:
+                    read = json.loads(version)
+                    seq = read.get("seq")
+                    if run.known is None or seq is None or run.known[2] is None or seq >= run.known[2]:
+                        run.known = (read.get("content_type"), read.get("length_seconds"), seq)
+                if run.known is None:
+                    run.restart = run.restart or alive or bool(events)
+                    run.arrived += events
+                    run.chars += sum(map(len, events))
+                    if len(run.arrived) >= _STATE_CHUNK or run.chars >= _STATE_CHARS:
+                        self._put_off(run)
+                elif events:
+                    yield from self._release(run, part, out)
+                    out.events(content_id, events, run.known, False)
+            yield from out.frames()
+        if run is not None:
+            yield from self._close(run, shelf, part, until, waiting, out)
+            self._store(shelf)
+        self._wait(waiting, until)
+        yield from out.frames(1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        over = expiredTimerInfo.getExpiryTimeInMs()
+        out = _Output()
+        shelf: _Shelf | None = None
+        number = 0
+        while (ids := self._waits.getValue((over, number))) is not None:
+            for at, content_id in ids[0]:
+                if shelf is None or shelf.number != at:
+                    if shelf is not None:
+                        self._store(shelf)
+                    shelf = self._load(at)
+                state = shelf.items.get(content_id)
+                if state is not None and state[3] == over:  # else known by now, or its wait was restarted
+                    yield from self._drain(_Run(content_id, state), None, out)
+                    shelf.items.pop(content_id)
+                    shelf.changed = True
+            self._waits.removeKey((over, number))
+            number += 1
+        if shelf is not None:
+            self._store(shelf)
+        yield from out.frames(1)
 
     def close(self) -> None:
         pass
 
-    def _wait(self, until_ms: int, due: int | None) -> None:
-        """Start the wait, or move its end."""
-        if due is not None:
-            self._handle.deleteTimer(due)
-        self._handle.registerTimer(until_ms)
-        self._value.update((None, None, None, until_ms))
+    def _load(self, number: int) -> _Shelf:
+        state = self._content.getValue((number,))
+        return _Shelf(number, {item[0]: tuple(item[1:]) for item in state[0]} if state is not None else {})
 
-    def _event(self, content_id: str, event: str, known: tuple | None, drained: bool) -> Row:
-        if known is None:
-            return self._make(KIND_EVENT, content_id, event, None, None, False, drained)
-        return self._make(KIND_EVENT, content_id, event, known[0], known[1], True, drained)
+    def _store(self, shelf: _Shelf) -> None:
+        if not shelf.changed:
+            return
+        if shelf.items:
+            self._content.updateValue((shelf.number,), ([(i, *state) for i, state in shelf.items.items()],))
+        else:
+            self._content.removeKey((shelf.number,))
+        shelf.changed = False
+
+    def _close(
+        self, run: _Run, shelf: _Shelf, part: int, until: int, waiting: list[tuple], out: _Output
+    ) -> Iterator[pd.DataFrame]:
+        """All rows of an id are taken: what the state keeps of it."""
+        if run.known is not None:
+            yield from self._release(run, part, out)
+            if run.known != run.before:
+                shelf.items[run.content_id] = (*run.known, None, 0)
+                shelf.changed = True
+            return
+        self._put_off(run)
+        # The first slice of a hot id also keeps time for events of the others.
+        if run.restart and (run.chunks or run.due is not None or part == 0):
+            shelf.items[run.content_id] = (None, None, None, until, run.chunks)
+            shelf.changed = True
+            waiting.append((shelf.number, run.content_id))
+
+    def _put_off(self, run: _Run) -> None:
+        """The id's events of this batch wait in the state."""
+        for chunk in _chunks(run.arrived):
+            self._pending.updateValue((run.content_id, run.chunks), (chunk,))
+            run.chunks += 1
+        run.arrived, run.chars = [], 0
+
+    def _release(self, run: _Run, part: int, out: _Output) -> Iterator[pd.DataFrame]:
+        """Events that waited for a first version leave when it is known."""
+        if run.before is not None or run.announced:
+            return
+        run.announced = True
+        if part == 0:
+            out.token(run.content_id, run.due is not None or run.restart)
+        yield from self._drain(run, run.known, out)
+
+    def _drain(self, run: _Run, known: tuple | None, out: _Output) -> Iterator[pd.DataFrame]:
+        for number in range(run.chunks):
+            chunk = (run.content_id, number)
+            out.events(run.content_id, list(self._pending.getValue(chunk)[0]), known, known is not None)
+            self._pending.removeKey(chunk)
+            yield from out.frames()
+        if run.arrived:
+            out.events(run.content_id, run.arrived, known, True)
+            run.arrived, run.chars = [], 0
+
+    def _wait(self, ids: list[tuple], until: int) -> None:
+        """Note whose wait ends when; a wait that is moved leaves its earlier note behind."""
+        if not ids:
+            return
+        number = 0
+        while self._waits.containsKey((until, number)):  # of a batch of the same instant
+            number += 1
+        for begin in range(0, len(ids), _STATE_CHUNK):
+            self._waits.updateValue((until, number), (ids[begin:begin + _STATE_CHUNK],))
+            number += 1
+        self._handle.registerTimer(until)
+
+
+def _chunks(events: list[str]) -> Iterator[list[str]]:
+    chunk, chars = [], 0
+    for event in events:
+        chunk.append(event)
+        chars += len(event)
+        if len(chunk) >= _STATE_CHUNK or chars >= _STATE_CHARS:
+            yield chunk
+            chunk, chars = [], 0
+    if chunk:
+        yield chunk
+
+
+def _runs(frame: pd.DataFrame) -> Iterator[tuple[int, str | None, list[str], list[str], bool]]:
+    """Of each id: its shelf, its versions, its events, and whether there are signs of life."""
+    if not len(frame):
+        return
+    ids, tags = frame["content_id"].to_numpy(object), frame["tag"].to_numpy(object)
+    shelves, payload = frame["shelf"].tolist(), frame["payload"].tolist()
+    ids = np.where(pd.isna(ids), None, ids)
+    version, event = tags == CONTENT, tags == EVENT
+    begin = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    bounds = zip(
+        begin.tolist(), [*begin[1:].tolist(), len(ids)],
+        np.add.reduceat(version, begin, dtype=int).tolist(), np.add.reduceat(event, begin, dtype=int).tolist(),
+    )
+    for a, b, versions, events in bounds:
+        if events == b - a:
+            yield shelves[a], ids[a], [], payload[a:b], False
+            continue
+        yield (
+            shelves[a], ids[a], [payload[i] for i in range(a, b) if version[i]] if versions else [],
+            [payload[i] for i in range(a, b) if event[i]] if events else [], versions + events < b - a,
+        )
 
 
 def _packed(events: DataFrame) -> Column:
@@ -234,9 +408,15 @@ def enrich_stream(
     sorted, content first, so that events of content of the same batch need not pass through
     the waiting list.  Start the stream with ``session.STREAM_SETTINGS``, as ``job.start`` does.
     """
-    tagged = tagged_streams(events, content, hot_ids, hot_slices).repartition("content_id", "slice")
-    tagged = tagged.sortWithinPartitions("content_id", "slice", F.col("tag") != CONTENT)
-    looked_up = tagged.groupBy("content_id", "slice").transformWithState(
+    tagged = tagged_streams(events, content, hot_ids, hot_slices)
+    version = F.to_json(F.struct("content_type", "length_seconds", "seq"))
+    place = F.pmod(F.xxhash64("content_id"), F.lit(GROUPS * SHELVES)).cast("int")
+    rows = tagged.select(
+        (place % GROUPS).alias("group"), "slice", F.floor(place / GROUPS).cast("int").alias("shelf"), "content_id",
+        "tag", F.when(F.col("tag") == CONTENT, version).otherwise(F.col("event")).alias("payload"),
+    ).repartition("group", "slice").sortWithinPartitions(
+        "group", "slice", "shelf", "content_id", F.col("tag") != CONTENT)
+    looked_up = rows.groupBy("group", "slice").transformWithStateInPandas(
         ContentLookup(pending_ttl_secs), OUTPUT, "Append", "ProcessingTime"
     )
     return finish(_unpacked(looked_up, "extras" in events.columns))

@@ -23,7 +23,7 @@ from pulsemill.sources.changes import (
 )
 from pulsemill.streaming import buckets as bucketed
 from pulsemill.streaming.enrich import (
-    DEFAULT_PENDING_TTL_SECS, KIND_EVENT, KIND_FIRST_SEEN, enrich_stream, enriched_events,
+    DEFAULT_PENDING_TTL_SECS, GROUPS, KIND_EVENT, KIND_FIRST_SEEN, SHELVES, enrich_stream, enriched_events,
 )
 
 log = logging.getLogger(__name__)
@@ -52,7 +52,7 @@ def build_stream(
         pending_ttl_secs, hot_ids, hot_slices,
     )
     output = with_counters(output)
-    output.slice_layout = slice_layout(hot_ids, hot_slices)
+    output.slice_layout = json.dumps({"groups": [GROUPS, SHELVES], **json.loads(slice_layout(hot_ids, hot_slices))})
     return output
 
 

@@ -395,6 +395,21 @@ def _with_seq(feed: DataFrame) -> DataFrame:
     return feed if "seq" in feed.columns else feed.withColumn("seq", F.lit(None).cast("bigint"))
 
 
+def in_groups(tagged: DataFrame) -> DataFrame:
+    """Rows of ``tagged_streams`` as the state machine takes them: shelf after shelf, id after id, content first.
+
+    Spark sorts a group's rows of a batch, on disk if need be. The partitioning is that of the
+    state, so they are not shuffled again.
+    """
+    version = F.to_json(F.struct("content_type", "length_seconds", "seq"))
+    place = F.pmod(F.xxhash64("content_id"), F.lit(GROUPS * SHELVES)).cast("int")
+    return tagged.select(
+        (place % GROUPS).alias("group"), "slice", F.floor(place / GROUPS).cast("int").alias("shelf"), "content_id",
+        "tag", F.when(F.col("tag") == CONTENT, version).otherwise(F.col("event")).alias("payload"),
+    ).repartition("group", "slice").sortWithinPartitions(
+        "group", "slice", "shelf", "content_id", F.col("tag") != CONTENT)
+
+
 def enrich_stream(
     events: DataFrame,
     content: DataFrame,
@@ -408,14 +423,7 @@ def enrich_stream(
     sorted, content first, so that events of content of the same batch need not pass through
     the waiting list.  Start the stream with ``session.STREAM_SETTINGS``, as ``job.start`` does.
     """
-    tagged = tagged_streams(events, content, hot_ids, hot_slices)
-    version = F.to_json(F.struct("content_type", "length_seconds", "seq"))
-    place = F.pmod(F.xxhash64("content_id"), F.lit(GROUPS * SHELVES)).cast("int")
-    rows = tagged.select(
-        (place % GROUPS).alias("group"), "slice", F.floor(place / GROUPS).cast("int").alias("shelf"), "content_id",
-        "tag", F.when(F.col("tag") == CONTENT, version).otherwise(F.col("event")).alias("payload"),
-    ).repartition("group", "slice").sortWithinPartitions(
-        "group", "slice", "shelf", "content_id", F.col("tag") != CONTENT)
+    rows = in_groups(tagged_streams(events, content, hot_ids, hot_slices))
     looked_up = rows.groupBy("group", "slice").transformWithStateInPandas(
         ContentLookup(pending_ttl_secs), OUTPUT, "Append", "ProcessingTime"
     )

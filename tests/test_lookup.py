@@ -8,6 +8,8 @@ import pandas as pd
 import pytest
 
 from pulsemill.streaming import enrich as E
+from tests.test_asof import frames as feeds
+from tests.test_asof import recorded
 
 WAIT = 10
 
@@ -227,3 +229,33 @@ def test_state_calls_follow_the_shelves():
     events = sorted_rows([(f"c-{i}", E.EVENT, "e") for i in range(3_000)])
     assert len(plain(machine.handleInputRows((0, 0), frames(events, 500), Clock(1)))) == 3_000
     assert handle.calls <= 6  # nothing new is known: read only
+
+
+def test_slices_of_a_hot_id_equal_one_machine(spark):
+    """Rows of a group come in order; a machine per group and slice gives what one per group gives."""
+    ev, ver = feeds(spark, recorded(1, 400))
+    results, slices = [], []
+    for hot in ((), ("hot",)):
+        rows = E.in_groups(E.tagged_streams(ev, ver, hot, 3)).toPandas()
+        got, keys = Counter(), rows.groupby(["group", "slice"], sort=False)
+        for key, mine in keys:
+            assert mine.shelf.is_monotonic_increasing and mine.groupby("shelf").content_id.apply(
+                lambda ids: ids.dropna().is_monotonic_increasing).all()
+            machine, handle = lookup()
+            pieces = (mine.iloc[i:i + 5] for i in range(0, len(mine), 5))
+            got += plain(machine.handleInputRows(key, pieces, Clock(0)))
+            for due in sorted(handle.timers):
+                got += plain(machine.handleExpiredTimer(key, Clock(due), Clock(due)))
+        results.append(got)
+        slices.append(len(keys))
+    assert results[0] == results[1] and sum(r[0] == E.KIND_EVENT for r in results[0].elements()) == ev.count()
+    assert slices[1] == slices[0] + 2
+
+
+def test_a_slice_with_signs_of_life_emits_frame_by_frame():
+    """Before, a slice held all its events of a batch; signs of life between them change nothing."""
+    machine, _ = lookup()
+    rows = [("a", E.CONTENT, version("x"))]
+    rows += [("a", E.ALIVE, None) if i % 4 else ("a", E.EVENT, str(i)) for i in range(100_000)]
+    sizes = [len(f) for f in machine.handleInputRows((0, 1), frames(rows, 10_000), Clock(0))]
+    assert sum(sizes) == 25_000 and max(sizes) <= 15_000 and len(sizes) >= 2
